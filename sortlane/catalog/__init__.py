@@ -1,6 +1,6 @@
 """The registered queries. Importing the modules fills the registry."""
 
-from sortlane.catalog import rule_queries, text_queries  # noqa: F401
+from sortlane.catalog import label_queries, rule_queries, text_queries  # noqa: F401
 from sortlane.catalog.registry import QUERIES
 
 __all__ = ["QUERIES"]

@@ -121,7 +121,7 @@ JOB_TYPE_CODE = f"""CASE
 TITLE_LEVEL = f"CASE {cases('t', column_rules.TITLE_EXPERIENCE, hit)} END"
 YEARS_MIN = (
     f"list_min(list_transform(regexp_extract_all(d, {quoted('(?i)' + column_rules.YEARS)}, 1),"
-    " y -> CAST(y AS INTEGER)))"
+    " lambda y: CAST(y AS INTEGER)))"
 )
 COLLAR_CODE = f"""CASE WHEN {hit('t', column_rules.CLINICAL_TITLE)} THEN 'clinical_veto'
  WHEN {hit('t', column_rules.WHITE_TITLE)} THEN 'white_title'
@@ -256,7 +256,7 @@ def column_rule_query(spark, folder):
 
 
 def _unique(flags: list[str]) -> str:
-    listed = "list_distinct(list_filter([" + ", ".join(flags) + "], v -> v IS NOT NULL))"
+    listed = "list_distinct(list_filter([" + ", ".join(flags) + "], lambda v: v IS NOT NULL))"
     return (
         f"CASE len({listed}) WHEN 0 THEN '__UNKNOWN__' WHEN 1 THEN {listed}[1] ELSE '__CONFLICT__' END"
     )
@@ -281,7 +281,7 @@ YEARS_CTES = f"""found AS (SELECT id, regexp_extract_all(x, {_YEARS}, 0) AS whol
    regexp_extract_all(x, {_YEARS}, 1) AS num, string_split_regex(x, {_YEARS}) AS rest FROM scoped),
  positions AS (SELECT id, whole, num, rest, unnest(range(1, len(whole) + 1)) AS i FROM found),
  statements AS (SELECT id, CAST(num[i] AS INTEGER) AS y, lower(right(array_to_string(
-   list_transform(range(1, i + 1), j -> rest[j] || CASE WHEN j < i THEN whole[j] ELSE '' END), ''), 35)) AS before
+   list_transform(range(1, i + 1), lambda j: rest[j] || CASE WHEN j < i THEN whole[j] ELSE '' END), ''), 35)) AS before
    FROM positions),
  lowest AS (SELECT id, min(y) AS years FROM statements WHERE NOT ({_PHRASES}) GROUP BY id)"""
 

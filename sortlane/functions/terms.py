@@ -7,19 +7,24 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
-@F.pandas_udf("string")
-def _fold_marks(texts: pd.Series) -> pd.Series:
+def _mark_folder():
+    """The folding function for Arrow batches; local, so that it travels with the task."""
+
     def fold(text):
         if text is None:
             return None
         decomposed = unicodedata.normalize("NFKD", text)
         return "".join(c for c in decomposed if not unicodedata.combining(c))
 
-    return texts.map(fold)
+    def fold_batch(texts: pd.Series) -> pd.Series:
+        return texts.map(fold)
+
+    return F.pandas_udf(fold_batch, StringType())
 
 
 def strip_accents(column: Column) -> Column:
@@ -28,7 +33,7 @@ def strip_accents(column: Column) -> Column:
     Only texts with a non-ASCII character are sent to Python, the others travel as null.
     """
     foreign = F.when(column.rlike(r"[^\x00-\x7F]"), column)
-    return F.coalesce(_fold_marks(foreign), column)
+    return F.coalesce(_mark_folder()(foreign), column)
 
 
 def tokens(folded: Column) -> Column:

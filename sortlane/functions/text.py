@@ -80,13 +80,21 @@ def _fold_exceptions() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return "".join(one_from), "".join(one_to), tuple(many)
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def casefold(column: Column) -> Column:
     one_from, one_to, many = _fold_exceptions()
-    folded = F.translate(F.lower(column), one_from, one_to)
     pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in many])
-    expanded = F.aggregate(pairs, folded, lambda text, p: F.replace(text, p["a"], p["b"]))
     rare = "[" + "".join(ch for ch, _ in many) + "]"
-    return F.when(folded.rlike(rare), expanded).otherwise(folded)
+
+    def expand(text: Column) -> Column:
+        expanded = F.aggregate(pairs, text, lambda t, p: F.replace(t, p["a"], p["b"]))
+        return F.when(text.rlike(rare), expanded).otherwise(text)
+
+    return let(F.translate(F.lower(column), one_from, one_to), expand)
 
 
 def key_title(title: Column) -> Column:

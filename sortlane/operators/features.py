@@ -10,20 +10,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sortlane.functions.text import encoder_text
+from sortlane.functions.text import encoder_text, let
 
 
 def l2_normalise(vector: Column) -> Column:
     """An array of numbers scaled to unit length; a zero vector stays as it is."""
     wide = vector.cast("array<double>")
     norm = F.sqrt(F.aggregate(wide, F.lit(0.0), lambda a, x: a + x * x))
-    # The norm sits in a one-element array so that it is computed once per row.
-    return F.flatten(
-        F.transform(
-            F.array(norm),
-            lambda n: F.transform(wide, lambda x: F.when(n > 0, x / n).otherwise(x)),
-        )
-    )
+    return let(norm, lambda n: F.transform(wide, lambda x: F.when(n > 0, x / n).otherwise(x)))
 
 
 def embedding_join(df: DataFrame, embeddings: DataFrame, on: str = "row_id") -> DataFrame:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
@@ -142,9 +141,13 @@ def tfidf_long(df: DataFrame, vocab: DataFrame, key: str = "row_id", terms: str
     return weighted.select(key, "term", "tf", (F.col("_raw") / norm).alias("weight"))
 
 
-@F.udf(VectorUDT())
-def _dampen(counts: SparseVector) -> SparseVector:
-    return Vectors.sparse(counts.size, counts.indices, [1.0 + math.log(v) for v in counts.values])
+def _damper():
+    """1 + ln c over the stored entries of a vector; local, so that it travels with the task."""
+
+    def dampen(counts: SparseVector) -> SparseVector:
+        return Vectors.sparse(counts.size, counts.indices, 1.0 + np.log(counts.values))
+
+    return F.udf(dampen, VectorUDT())
 
 
 class SublinearCounts(
@@ -158,7 +161,7 @@ class SublinearCounts(
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumn(self.getOutputCol(), _dampen(dataset[self.getInputCol()]))
+        return dataset.withColumn(self.getOutputCol(), _damper()(dataset[self.getInputCol()]))
 
 
 def tfidf_stages(vocab_rows: list, terms: str = "terms", out: str = "tfidf") -> list:
