@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 TEXT_FLAGS = "(?iudU)"
 LOWERED_FLAGS = "(?sU)"
 
-# Java's Unicode \s leaves out the four ASCII separators that count as blanks here.
+# Unicode \s leaves out the four ASCII separators that count as blanks here. Needs (?U).
 WHITESPACE = r"[\s\x1c-\x1f]"
 
 

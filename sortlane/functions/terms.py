@@ -1,4 +1,4 @@
-"""Terms of a text: accent folding, tokens, one- and two-grams and their counts in the row."""
+"""Terms of a text: accent folding, tokens, one- and two-grams."""
 
 from __future__ import annotations
 
@@ -43,10 +43,9 @@ def tokens(folded: Column) -> Column:
 
 def bigrams(words: Column) -> Column:
     """Neighbouring tokens joined by a space."""
-    pairs = F.arrays_zip(words.alias("a"), F.slice(words, 2, 2_000_000_000).alias("b"))
-    return F.transform(
-        F.filter(pairs, lambda p: p["b"].isNotNull()), lambda p: F.concat_ws(" ", p["a"], p["b"])
-    )
+    following = F.slice(words, 2, 2_000_000_000)
+    # The last token has no neighbour; its pair comes out null and is dropped.
+    return F.array_compact(F.zip_with(words, following, lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
 def with_terms(df, text: str, out: str = "terms"):
@@ -57,31 +56,3 @@ def with_terms(df, text: str, out: str = "terms"):
     folded = df.withColumn("_folded", strip_accents(F.lower(F.col(text))))
     words = folded.withColumn("_words", tokens(F.col("_folded"))).drop("_folded")
     return words.withColumn(out, F.concat("_words", bigrams(F.col("_words")))).drop("_words")
-
-
-def with_term_counts(df, terms: str = "terms", out: str = "term_counts"):
-    """Add the distinct terms of a row with their counts, without leaving the row.
-
-    In the sorted array a term's copies are adjacent: its first position starts a run and the
-    distance to the next run is its count.
-    """
-    ordered = df.withColumn("_sorted", F.array_sort(terms))
-    s = F.col("_sorted")
-    last = F.concat(F.array(F.lit(None).cast("string")), F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0))))
-    zipped = F.arrays_zip(s.alias("term"), last.alias("before"))
-    positions = F.filter(
-        F.transform(zipped, lambda z, i: F.struct(z["term"].alias("term"), z["before"].alias("before"), i.alias("at"))),
-        lambda z: z["term"].isNotNull() & ~z["term"].eqNullSafe(z["before"]),
-    )
-    runs = ordered.withColumn("_runs", positions).withColumn("_n", F.size("_sorted")).drop("_sorted")
-    r = F.col("_runs")
-    following = F.concat(
-        F.slice(F.transform(r, lambda z: z["at"]), 2, 2_000_000_000), F.array(F.col("_n"))
-    )
-    counted = F.transform(
-        F.arrays_zip(r.alias("run"), following.alias("next")),
-        lambda z: F.struct(
-            z["run"]["term"].alias("term"), (z["next"] - z["run"]["at"]).alias("tf")
-        ),
-    )
-    return runs.withColumn(out, F.when(F.col("_n") > 0, counted).otherwise(F.array().cast("array<struct<term:string,tf:int>>"))).drop("_runs", "_n")

@@ -35,13 +35,13 @@ def blank_if_null(column: Column) -> Column:
 
 def collapse(column: Column) -> Column:
     """Runs of whitespace become one space; none at either end."""
-    return F.trim(F.regexp_replace(column, "(?U)" + WHITESPACE + "+", " "))
+    return F.trim(F.regexp_replace(column, f"(?U){WHITESPACE}+", " "))
 
 
 def strip(column: Column) -> Column:
     """Drop whitespace of any kind from both ends."""
     ws = WHITESPACE
-    return F.regexp_replace(column, rf"(?U)^{ws}+|{ws}+\z", "")
+    return F.regexp_replace(column, rf"(?U)\A{ws}+|{ws}+\z", "")
 
 
 def clean_title(title: Column) -> Column:
@@ -87,11 +87,16 @@ def let(value: Column, use) -> Column:
 
 def casefold(column: Column) -> Column:
     one_from, one_to, many = _fold_exceptions()
-    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in many])
+    # One literal "from to" per line: cheap to build and folded to a constant array.
+    pairs = F.split(F.lit("\n".join(f"{a} {b}" for a, b in many)), "\n")
     rare = "[" + "".join(ch for ch, _ in many) + "]"
 
     def expand(text: Column) -> Column:
-        expanded = F.aggregate(pairs, text, lambda t, p: F.replace(t, p["a"], p["b"]))
+        expanded = F.aggregate(
+            pairs,
+            text,
+            lambda t, p: F.replace(t, F.substring_index(p, " ", 1), F.substring_index(p, " ", -1)),
+        )
         return F.when(text.rlike(rare), expanded).otherwise(text)
 
     return let(F.translate(F.lower(column), one_from, one_to), expand)

@@ -12,7 +12,6 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sortlane.functions.terms import with_term_counts
 from sortlane.rules import labels as fixed
 
 SALTS = 64
@@ -21,15 +20,14 @@ SALTS = 64
 def term_statistics(df: DataFrame, terms: str = "terms", by: list[str] | None = None) -> DataFrame:
     """Corpus count and document count of every term (per group).
 
-    Counts are taken inside each row first, so one partial aggregate and one shuffle by term
-    give both figures, and a stop word is one row per task.
+    A row yields its terms twice, once with and once without repeats. One partial aggregate
+    and one shuffle by term give both counts, and a stop word is one row per task.
     """
     by = by or []
-    counted = with_term_counts(df.select(*by, terms), terms).drop(terms)
-    return (
-        counted.select(*by, F.inline("term_counts"))
-        .groupBy(*by, "term")
-        .agg(F.sum("tf").alias("cf"), F.count("*").alias("df"))
+    twice = F.posexplode(F.array(F.col(terms), F.array_distinct(terms))).alias("_distinct", "_terms")
+    exploded = df.select(*by, twice).select(*by, "_distinct", F.explode("_terms").alias("term"))
+    return exploded.groupBy(*by, "term").agg(
+        F.count_if(F.col("_distinct") == 0).alias("cf"), F.count_if(F.col("_distinct") == 1).alias("df")
     )
 
 
@@ -129,14 +127,19 @@ def vocabularies_by_fold(
 def tfidf_long(df: DataFrame, vocab: DataFrame, key: str = "row_id", terms: str = "terms") -> DataFrame:
     """(key, term, tf, weight): sublinear counts times idf, each row scaled to unit length.
 
-    The vocabulary is capped by its construction, which bounds what is broadcast.
+    Rows are spread by key once, while their terms are still one array: counting and scaling
+    then both stay within a task. The vocabulary is capped by its construction, which bounds
+    what is broadcast.
     """
-    counted = with_term_counts(df.select(key, terms), terms)
-    weighted = (
-        counted.select(key, F.inline("term_counts"))
+    spread = df.select(key, terms).repartition(key)
+    counted = (
+        spread.select(key, F.explode(terms).alias("term"))
         .join(F.broadcast(vocab.select("term", "idf")), "term")
-        .withColumn("_raw", (1 + F.log(F.col("tf").cast("double"))) * F.col("idf"))
+        .groupBy(key, "term")
+        .agg(F.count("*").alias("tf"), F.first("idf").alias("idf"))
     )
+    raw = (1 + F.log(F.col("tf").cast("double"))) * F.col("idf")
+    weighted = counted.withColumn("_raw", raw)
     norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(key)))
     return weighted.select(key, "term", "tf", (F.col("_raw") / norm).alias("weight"))
 
