@@ -3,6 +3,7 @@
 from sortlane.catalog import (  # noqa: F401
     evaluation_queries,
     label_queries,
+    model_queries,
     rule_queries,
     text_queries,
 )

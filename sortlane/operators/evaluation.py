@@ -194,16 +194,22 @@ def gate_curve(
         .agg(F.count("*").alias("n"), F.sum("ok").alias("ok"))
     )
     # Every cut is reported, also those where no row falls: an empty count for each.
-    groups = counts.groupBy(*by).agg(F.sum("n").alias("total"))
     steps = F.explode(F.sequence(F.lit(0), F.lit(fixed.GATE_CUTS - 1))).alias("step")
     zero = F.lit(0).cast("long")
-    grid = groups.select(*by, steps, zero.alias("n"), zero.alias("ok"), "total")
-    counted = counts.join(groups, by) if by else counts.join(F.broadcast(groups))
+    groups = counts.groupBy(*by).agg(F.count("*").alias("_"))
+    grid = groups.select(*by, steps, zero.alias("n"), zero.alias("ok"))
     merged = (
-        counted.unionByName(grid).groupBy(*by, "step", "total").agg(F.sum("n").alias("n"), F.sum("ok").alias("ok"))
+        counts.unionByName(grid).groupBy(*by, "step").agg(F.sum("n").alias("n"), F.sum("ok").alias("ok"))
+    )
+    group = Window.partitionBy(*by)
+    down = group.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
+    running = merged.withColumns(
+        {
+            "kept": F.sum("n").over(down),
+            "right": F.sum("ok").over(down),
+            "total": F.sum("n").over(group),
+        }
     )
-    down = Window.partitionBy(*by).orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
-    running = merged.withColumns({"kept": F.sum("n").over(down), "right": F.sum("ok").over(down)})
     return running.filter(F.col("step") >= 0).select(
         *by,
         _cut(F.col("step")).alias("cut"),
@@ -243,15 +249,18 @@ def compare_vocabularies(metrics: DataFrame, native: str, merged: str, by: str =
     Accuracy always rises when classes merge; the lift over the majority class is the fair
     comparison.
     """
-    old = metrics.filter(F.col(by) == native)
-    new = metrics.filter(F.col(by) == merged)
-    renamed = new.select(*[F.col(c).alias("new_" + c) for c in metrics.columns])
-    paired = old.join(F.broadcast(renamed), F.col("new_" + by) == merged)
-    return paired.select(
-        F.col("accuracy").alias("native_accuracy"),
-        F.col("new_accuracy").alias("merged_accuracy"),
-        F.col("lift").alias("native_lift"),
-        F.col("new_lift").alias("merged_lift"),
-        F.round(F.col("new_accuracy") - F.col("accuracy"), 6).alias("accuracy_change"),
-        F.round(F.col("new_lift") - F.col("lift"), 6).alias("lift_change"),
+    def value(name: str, vocabulary: str) -> Column:
+        return F.max(F.when(F.col(by) == vocabulary, F.col(name)))
+
+    paired = metrics.agg(
+        value("accuracy", native).alias("native_accuracy"),
+        value("accuracy", merged).alias("merged_accuracy"),
+        value("lift", native).alias("native_lift"),
+        value("lift", merged).alias("merged_lift"),
+    )
+    return paired.withColumns(
+        {
+            "accuracy_change": F.round(F.col("merged_accuracy") - F.col("native_accuracy"), 6),
+            "lift_change": F.round(F.col("merged_lift") - F.col("native_lift"), 6),
+        }
     )

@@ -310,6 +310,13 @@ def out_of_fold(rows: DataFrame, classes: list[str], spec: HeadSpec) -> DataFram
     return whole
 
 
+def fit_head(train: DataFrame, classes: list[str], spec: HeadSpec, vocab: DataFrame | None) -> Head:
+    """Fit on rows of ``training_rows`` shape, without evaluation or gate."""
+    head = _fit_on(train, _vocab_rows(vocab) if vocab is not None else [], classes, spec)
+    head.info = _bare_info(spec, classes)
+    return head
+
+
 def _bare_info(spec: HeadSpec, classes: list[str]) -> HeadInfo:
     return HeadInfo(
         spec.name, classes, spec.learner, 0, None, False, None, None, 0.0, 0.0, None, 0.0, 0.0,
@@ -324,8 +331,7 @@ def _gate_predictions(rows: DataFrame, classes: list[str], spec: HeadSpec) -> Da
         return None
     rest, held = rows.filter(~F.col("held_out")), rows.filter(F.col("held_out"))
     vocab = vocabulary(rest, min_df=spec.min_df, max_features=spec.max_features)
-    head = _fit_on(rest, _vocab_rows(vocab), classes, spec)
-    head.info = _bare_info(spec, classes)
+    head = fit_head(rest, classes, spec, vocab)
     return score(held, head).select("y", F.col("top1").alias("p"), "conf")
 
 

@@ -51,8 +51,5 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     counts = df.groupBy(label).agg(F.count("*").alias("_n"))
-    whole = counts.agg(F.sum("_n").alias("_total"), F.count("*").alias("_k"))
-    # One row of totals meets one row per class.
-    return counts.join(F.broadcast(whole)).select(
-        label, (F.col("_total") / (F.col("_k") * F.col("_n"))).alias(out)
-    )
+    per_class = counts.agg(F.sum("_n") / F.count("*"))
+    return counts.select(label, (per_class.scalar() / F.col("_n")).alias(out))

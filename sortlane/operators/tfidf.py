@@ -6,7 +6,7 @@ import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
@@ -48,10 +48,10 @@ def _most_frequent(statistics: DataFrame, size: int, by: list[str]) -> DataFrame
         .agg(F.min("cf").alias("edge"))
     )
     if by:
-        candidates = statistics.join(F.broadcast(edge), by)
+        with_edge = statistics.join(F.broadcast(edge), by)
+        candidates = with_edge.filter(F.col("cf") >= F.col("edge")).drop("edge")
     else:
-        candidates = statistics.join(F.broadcast(edge))
-    candidates = candidates.filter(F.col("cf") >= F.col("edge")).drop("edge")
+        candidates = statistics.filter(F.col("cf") >= edge.scalar())
     order = [F.desc("cf"), F.asc("term")]
     salted = candidates.withColumn("_salt", F.pmod(F.xxhash64("term"), F.lit(SALTS)))
     part = Window.partitionBy(*by, "_salt").orderBy(*order)
@@ -79,7 +79,7 @@ def vocabulary(
     documents = df.agg(F.count("*").alias("documents"))
     statistics = term_statistics(df, terms).filter(F.col("df") >= min_df)
     kept = _most_frequent(statistics, max_features, [])
-    return _with_idf(kept.join(F.broadcast(documents)), F.col("documents")).drop("documents")
+    return _with_idf(kept, documents.scalar())
 
 
 def vocabularies_by_fold(
@@ -106,8 +106,7 @@ def vocabularies_by_fold(
     numbers = df.sparkSession.range(folds).select(F.col("id").cast("int").alias(fold))
     documents = (
         numbers.join(F.broadcast(sizes), fold, "left")
-        .join(F.broadcast(total))
-        .select(fold, (F.col("total_n") - F.coalesce("inside_n", F.lit(0))).alias("documents"))
+        .select(fold, (total.scalar() - F.coalesce("inside_n", F.lit(0))).alias("documents"))
     )
     own = F.try_element_at("inside", F.col(fold))
     statistics = (
@@ -147,7 +146,7 @@ def tfidf_long(df: DataFrame, vocab: DataFrame, key: str = "row_id", terms: str
 def _damper():
     """1 + ln c over the stored entries of a vector; local, so that it travels with the task."""
 
-    def dampen(counts: SparseVector) -> SparseVector:
+    def dampen(counts):
         return Vectors.sparse(counts.size, counts.indices, 1.0 + np.log(counts.values))
 
     return F.udf(dampen, VectorUDT())

@@ -118,6 +118,14 @@ def write_sample_results(results: DataFrame, path: str, fmt: str = "parquet") ->
 def _write(df: DataFrame, path: str, fmt: str) -> None:
     writer = df.write.mode("error")
     if fmt == "csv":
-        writer.csv(path, header=True, quote='"', escape='"', emptyValue="")
+        writer.csv(
+            path,
+            header=True,
+            quote='"',
+            escape='"',
+            emptyValue="",
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        )
     else:
         writer.parquet(path)
