@@ -229,7 +229,7 @@ def calibration_usable(spark, folder):
 )
 def balanced_weights(spark, folder):
     rows = table(spark, folder, "embeddings").select("vec_id", "label")
-    return splits.balanced_weights(rows, "label")
+    return splits.balanced_weights(rows, "label", row_id="vec_id")
 
 
 # --- features -------------------------------------------------------------------------
@@ -314,7 +314,7 @@ def l2_normalise(spark, folder):
 )
 def label_encode(spark, folder):
     rows = table(spark, folder, "documents").select("doc_id", F.concat("lang", "source").alias("class"))
-    return features.label_encode(rows, "class")
+    return features.label_encode(rows, "class", row_id="doc_id")
 
 
 @query(

@@ -284,7 +284,7 @@ def class_sizes(spark, folder):
     WHERE lang || '/' || source IN (SELECT class FROM ({SIZES_SQL}) s WHERE NOT dropped)""",
 )
 def class_floor(spark, folder):
-    return curation.class_floor(_classes(spark, folder), "class", FLOOR)
+    return curation.class_floor(_classes(spark, folder), "class", FLOOR, "doc_id")
 
 
 CURATED_CTES = f"""english AS (SELECT *, {group_sql('description')} AS g FROM training WHERE NOT {NON_ENGLISH_SQL}),
@@ -339,7 +339,7 @@ def class_size_per_row(spark, folder):
 
     documents = table(spark, folder, "documents").select("doc_id", "lang")
     sizes = documents.groupBy("lang").agg(F.count("*").alias("class_size"))
-    return lookup_join(documents, sizes, "lang")
+    return lookup_join(documents, sizes, "lang", "doc_id")
 
 
 @query(

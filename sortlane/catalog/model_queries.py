@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
-import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +9,14 @@ from pyspark.sql import functions as F
 from sortlane.catalog.fixtures import table, view
 from sortlane.catalog.label_queries import DAILY_SQL, LABEL_COLUMNS, RECOVERY, fill_blanks_cte, rule_updates
 from sortlane.catalog.registry import group_sql, model_text_sql, over, over_many, query
-from sortlane.catalog.text_queries import STAMP, keyword_merge_ctes
+from sortlane.catalog.text_queries import NON_ENGLISH_SQL, STAMP, keyword_merge_ctes
 from sortlane.functions.terms import with_terms
-from sortlane.functions.text import group_hash
-from sortlane.operators import features, heads, labels, predict, splits, tfidf
-from sortlane.operators.evaluation import find_threshold, gate_curve, head_metrics
+from sortlane.functions.text import blank_if_null, group_hash
+from sortlane.operators import columns, features, heads, labels, predict, tfidf, titles
+from sortlane.operators.evaluation import find_threshold, gate_curve
 from sortlane.plans import training
 from sortlane.plans.daily import rules_only
-from sortlane.plans.workspace import new_folder
+from sortlane.plans.workspace import materialise, new_folder
 from sortlane.schema import JOBS_SCHEMA, TARGET_COLUMNS
 from sortlane.sources import tables
 from sortlane.streaming import drain
@@ -189,7 +186,7 @@ VECTOR_LABEL = heads.HeadSpec("label", "label", floor=5, max_iter=20, separate_g
 
 def _split(rows: DataFrame, spec: heads.HeadSpec) -> tuple[DataFrame, DataFrame, list[str]]:
     """Training and held-out rows, group-disjoint, and the classes."""
-    rows = heads.training_rows(rows, spec)
+    rows = materialise(heads.training_rows(rows, spec), "training-rows")
     classes = sorted(r["y"] for r in rows.select("y").distinct().collect())
     return rows.filter(~F.col("held_out")), rows.filter(F.col("held_out")), classes
 
@@ -218,11 +215,23 @@ def calibrated_svm(spark, folder):
 @query("m6_out_of_fold")
 def out_of_fold(spark, folder):
     """Every vector scored by a head that has not seen it."""
-    rows = heads.training_rows(labelled_vectors(spark, folder), VECTOR_LABEL).persist()
+    rows = materialise(
+        heads.training_rows(labelled_vectors(spark, folder), VECTOR_LABEL), "training-rows"
+    )
     classes = sorted(r["y"] for r in rows.select("y").distinct().collect())
     return heads.out_of_fold(rows, classes, VECTOR_LABEL)
 
 
+@query(
+    "m6_scored_once",
+    """SELECT vec_id AS row_id, CAST(('0x' || substring(md5(CAST(vec_id AS VARCHAR)), 1, 8))::BIGINT % 5 AS INTEGER) AS fold,
+    'class ' || label AS y FROM embeddings""",
+)
+def scored_once(spark, folder):
+    """Row, fold and truth of the out-of-fold predictions: each row exactly once."""
+    return out_of_fold(spark, folder).select("row_id", "fold", "y")
+
+
 @query("m6_out_of_fold_gate")
 def out_of_fold_gate(spark, folder):
     predictions = out_of_fold(spark, folder)
@@ -310,17 +319,40 @@ def loaded_heads(spark: SparkSession, folder: str) -> dict[str, heads.Head]:
         return heads.load_heads(spark, stored_heads(spark, folder), TARGET_COLUMNS)
 
 
-@query("s6_load_heads")
+# Rows of every class of the three heads, after curation and class floors.
+HEAD_CLASSES = RECOVERY + f""", english AS (SELECT *, {group_sql('description')} AS g FROM recovered WHERE NOT {NON_ENGLISH_SQL}),
+ curated AS (SELECT * FROM english QUALIFY row_number() OVER (PARTITION BY g ORDER BY row_id) <= 2),
+ labelled AS (SELECT 'industry' AS head, 5 AS floor, industry AS class FROM curated UNION ALL SELECT 'role', 5, role FROM curated
+   UNION ALL SELECT 'job_type', 30, CASE WHEN job_type <> 'Volunteer' THEN job_type END FROM curated),
+ head_classes AS (SELECT head, class, count(*) AS n FROM labelled WHERE class IS NOT NULL GROUP BY ALL HAVING count(*) >= max(floor))"""
+
+
+@query(
+    "s6_load_heads",
+    over_many(
+        ["postings", "training"],
+        """SELECT head, CAST(sum(n) AS BIGINT) AS n_rows, CAST(count(*) AS INTEGER) AS classes,
+        round(100.0e0 * max(n) / sum(n), 6) AS baseline FROM head_classes GROUP BY head""",
+        HEAD_CLASSES,
+    ),
+)
 def load_heads(spark, folder):
-    """The stored heads; the three that were not fitted stay out."""
-    return heads.summary_table(spark, loaded_heads(spark, folder))
+    """Size and baseline of the stored heads; the three that were not fitted stay out."""
+    summary = heads.summary_table(spark, loaded_heads(spark, folder))
+    return summary.select("head", "n_rows", "classes", "baseline")
 
 
-@query("s10_save_head")
+@query(
+    "s10_save_head",
+    over_many(["postings", "training"], "SELECT head, class FROM head_classes", HEAD_CLASSES),
+)
 def save_head(spark, folder):
     """Classes of every stored head, from the stored facts."""
     stored = stored_heads(spark, folder)
-    facts = [spark.read.parquet(f"{stored}/{n}/info").withColumn("head", F.lit(n)) for n in loaded_heads(spark, folder)]
+    facts = [
+        spark.read.parquet(f"{stored}/{name}/info").withColumn("head", F.lit(name))
+        for name in loaded_heads(spark, folder)
+    ]
     whole = facts[0]
     for part in facts[1:]:
         whole = whole.unionByName(part)
@@ -328,20 +360,50 @@ def save_head(spark, folder):
     return whole.select("head", F.explode(classes).alias("class"))
 
 
+def _predicted(spark, folder) -> DataFrame:
+    jobs = view(spark, folder, "jobs").select("id", "title", "description")
+    return predict.predict_batch(jobs, loaded_heads(spark, folder))
+
+
 @query("p1_predict_batch")
 def predict_batch(spark, folder):
-    jobs = view(spark, folder, "jobs").select("id", "title", "description")
-    predicted = predict.predict_batch(jobs, loaded_heads(spark, folder))
-    return predict.sample_results(predicted).withColumn("conf_known", F.lit(True))
+    """Six labels of every job and the confidence of the role head."""
+    predicted = _predicted(spark, folder)
+    return predicted.select("id", *TARGET_COLUMNS, "conf")
+
+
+@query(
+    "p1_rule_decided",
+    over(
+        "jobs",
+        """SELECT id, title_reason, CASE WHEN title_reason <> '' THEN new_role END AS ruled_role, collar_code IS NOT NULL AS collar_ruled,
+        CASE WHEN collar_code IS NOT NULL THEN new_collar END AS ruled_collar, remote_rule AS remote_mode FROM column_ruled""",
+        rule_updates("jobs").replace(" WHERE classified_at IS NULL", ""),
+    ),
+)
+def rule_decided(spark, folder):
+    """The part of the predictions that the rules fix, whatever the heads say."""
+    predicted = _predicted(spark, folder)
+    ruled = F.col("title_reason") != ""
+    collar = columns.collar_code(blank_if_null(F.col("title"))).isNotNull()
+    # "Director, Engineering" keeps the head's role, which SQL cannot know.
+    keeps = predicted.withColumn("_function", titles.title_rule(blank_if_null(F.col("title"))))
+    role = F.when(ruled & (F.col("_function") != 5), F.col("role")).when(ruled, F.lit(""))
+    return keeps.select(
+        "id",
+        "title_reason",
+        role.alias("ruled_role"),
+        collar.alias("collar_ruled"),
+        F.when(collar, F.col("collar")).alias("ruled_collar"),
+        "remote_mode",
+    )
 
 
 @query("p2_predict_detail")
 def predict_detail(spark, folder):
     jobs = view(spark, folder, "jobs").select("id", "title", "description")
     detail = predict.predict_detail(jobs, loaded_heads(spark, folder))
-    return detail.select(
-        "id", *[F.struct(F.col(c)["value"].alias("value"), F.col(c)["review"].alias("review"), F.col(c)["note"].alias("note")).alias(c) for c in TARGET_COLUMNS]
-    )
+    return detail.select("id", *TARGET_COLUMNS)
 
 
 @query("s8_write_predictions")

@@ -23,28 +23,20 @@ def cap_per_group(
     k: int = fixed.ROWS_PER_GROUP,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Keep the first ``k`` rows of every group in the given (unique) order.
+    """Keep the first ``k`` rows of every group in the given order, a unique row id.
 
-    Only (group, order) pairs are ranked, in two rounds: within salted parts of a group, then
-    over the at most k + 1 survivors of each part. No task ever sees a whole large group. The
-    outcome is one cut-off per oversized group, which the wide rows meet in a left join with
-    unique keys on the right: broadcast when small, split by AQE when a group is hot.
+    Only (group, id) pairs are ranked, in two rounds: within salted parts of a group, then
+    over the at most ``k`` survivors of each part, so no task ever sees a whole large group.
+    The wide rows then meet the surviving ids in a semi join on the id, which has no hot
+    value: they are moved at most once, and never by group.
     """
-    pairs = df.select(F.col(group).alias("_group"), F.col(order).alias("_order"))
-    salted = pairs.withColumn("_salt", F.pmod(F.xxhash64("_order"), F.lit(salts)))
-    part = Window.partitionBy("_group", "_salt").orderBy("_order")
-    whole = Window.partitionBy("_group").orderBy("_order")
-    survivors = salted.withColumn("_rank", F.row_number().over(part)).filter(
-        F.col("_rank") <= k + 1
-    )
-    cutoffs = (
-        survivors.withColumn("_rank", F.row_number().over(whole))
-        .filter(F.col("_rank") == k + 1)
-        .select(F.col("_group").alias(group), F.col("_order").alias("_cutoff"))
-    )
-    joined = df.join(cutoffs, group, "left")
-    kept = F.col("_cutoff").isNull() | (F.col(order) < F.col("_cutoff"))
-    return joined.filter(kept).drop("_cutoff")
+    pairs = df.select(F.col(group).alias("_group"), F.col(order).alias(order))
+    salted = pairs.withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(salts)))
+    part = Window.partitionBy("_group", "_salt").orderBy(order)
+    whole = Window.partitionBy("_group").orderBy(order)
+    survivors = salted.withColumn("_rank", F.row_number().over(part)).filter(F.col("_rank") <= k)
+    first = survivors.withColumn("_rank", F.row_number().over(whole)).filter(F.col("_rank") <= k)
+    return df.join(first.select(order), order, "left_semi")
 
 
 def curate(df: DataFrame, order: str = "row_id", k: int = fixed.ROWS_PER_GROUP) -> DataFrame:
@@ -63,7 +55,9 @@ def class_sizes(df: DataFrame, label: str, floor: int) -> DataFrame:
     )
 
 
-def class_floor(df: DataFrame, label: str, floor: int | None = None) -> DataFrame:
+def class_floor(
+    df: DataFrame, label: str, floor: int | None = None, row_id: str = "row_id"
+) -> DataFrame:
     """Rows whose class has at least ``floor`` rows; unlabelled rows go too.
 
     Class counts are combined before the shuffle and the wide rows are filtered in place: with
@@ -72,4 +66,4 @@ def class_floor(df: DataFrame, label: str, floor: int | None = None) -> DataFram
     if floor is None:
         floor = fixed.CLASS_FLOOR.get(label, fixed.DEFAULT_CLASS_FLOOR)
     learnable = class_sizes(df, label, floor).filter(~F.col("dropped")).select(label)
-    return keep_members(df, label, learnable)
+    return keep_members(df, label, learnable, row_id)

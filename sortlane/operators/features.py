@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sortlane.functions.text import encoder_text, let
+from sortlane.plans.bounded import lookup_join
 
 
 def l2_normalise(vector: Column) -> Column:
@@ -49,13 +50,13 @@ def check_alignment(df: DataFrame, embeddings: DataFrame, on: str = "row_id") ->
         raise ValueError(f"rows and vectors do not match: {r.asDict()}")
 
 
-def label_encode(df: DataFrame, label: str, out: str = "label_index") -> DataFrame:
+def label_encode(
+    df: DataFrame, label: str, out: str = "label_index", row_id: str = "row_id"
+) -> DataFrame:
     """Classes in order -> 0..k-1, numbered over the distinct classes only."""
-    from sortlane.plans.bounded import lookup_join
-
     classes = df.select(label).filter(F.col(label).isNotNull()).distinct()
     numbered = classes.withColumn(out, F.row_number().over(Window.orderBy(label)) - 1)
-    return lookup_join(df, numbered, label)
+    return lookup_join(df, numbered, label, row_id)
 
 
 def assemble(vector_columns: list[str], out: str = "features") -> VectorAssembler:

@@ -9,9 +9,11 @@ held-out margins, averaged over three group-disjoint splits: k times as many fit
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
     LinearSVCModel,
@@ -25,9 +27,14 @@ from pyspark.sql import functions as F
 from sortlane.operators.evaluation import find_threshold, gate_curve, head_metrics
 from sortlane.operators.features import assemble
 from sortlane.operators.splits import balanced_weights, calibration_usable, fold_of, held_out
-from sortlane.operators.tfidf import tfidf_stages, vocabularies_by_fold, vocabulary
+from sortlane.operators.tfidf import (
+    scratch_columns,
+    tfidf_stages,
+    vocabularies_by_fold,
+    vocabulary,
+)
 from sortlane.operators.curation import class_floor
-from sortlane.plans.bounded import small_rows
+from sortlane.plans.workspace import materialise
 from sortlane.rules import labels as fixed
 
 
@@ -47,6 +54,7 @@ class HeadSpec:
     svm_c: float = fixed.SVM_C
     min_df: int = fixed.NGRAM_MIN_DF
     max_features: int = fixed.NGRAM_MAX_FEATURES
+    parallelism: int = 4
 
 
 @dataclass
@@ -98,25 +106,41 @@ def _vocab_rows(vocab: DataFrame) -> list:
     return sorted(vocab.select("term", "idf").collect(), key=lambda r: r["term"])
 
 
-def _feature_pipeline(df: DataFrame, vocab_rows: list, with_embedding: bool) -> PipelineModel:
+def _feature_pipeline(
+    spark: SparkSession, name: str, vocab_rows: list, with_embedding: bool
+) -> PipelineModel:
+    """Stages from ``terms`` and ``embedding_vector`` to <name>_features."""
     inputs, stages = [], []
     if vocab_rows:
-        stages += tfidf_stages(vocab_rows)
-        inputs.append("tfidf")
+        stages += tfidf_stages(spark, vocab_rows, f"{name}_")
+        inputs.append(f"{name}_tfidf")
     if with_embedding:
         inputs.append("embedding_vector")
     if not inputs:
         raise ValueError("no features: no term reaches the minimum and there is no embedding")
-    stages.append(assemble(inputs))
-    return PipelineModel([s for s in stages])
+    stages.append(assemble(inputs, f"{name}_features"))
+    return PipelineModel(stages)
+
 
+def featurise(df: DataFrame, features: dict[str, PipelineModel]) -> DataFrame:
+    """Add <name>_features for several heads at once.
 
-def _featurise(df: DataFrame, features: PipelineModel) -> DataFrame:
-    prepared = df
+    The heads go through their stages side by side, so that the Arrow steps of all of them
+    are one round trip per batch.
+    """
+    wide = df
     if "embedding" in df.columns:
-        prepared = df.withColumn("embedding_vector", array_to_vector(F.col("embedding").cast("array<double>")))
-    wide = features.transform(prepared)
-    return wide.drop(*[c for c in ("_tf", "_tf1", "_tfidf", "tfidf", "embedding_vector") if c in wide.columns])
+        vector = array_to_vector(F.col("embedding").cast("array<double>"))
+        wide = df.withColumn("embedding_vector", vector)
+    longest = max(len(f.stages) for f in features.values())
+    for step in range(longest):
+        for pipeline in features.values():
+            if step < len(pipeline.stages):
+                wide = pipeline.stages[step].transform(wide)
+    scratch = {"embedding_vector"}
+    for name in features:
+        scratch |= {*scratch_columns(f"{name}_"), f"{name}_tfidf"}
+    return wide.drop(*[c for c in wide.columns if c in scratch])
 
 
 def _fit_logistic(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> LogisticRegressionModel:
@@ -166,7 +190,7 @@ def _fit_svm(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> list[lis
     return members
 
 
-def _probabilities(df: DataFrame, members: list, classes: int) -> DataFrame:
+def _probabilities(df: DataFrame, features: str, members: list, classes: int) -> DataFrame:
     """Add ``probs``, one probability per class, averaged over the members."""
     columns, scratch = [], []
     for m, member in enumerate(members):
@@ -174,6 +198,7 @@ def _probabilities(df: DataFrame, members: list, classes: int) -> DataFrame:
             probability, raw, hit = f"_p{m}", f"_r{m}", f"_h{m}"
             df = member.copy(
                 {
+                    member.featuresCol: features,
                     member.probabilityCol: probability,
                     member.rawPredictionCol: raw,
                     member.predictionCol: hit,
@@ -185,7 +210,8 @@ def _probabilities(df: DataFrame, members: list, classes: int) -> DataFrame:
         scores = []
         for c, (svm, sigmoid) in enumerate(member):
             raw = f"_r{m}_{c}"
-            df = svm.copy({svm.rawPredictionCol: raw, svm.predictionCol: "_hit"}).transform(df).drop("_hit")
+            renamed = {svm.featuresCol: features, svm.rawPredictionCol: raw, svm.predictionCol: "_hit"}
+            df = svm.copy(renamed).transform(df).drop("_hit")
             slope, offset = float(sigmoid.coefficients[0]), float(sigmoid.intercept)
             margin = F.get(vector_to_array(raw), F.lit(1))
             scores.append(1 / (1 + F.exp(-(margin * slope + offset))))
@@ -249,11 +275,24 @@ def top_two(df: DataFrame, classes: list[str], prefix: str = "") -> DataFrame:
 
 
 def score(df: DataFrame, head: Head, prefix: str = "") -> DataFrame:
-    """Add the head's best label, confidence and runner-up to every row, without a shuffle."""
-    wide = _featurise(df, head.features)
-    classes = head.info.classes
-    scored = _probabilities(wide, head.members, len(classes)).drop("features")
-    return top_two(scored, classes, prefix)
+    """Add the head's best label, runner-up and confidence to every row, without a shuffle."""
+    name = head.info.name
+    wide = featurise(df, {name: head.features})
+    return _score_features(wide, head, prefix)
+
+
+def score_all(df: DataFrame, heads: dict[str, Head]) -> DataFrame:
+    """Like ``score`` for several heads; the columns are prefixed by the head's key."""
+    wide = featurise(df, {h.info.name: h.features for h in heads.values()})
+    for key, head in heads.items():
+        wide = _score_features(wide, head, f"{key}_")
+    return wide
+
+
+def _score_features(wide: DataFrame, head: Head, prefix: str) -> DataFrame:
+    column = f"{head.info.name}_features"
+    with_probs = _probabilities(wide, column, head.members, len(head.info.classes))
+    return top_two(with_probs.drop(column), head.info.classes, prefix)
 
 
 def training_rows(df: DataFrame, spec: HeadSpec) -> DataFrame:
@@ -276,15 +315,18 @@ def _prepare(rows: DataFrame, classes: list[str]) -> DataFrame:
 
 
 def _fit_on(train: DataFrame, vocab_rows: list, classes: list[str], spec: HeadSpec) -> Head:
-    with_embedding = "embedding" in train.columns
-    features = _feature_pipeline(train, vocab_rows, with_embedding)
-    frame = _featurise(_prepare(train, classes), features).persist()
+    features = _feature_pipeline(
+        train.sparkSession, spec.name, vocab_rows, "embedding" in train.columns
+    )
+    wide = featurise(_prepare(train, classes), {spec.name: features}).select(
+        "group", "label_index", "weight", F.col(f"{spec.name}_features").alias("features")
+    )
+    frame = wide.persist()
     try:
-        n = frame.count()
-        members = _fit_members(frame, len(classes), spec, n)
+        members = _fit_members(frame, len(classes), spec, frame.count())
     finally:
         frame.unpersist()
-    return Head(info=None, features=features, members=members)
+    return Head(_bare_info(spec, classes), features, members)
 
 
 def out_of_fold(rows: DataFrame, classes: list[str], spec: HeadSpec) -> DataFrame:
@@ -296,14 +338,18 @@ def out_of_fold(rows: DataFrame, classes: list[str], spec: HeadSpec) -> DataFram
     # At most folds x max_features rows.
     for r in vocab.select("fold", "term", "idf").collect():
         per_fold[r["fold"]].append(r)
-    present = {r["fold"] for r in rows.select("fold").distinct().collect()}
-    scored = []
-    for f in sorted(present):
+    present = sorted(r["fold"] for r in rows.select("fold").distinct().collect())
+
+    def one_fold(f: int) -> DataFrame:
         vocab_rows = sorted(per_fold[f], key=lambda r: r["term"])
         head = _fit_on(rows.filter(F.col("fold") != f), vocab_rows, classes, spec)
-        head.info = _bare_info(spec, classes)
         test = score(rows.filter(F.col("fold") == f), head)
-        scored.append(test.select("row_id", "fold", "y", F.col("top1").alias("p"), "conf"))
+        return test.select("row_id", "fold", "y", F.col("top1").alias("p"), "conf")
+
+    # Folds are independent; fitting some side by side fills the gaps between short jobs.
+    with ThreadPoolExecutor(max_workers=spec.parallelism) as pool:
+        work = inheritable_thread_target(rows.sparkSession)(one_fold)
+        scored = list(pool.map(work, present))
     whole = scored[0]
     for part in scored[1:]:
         whole = whole.unionByName(part)
@@ -312,9 +358,7 @@ def out_of_fold(rows: DataFrame, classes: list[str], spec: HeadSpec) -> DataFram
 
 def fit_head(train: DataFrame, classes: list[str], spec: HeadSpec, vocab: DataFrame | None) -> Head:
     """Fit on rows of ``training_rows`` shape, without evaluation or gate."""
-    head = _fit_on(train, _vocab_rows(vocab) if vocab is not None else [], classes, spec)
-    head.info = _bare_info(spec, classes)
-    return head
+    return _fit_on(train, _vocab_rows(vocab) if vocab is not None else [], classes, spec)
 
 
 def _bare_info(spec: HeadSpec, classes: list[str]) -> HeadInfo:
@@ -341,58 +385,50 @@ def train_head(df: DataFrame, spec: HeadSpec) -> tuple[Head | None, DataFrame |
     Returns the head and its out-of-fold predictions; nothing where fewer than two classes
     are learnable.
     """
-    rows = training_rows(df, spec).persist()
-    try:
-        classes = sorted(r["y"] for r in rows.select("y").distinct().collect())
-        if len(classes) < 2:
-            return None, None
-        predictions = out_of_fold(rows, classes, spec).persist()
-        metrics = head_metrics(predictions).first()
-        if spec.separate_gate:
-            gate_rows, source = _gate_predictions(rows, classes, spec), "separate group-disjoint part"
-        else:
-            gate_rows, source = predictions, "out-of-fold predictions"
-        gate = None
-        if gate_rows is not None:
-            gate = find_threshold(gate_curve(gate_rows), spec.min_kept).first()
-        vocab = vocabulary(rows, min_df=spec.min_df, max_features=spec.max_features)
-        head = _fit_on(rows, _vocab_rows(vocab), classes, spec)
-        head.info = HeadInfo(
-            name=spec.name,
-            classes=classes,
-            learner=spec.learner,
-            n_train=metrics["n_rows"],
-            threshold=gate["threshold"] if gate else None,
-            gatable=bool(gate and gate["gatable"]),
-            gate_precision=gate["precision_pct"] if gate else None,
-            gate_coverage=gate["coverage_pct"] if gate else None,
-            accuracy=metrics["accuracy"],
-            macro_f1=metrics["macro_f1"],
-            kappa=metrics["kappa"],
-            baseline=metrics["baseline"],
-            lift=metrics["lift"],
-            label_source=spec.label_source,
-            threshold_from=source if gate_rows is not None else "none",
-        )
-        return head, predictions
-    finally:
-        rows.unpersist()
+    rows = materialise(training_rows(df, spec), "training-rows")
+    classes = sorted(r["y"] for r in rows.select("y").distinct().collect())
+    if len(classes) < 2:
+        return None, None
+    predictions = materialise(out_of_fold(rows, classes, spec), "out-of-fold")
+    metrics = head_metrics(predictions).first()
+    if spec.separate_gate:
+        gate_rows, source = _gate_predictions(rows, classes, spec), "separate group-disjoint part"
+    else:
+        gate_rows, source = predictions, "out-of-fold predictions"
+    gate = None
+    if gate_rows is not None:
+        gate = find_threshold(gate_curve(gate_rows), spec.min_kept).first()
+    vocab = vocabulary(rows, min_df=spec.min_df, max_features=spec.max_features)
+    head = fit_head(rows, classes, spec, vocab)
+    head.info = HeadInfo(
+        name=spec.name,
+        classes=classes,
+        learner=spec.learner,
+        n_train=metrics["n_rows"],
+        threshold=gate["threshold"] if gate else None,
+        gatable=bool(gate and gate["gatable"]),
+        gate_precision=gate["precision_pct"] if gate else None,
+        gate_coverage=gate["coverage_pct"] if gate else None,
+        accuracy=metrics["accuracy"],
+        macro_f1=metrics["macro_f1"],
+        kappa=metrics["kappa"],
+        baseline=metrics["baseline"],
+        lift=metrics["lift"],
+        label_source=spec.label_source,
+        threshold_from=source if gate_rows is not None else "none",
+    )
+    return head, predictions
 
 
 def train_heads(df: DataFrame, specs: list[HeadSpec]) -> dict[str, Head]:
-    """Fit every head over one shared frame of terms and embeddings."""
-    shared = df.persist()
-    try:
-        fitted = {}
-        for spec in specs:
-            head, predictions = train_head(shared, spec)
-            if predictions is not None:
-                predictions.unpersist()
-            if head is not None:
-                fitted[spec.name] = head
-        return fitted
-    finally:
-        shared.unpersist()
+    """Fit every head over one shared, stored frame of terms and embeddings."""
+    shared = materialise(df, "training-frame")
+    fitted = {}
+    for spec in specs:
+        head, _ = train_head(shared, spec)
+        if head is not None:
+            fitted[spec.name] = head
+    return fitted
 
 
 def summary_table(spark: SparkSession, heads: dict[str, Head]) -> DataFrame:

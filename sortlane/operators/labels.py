@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sortlane.functions.text import blank_if_null, key_hash, strip
 from sortlane.plans.bounded import value_counts
+from sortlane.plans.skew import left_join_unique
 from sortlane.rules import labels as fixed
 
 SOURCE_FIELDS = {
@@ -115,10 +116,12 @@ def map_experience3(level: Column) -> Column:
     return F.coalesce(_map_value(level, fixed.EXPERIENCE_3), level)
 
 
-def recover_labels(training: DataFrame, postings: DataFrame) -> DataFrame:
+def recover_labels(
+    training: DataFrame, postings: DataFrame, row_id: str = "row_id"
+) -> DataFrame:
     """Training rows with job type, experience, remote and collar labels; unknown is null."""
     keyed = training.withColumn("key", key_hash(F.col("title"), F.col("description")))
-    joined = keyed.join(unanimous_labels(postings), "key", "left").drop("key")
+    joined = left_join_unique(keyed, unanimous_labels(postings), "key", row_id).drop("key")
     return joined.withColumns(
         {
             "job_type": F.col("work_type"),
@@ -140,11 +143,8 @@ def last_wins_join(training: DataFrame, postings: DataFrame, order: str = "row_i
     """Training rows with the last source row of their key; ``joined`` marks a hit."""
     keyed = training.withColumn("key", key_hash(F.col("title"), F.col("description")))
     lookup = last_labels(postings, order).withColumn("joined", F.lit(True))
-    return (
-        keyed.join(lookup, "key", "left")
-        .withColumn("joined", F.coalesce("joined", F.lit(False)))
-        .drop("key")
-    )
+    joined = left_join_unique(keyed, lookup, "key", order)
+    return joined.withColumn("joined", F.coalesce("joined", F.lit(False))).drop("key")
 
 
 def join_rate(training: DataFrame, postings: DataFrame) -> DataFrame:
@@ -172,91 +172,86 @@ def join_rate(training: DataFrame, postings: DataFrame) -> DataFrame:
 
 
 def fill_rates(df: DataFrame, columns: list[str], top: int = 12) -> DataFrame:
-    """Per column: rows, filled rows and the most frequent values, '(empty)' among them.
-
-    Ties in the count are ordered by value.
-    """
+    """Per column: rows, filled rows and the most frequent values, '(empty)' among them."""
     cleaned = df.select(
         *[
             F.coalesce(F.nullif(strip(blank_if_null(F.col(c))), F.lit("")), F.lit("(empty)")).alias(c)
             for c in columns
         ]
     )
-    return top_values(value_counts(cleaned, columns), top, empty="(empty)")
-
-
-def top_values(counts: DataFrame, top: int, empty: str | None) -> DataFrame:
-    """The report shape shared by fill rates and column coverage.
+    counts = value_counts(cleaned, columns)
+    totals = _totals(counts, F.col("value") != "(empty)")
+    return (
+        _most_frequent(counts, top)
+        .join(totals, "column_name")
+        .select(
+            "column_name",
+            "rows",
+            "filled",
+            F.round(100.0 * F.col("filled") / F.col("rows"), 6).alias("filled_pct"),
+            "rank",
+            "value",
+            "n",
+            F.round(100.0 * F.col("n") / F.col("rows"), 6).alias("pct"),
+        )
+    )
 
-    ``counts`` holds (column_name, value, n). ``empty`` names the value that counts as blank;
-    with None, blanks were dropped before and the totals come from the values alone.
-    """
-    from pyspark.sql import Window
 
-    per_column = Window.partitionBy("column_name")
-    blank = F.lit(False) if empty is None else F.col("value") == empty
-    totals = counts.groupBy("column_name").agg(
+def _totals(counts: DataFrame, filled: Column) -> DataFrame:
+    """Rows and filled rows per column, from (column_name, value, n)."""
+    return counts.groupBy("column_name").agg(
         F.sum("n").alias("rows"),
-        F.sum(F.when(blank, 0).otherwise(F.col("n"))).alias("filled"),
-    )
-    ranked = counts.withColumn(
-        "rank", F.row_number().over(per_column.orderBy(F.desc("n"), "value"))
-    ).filter(F.col("rank") <= top)
-    return ranked.join(totals, "column_name").select(
-        "column_name",
-        "rows",
-        "filled",
-        F.round(100.0 * F.col("filled") / F.col("rows"), 6).alias("filled_pct"),
-        "rank",
-        "value",
-        "n",
-        F.round(100.0 * F.col("n") / F.col("rows"), 6).alias("pct"),
+        F.sum(F.when(filled, F.col("n")).otherwise(0)).alias("filled"),
     )
 
 
+def _most_frequent(counts: DataFrame, top: int) -> DataFrame:
+    """The first values per column by count, ties in value order."""
+    order = Window.partitionBy("column_name").orderBy(F.desc("n"), "value")
+    ranked = counts.withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= top)
+
+
 def label_coverage(df: DataFrame, columns: list[str]) -> DataFrame:
     """Labelled rows per column and the mix of its classes; blank and null are unlabelled."""
-    blank = F.coalesce(F.col("value"), F.lit("")) == ""
     counts = value_counts(df, columns)
-    totals = counts.groupBy("column_name").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(blank, 0).otherwise(F.col("n"))).alias("labelled"),
-    )
-    classes = counts.filter(~blank)
-    return totals.join(classes, "column_name", "left").select(
-        "column_name",
-        "rows",
-        "labelled",
-        F.round(100.0 * F.col("labelled") / F.col("rows"), 6).alias("labelled_pct"),
-        "value",
-        F.col("n"),
-        F.round(100.0 * F.col("n") / F.col("labelled"), 6).alias("class_pct"),
+    filled = _is_filled(F.col("value"))
+    return (
+        _totals(counts, filled)
+        .join(counts.filter(filled), "column_name", "left")
+        .select(
+            "column_name",
+            "rows",
+            F.col("filled").alias("labelled"),
+            F.round(100.0 * F.col("filled") / F.col("rows"), 6).alias("labelled_pct"),
+            "value",
+            "n",
+            F.round(100.0 * F.col("n") / F.col("filled"), 6).alias("class_pct"),
+        )
     )
 
 
 def column_coverage(df: DataFrame, columns: list[str], top: int = 6) -> DataFrame:
     """Filled rows and the most frequent values of every predicted column."""
-    blank = F.coalesce(F.col("value"), F.lit("")) == ""
     counts = value_counts(df, columns)
-    totals = counts.groupBy("column_name").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(blank, 0).otherwise(F.col("n"))).alias("filled"),
+    filled = _is_filled(F.col("value"))
+    return (
+        _totals(counts, filled)
+        .join(_most_frequent(counts.filter(filled), top), "column_name", "left")
+        .select(
+            "column_name",
+            "rows",
+            "filled",
+            F.round(100.0 * F.col("filled") / F.col("rows"), 6).alias("filled_pct"),
+            "rank",
+            "value",
+            "n",
+        )
     )
-    from pyspark.sql import Window
 
-    order = Window.partitionBy("column_name").orderBy(F.desc("n"), "value")
-    ranked = (
-        counts.filter(~blank).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-    )
-    return totals.join(ranked, "column_name", "left").select(
-        "column_name",
-        "rows",
-        "filled",
-        F.round(100.0 * F.col("filled") / F.col("rows"), 6).alias("filled_pct"),
-        "rank",
-        "value",
-        "n",
-    )
+
+def _is_filled(value: Column) -> Column:
+    return F.coalesce(value, F.lit("")) != ""
 
 
 def inferred_remote_negative(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sortlane.functions.terms import with_terms
 from sortlane.functions.text import model_text
 from sortlane.operators.columns import apply_column_rules, notes_text
-from sortlane.operators.heads import Head, score
+from sortlane.operators.heads import Head, score_all
 from sortlane.operators.titles import apply_title_rules, wants_second_label
 from sortlane.schema import TARGET_COLUMNS
 
@@ -23,10 +23,9 @@ def score_heads(df: DataFrame, heads: dict[str, Head]) -> DataFrame:
     """
     text = df.withColumn("_text", model_text(F.col("title"), F.col("description")))
     scored = with_terms(text, "_text").drop("_text")
+    scored = score_all(scored, {c: heads[c] for c in TARGET_COLUMNS if c in heads}).drop("terms")
     for name in TARGET_COLUMNS:
-        if name in heads:
-            scored = score(scored, heads[name], f"{name}_")
-        else:
+        if name not in heads:
             scored = scored.withColumns(
                 {
                     f"{name}_top1": F.lit(""),
@@ -34,7 +33,7 @@ def score_heads(df: DataFrame, heads: dict[str, Head]) -> DataFrame:
                     f"{name}_conf": F.lit(0.0),
                 }
             )
-    return scored.drop("terms")
+    return scored
 
 
 def predict_batch(df: DataFrame, heads: dict[str, Head]) -> DataFrame:

@@ -44,9 +44,11 @@ def calibration_usable(df: DataFrame, label: str, held: str, classes: int, min_r
     )
 
 
-def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
+def balanced_weights(
+    df: DataFrame, label: str, out: str = "weight", row_id: str = "row_id"
+) -> DataFrame:
     """Weight n / (k * n_c): every class weighs the same in total."""
-    return lookup_join(df, class_weights(df, label, out), label)
+    return lookup_join(df, class_weights(df, label, out), label, row_id)
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:

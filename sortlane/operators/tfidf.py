@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Transformer
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sortlane.rules import labels as fixed
@@ -144,12 +143,23 @@ def tfidf_long(df: DataFrame, vocab: DataFrame, key: str = "row_id", terms: str
 
 
 def _damper():
-    """1 + ln c over the stored entries of a vector; local, so that it travels with the task."""
+    """1 + ln c over the stored entries of count vectors, a whole Arrow batch at a time.
 
-    def dampen(counts):
-        return Vectors.sparse(counts.size, counts.indices, 1.0 + np.log(counts.values))
+    The function is local, so that it travels with the task.
+    """
+
+    def dampen(vectors):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        counts = vectors.field("values")
+        damped = pa.ListArray.from_arrays(
+            counts.offsets, pc.add(pc.ln(counts.values), 1.0), type=counts.type
+        )
+        parts = [vectors.field(name) for name in ("type", "size", "indices")]
+        return pa.StructArray.from_arrays([*parts, damped], fields=list(vectors.type))
 
-    return F.udf(dampen, VectorUDT())
+    return F.arrow_udf(dampen, VectorUDT())
 
 
 class SublinearCounts(
@@ -166,19 +176,32 @@ class SublinearCounts(
         return dataset.withColumn(self.getOutputCol(), _damper()(dataset[self.getInputCol()]))
 
 
-def tfidf_stages(vocab_rows: list, terms: str = "terms", out: str = "tfidf") -> list:
+def tfidf_stages(
+    spark: SparkSession, vocab_rows: list, prefix: str = "", terms: str = "terms"
+) -> list:
     """ML stages that turn an array of terms into unit TF-IDF vectors, without a shuffle.
 
-    ``vocab_rows`` are (term, idf) rows of a capped vocabulary.
+    ``vocab_rows`` are (term, idf) rows of a capped vocabulary. The result is the column
+    <prefix>tfidf.
     """
-    vocabulary_terms = [r["term"] for r in vocab_rows]
-    idf = Vectors.dense([r["idf"] for r in vocab_rows])
-    counts = CountVectorizerModel.from_vocabulary(
-        vocabulary_terms, inputCol=terms, outputCol="_tf"
-    )
+    idf = {r["term"]: r["idf"] for r in vocab_rows}
+    # Fitted on one row that holds the vocabulary: much faster than handing the terms to the
+    # JVM one by one.
+    listed = spark.createDataFrame([(list(idf),)], f"{terms} array<string>")
+    counts = CountVectorizer(
+        inputCol=terms, outputCol=prefix + "counts", vocabSize=max(len(idf), 1), minDF=1.0
+    ).fit(listed)
+    weights = Vectors.dense([idf[t] for t in counts.vocabulary])
     return [
         counts,
-        SublinearCounts(inputCol="_tf", outputCol="_tf1"),
-        ElementwiseProduct(scalingVec=idf, inputCol="_tf1", outputCol="_tfidf"),
-        Normalizer(p=2.0, inputCol="_tfidf", outputCol=out),
+        SublinearCounts(inputCol=prefix + "counts", outputCol=prefix + "damped"),
+        ElementwiseProduct(
+            scalingVec=weights, inputCol=prefix + "damped", outputCol=prefix + "weighted"
+        ),
+        Normalizer(p=2.0, inputCol=prefix + "weighted", outputCol=prefix + "tfidf"),
     ]
+
+
+def scratch_columns(prefix: str = "") -> list[str]:
+    """What the stages leave behind besides their result."""
+    return [prefix + c for c in ("counts", "damped", "weighted")]

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from sortlane.plans.skew import left_join_unique
+
 SMALL_TABLE_ROWS = 10_000
 
 
@@ -19,20 +21,22 @@ def small_rows(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> list[Row] | None
     return rows if len(rows) <= limit else None
 
 
-def keep_members(df: DataFrame, column: str, members: DataFrame) -> DataFrame:
-    """Rows whose value is listed in ``members`` (one column of the same name)."""
+def keep_members(df: DataFrame, column: str, members: DataFrame, spread: str) -> DataFrame:
+    """Rows whose value is listed in ``members`` (one column of distinct values)."""
     rows = small_rows(members)
-    if rows is None:
-        return df.join(members, column, "left_semi")
-    return df.filter(F.col(column).isin([r[0] for r in rows]))
+    if rows is not None:
+        return df.filter(F.col(column).isin([r[0] for r in rows]))
+    marked = members.withColumn("_member", F.lit(True))
+    return left_join_unique(df, marked, column, spread).filter("_member").drop("_member")
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
+def lookup_join(df: DataFrame, lookup: DataFrame, on: str, spread: str) -> DataFrame:
     """Left join to a lookup with unique keys, map-side when the lookup is small."""
     rows = small_rows(lookup)
-    if rows is not None:
-        lookup = F.broadcast(df.sparkSession.createDataFrame(rows, lookup.schema))
-    return df.join(lookup, on, "left")
+    if rows is None:
+        return left_join_unique(df, lookup, on, spread)
+    small = df.sparkSession.createDataFrame(rows, lookup.schema)
+    return df.join(F.broadcast(small), on, "left")
 
 
 def value_counts(df: DataFrame, columns: list[str], extra: list[Column] | None = None) -> DataFrame:
@@ -45,7 +49,5 @@ def value_counts(df: DataFrame, columns: list[str], extra: list[Column] | None =
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
     )
-    names = [e for e in ("column_name", "value")]
     long = df.select(*extra, F.inline(pairs))
-    keys = [c for c in long.columns if c not in names] + names
-    return long.groupBy(*keys).agg(F.count("*").alias("n"))
+    return long.groupBy(*long.columns).agg(F.count("*").alias("n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from sortlane.session import checkpoint_dir
 
@@ -12,3 +12,14 @@ from sortlane.session import checkpoint_dir
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path that nothing has written to yet."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Compute ``df`` once, as a table in the shared folder.
+
+    For frames that many jobs read: nothing is recomputed when an executor is lost, and every
+    reader takes only the columns it needs.
+    """
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
