@@ -44,7 +44,8 @@ def _years_pattern() -> str:
     before = "|".join(
         rf"{phrase}[\s\S]{{0,{window - len(phrase)}}}" for phrase in fixed.COMPANY_AGE_PHRASES
     )
-    return rf"{TEXT_FLAGS}(?:(?<={before}){fixed.YEARS})|{fixed.YEARS}"
+    # The digit is looked for first: looking behind at every character would be slow.
+    return rf"{TEXT_FLAGS}(?=\d)(?:(?<={before}){fixed.YEARS}|{fixed.YEARS})"
 
 
 def min_years_in_role(full_text: Column) -> Column:

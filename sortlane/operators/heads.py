@@ -24,6 +24,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sortlane.functions.text import let
+from sortlane.operators.curation import class_floor
 from sortlane.operators.evaluation import find_threshold, gate_curve, head_metrics
 from sortlane.operators.features import assemble
 from sortlane.operators.splits import balanced_weights, calibration_usable, fold_of, held_out
@@ -33,7 +35,6 @@ from sortlane.operators.tfidf import (
     vocabularies_by_fold,
     vocabulary,
 )
-from sortlane.operators.curation import class_floor
 from sortlane.plans.workspace import materialise
 from sortlane.rules import labels as fixed
 
@@ -190,59 +191,55 @@ def _fit_svm(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> list[lis
     return members
 
 
+def _logistic_member(
+    df: DataFrame, features: str, model: LogisticRegressionModel, tag: str
+) -> DataFrame:
+    """Class probabilities of a multinomial model."""
+    renamed = {
+        model.featuresCol: features,
+        model.probabilityCol: tag + "p",
+        model.rawPredictionCol: tag + "r",
+        model.predictionCol: tag + "c",
+    }
+    scored = model.copy(renamed).transform(df)
+    return scored.withColumn(tag, vector_to_array(tag + "p")).drop(tag + "p", tag + "r", tag + "c")
+
+
+def _svm_member(df: DataFrame, features: str, pairs: list, tag: str) -> DataFrame:
+    """Sigmoids of the margins; one of two classes, or several scaled to sum up to one."""
+    sigmoids = []
+    for c, (svm, sigmoid) in enumerate(pairs):
+        raw = f"{tag}r{c}"
+        renamed = {svm.featuresCol: features, svm.rawPredictionCol: raw, svm.predictionCol: "_hit"}
+        df = svm.copy(renamed).transform(df).drop("_hit")
+        slope, offset = float(sigmoid.coefficients[0]), float(sigmoid.intercept)
+        margin = F.get(vector_to_array(raw), F.lit(1))
+        sigmoids.append(1 / (1 + F.exp(-(margin * slope + offset))))
+    if len(sigmoids) == 1:
+        probs = F.array(1 - sigmoids[0], sigmoids[0])
+    else:
+        even = 1.0 / len(sigmoids)
+
+        def scaled(scores: Column) -> Column:
+            total = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x)
+            return let(
+                total, lambda t: F.transform(scores, lambda x: F.when(t > 0, x / t).otherwise(even))
+            )
+
+        probs = let(F.array(*sigmoids), scaled)
+    return df.withColumn(tag, probs).drop(*[f"{tag}r{c}" for c in range(len(pairs))])
+
+
 def _probabilities(df: DataFrame, features: str, members: list, classes: int) -> DataFrame:
     """Add ``probs``, one probability per class, averaged over the members."""
-    columns, scratch = [], []
-    for m, member in enumerate(members):
-        if isinstance(member, LogisticRegressionModel):
-            probability, raw, hit = f"_p{m}", f"_r{m}", f"_h{m}"
-            df = member.copy(
-                {
-                    member.featuresCol: features,
-                    member.probabilityCol: probability,
-                    member.rawPredictionCol: raw,
-                    member.predictionCol: hit,
-                }
-            ).transform(df)
-            scratch += [probability, raw, hit]
-            columns.append(vector_to_array(probability))
-            continue
-        scores = []
-        for c, (svm, sigmoid) in enumerate(member):
-            raw = f"_r{m}_{c}"
-            renamed = {svm.featuresCol: features, svm.rawPredictionCol: raw, svm.predictionCol: "_hit"}
-            df = svm.copy(renamed).transform(df).drop("_hit")
-            slope, offset = float(sigmoid.coefficients[0]), float(sigmoid.intercept)
-            margin = F.get(vector_to_array(raw), F.lit(1))
-            scores.append(1 / (1 + F.exp(-(margin * slope + offset))))
-            scratch.append(raw)
-        if len(scores) == 1:
-            row = F.array(1 - scores[0], scores[0])
-        else:
-            row = F.array(*scores)
-        name = f"_s{m}"
-        df = df.withColumn(name, row)
-        scratch.append(name)
-        if len(scores) > 1:
-            total = F.aggregate(F.col(name), F.lit(0.0), lambda a, x: a + x)
-            df = df.withColumn(name + "n", total)
-            scratch.append(name + "n")
-            columns.append(
-                F.transform(
-                    F.col(name),
-                    lambda x, n=name: F.when(F.col(n + "n") > 0, x / F.col(n + "n")).otherwise(1.0 / classes),
-                )
-            )
-        else:
-            columns.append(F.col(name))
-    if len(columns) == 1:
-        averaged = columns[0]
-    else:
-        averaged = F.transform(
-            F.arrays_zip(*[c.alias(f"m{i}") for i, c in enumerate(columns)]),
-            lambda z: sum((z[f"m{i}"] for i in range(1, len(columns))), z["m0"]) / len(columns),
-        )
-    return df.withColumn("probs", averaged).drop(*scratch)
+    tags = [f"_m{m}" for m in range(len(members))]
+    for tag, member in zip(tags, members, strict=True):
+        add = _logistic_member if isinstance(member, LogisticRegressionModel) else _svm_member
+        df = add(df, features, member, tag)
+    if len(tags) == 1:
+        return df.withColumnRenamed(tags[0], "probs")
+    sums = [sum((F.get(tag, F.lit(c)) for tag in tags[1:]), F.get(tags[0], F.lit(c))) for c in range(classes)]
+    return df.withColumn("probs", F.array(*[s / len(tags) for s in sums])).drop(*tags)
 
 
 def _fit_members(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> list:
