@@ -158,37 +158,45 @@ def _fit_logistic(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> Log
 
 def _fit_svm(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> list[list[tuple]]:
     """Per calibration split: (SVM, sigmoid) of every class; of the second only if binary."""
+    splits = fixed.CALIBRATION_FOLDS
+    parted = train.withColumn("_split", F.pmod(F.xxhash64("group"), F.lit(splits)))
     targets = [1] if classes == 2 else list(range(classes))
-    split = F.pmod(F.xxhash64(F.col("group")), F.lit(fixed.CALIBRATION_FOLDS))
-    parted = train.withColumn("_split", split)
-    members = []
-    for part in range(fixed.CALIBRATION_FOLDS):
-        fit_rows, rest = parted.filter(F.col("_split") != part), parted.filter(F.col("_split") == part)
-        pairs = []
-        for c in targets:
-            target = F.when(F.col("label_index") == c, 1.0).otherwise(0.0)
-            n_part = max(n * (fixed.CALIBRATION_FOLDS - 1) // fixed.CALIBRATION_FOLDS, 1)
-            svm = LinearSVC(
-                featuresCol="features",
-                labelCol="_target",
-                weightCol="weight",
-                regParam=1.0 / (spec.svm_c * n_part),
-                standardization=False,
-                maxIter=spec.max_iter,
-                rawPredictionCol="_raw",
-                predictionCol="_hit",
-            ).fit(fit_rows.withColumn("_target", target))
-            margins = svm.transform(rest.withColumn("_target", target)).select(
-                "_target",
-                array_to_vector(F.slice(vector_to_array("_raw"), 2, 1)).alias("_margin"),
-            )
-            sigmoid = LogisticRegression(
-                featuresCol="_margin", labelCol="_target", probabilityCol="_prob",
-                rawPredictionCol="_sraw", predictionCol="_shit",
-            ).fit(margins)
-            pairs.append((svm, sigmoid))
-        members.append(pairs)
-    return members
+    penalty = 1.0 / (spec.svm_c * max(n * (splits - 1) // splits, 1))
+
+    def fit_pair(part_and_class: tuple[int, int]) -> tuple:
+        part, c = part_and_class
+        target = F.when(F.col("label_index") == c, 1.0).otherwise(0.0)
+        rows = parted.withColumn("_target", target)
+        svm = LinearSVC(
+            featuresCol="features",
+            labelCol="_target",
+            weightCol="weight",
+            regParam=penalty,
+            standardization=False,
+            maxIter=spec.max_iter,
+            rawPredictionCol="_raw",
+            predictionCol="_hit",
+        ).fit(rows.filter(F.col("_split") != part))
+        margin = array_to_vector(F.slice(vector_to_array("_raw"), 2, 1)).alias("_margin")
+        margins = svm.transform(rows.filter(F.col("_split") == part)).select("_target", margin)
+        sigmoid = LogisticRegression(
+            featuresCol="_margin",
+            labelCol="_target",
+            probabilityCol="_prob",
+            rawPredictionCol="_sraw",
+            predictionCol="_shit",
+        ).fit(margins)
+        return svm, sigmoid
+
+    work = [(part, c) for part in range(splits) for c in targets]
+    pairs = _side_by_side(train, fit_pair, work, spec.parallelism)
+    return [pairs[part * len(targets) : (part + 1) * len(targets)] for part in range(splits)]
+
+
+def _side_by_side(df: DataFrame, task, items: list, threads: int) -> list:
+    """Independent fits from several driver threads, to fill the gaps between short jobs."""
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return list(pool.map(inheritable_thread_target(df.sparkSession)(task), items))
 
 
 def _logistic_member(
@@ -343,10 +351,7 @@ def out_of_fold(rows: DataFrame, classes: list[str], spec: HeadSpec) -> DataFram
         test = score(rows.filter(F.col("fold") == f), head)
         return test.select("row_id", "fold", "y", F.col("top1").alias("p"), "conf")
 
-    # Folds are independent; fitting some side by side fills the gaps between short jobs.
-    with ThreadPoolExecutor(max_workers=spec.parallelism) as pool:
-        work = inheritable_thread_target(rows.sparkSession)(one_fold)
-        scored = list(pool.map(work, present))
+    scored = _side_by_side(rows, one_fold, present, spec.parallelism)
     whole = scored[0]
     for part in scored[1:]:
         whole = whole.unionByName(part)
