@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sortlane.catalog.fixtures import table, view
 from sortlane.catalog.registry import cases, hit, over, query, quoted
+from sortlane.functions.regex import with_long_text
 from sortlane.functions.text import blank_if_null, title_and_text
 from sortlane.operators import audit, columns, titles
 from sortlane.rules import audit as audit_rules
@@ -163,11 +164,12 @@ def _ruled(select: str, cte: str = COLUMN_RULE_CTES) -> str:
 
 
 def _scoped(spark, folder):
+    """Rows with title ``t`` and description ``d``, and their joint text."""
     rows = view(spark, folder, "model")
     t, d = F.col("title"), F.col("description")
-    return rows.withColumns(
-        {"t": blank_if_null(t), "d": blank_if_null(d), "x": title_and_text(t, d)}
-    )
+    named = rows.withColumns({"t": blank_if_null(t), "d": blank_if_null(d)})
+    scoped, full, _ = with_long_text(named, "x", title_and_text(t, d))
+    return scoped, full
 
 
 @query(
@@ -175,16 +177,15 @@ def _scoped(spark, folder):
     _ruled("SELECT id, jt_code AS code, new_job_type AS job_type FROM decided"),
 )
 def job_type_rule(spark, folder):
-    coded = _scoped(spark, folder).withColumn(
-        "code", columns.job_type_code(F.col("t"), F.col("x"))
-    )
+    scoped, full = _scoped(spark, folder)
+    coded = scoped.withColumn("code", columns.job_type_code(F.col("t"), full))
     value = columns.job_type_value(F.col("code"), F.col("job_type"))
     return coded.select("id", "code", value.alias("job_type"))
 
 
 @query("g7_title_experience", _ruled("SELECT id, title_level AS level FROM coded"))
 def title_experience(spark, folder):
-    return _scoped(spark, folder).select(
+    return _scoped(spark, folder)[0].select(
         "id", columns.title_experience(F.col("t")).alias("level")
     )
 
@@ -197,7 +198,7 @@ def title_experience(spark, folder):
     ),
 )
 def stated_years(spark, folder):
-    return _scoped(spark, folder).select(
+    return _scoped(spark, folder)[0].select(
         "id",
         columns.min_stated_years(F.col("d")).alias("years"),
         columns.years_level(F.col("d")).alias("level"),
@@ -206,9 +207,8 @@ def stated_years(spark, folder):
 
 @query("g9_no_experience", _ruled("SELECT id, no_experience FROM coded"))
 def no_experience(spark, folder):
-    return _scoped(spark, folder).select(
-        "id", columns.states_no_experience(F.col("x")).alias("no_experience")
-    )
+    scoped, full = _scoped(spark, folder)
+    return scoped.select("id", columns.states_no_experience(full).alias("no_experience"))
 
 
 @query(
@@ -216,15 +216,14 @@ def no_experience(spark, folder):
     _ruled("SELECT id, collar_code AS code, new_collar AS collar FROM decided"),
 )
 def collar_rule(spark, folder):
-    coded = _scoped(spark, folder).withColumn("code", columns.collar_code(F.col("t")))
+    coded = _scoped(spark, folder)[0].withColumn("code", columns.collar_code(F.col("t")))
     return coded.select("id", "code", columns.collar_value(F.col("code"), F.col("collar")).alias("collar"))
 
 
 @query("g11_remote_rule", _ruled("SELECT id, remote_rule AS remote_mode FROM coded"))
 def remote_rule(spark, folder):
-    return _scoped(spark, folder).select(
-        "id", columns.remote_value(F.col("t"), F.col("x")).alias("remote_mode")
-    )
+    scoped, full = _scoped(spark, folder)
+    return scoped.select("id", columns.remote_value(F.col("t"), full).alias("remote_mode"))
 
 
 @query("g12_rule_notes", _ruled("SELECT id, new_notes AS notes FROM column_ruled"))
@@ -332,7 +331,7 @@ _audit_query("a6_looks_like_ad", "is_ad")
     ),
 )
 def years_in_role(spark, folder):
-    return _scoped(spark, folder).select(
+    return _scoped(spark, folder)[0].select(
         "id", audit.min_years_in_role(F.col("x")).alias("years")
     )
 

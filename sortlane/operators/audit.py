@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sortlane.functions.regex import TEXT_FLAGS, first_match, matches
+from sortlane.functions.regex import (
+    TEXT_FLAGS,
+    LongText,
+    first_match,
+    matches,
+    with_long_text,
+)
 from sortlane.functions.text import blank_if_null, title_and_text
 from sortlane.operators.columns import as_number
 from sortlane.plans.bounded import value_counts
@@ -26,12 +32,18 @@ def _signals(scope: Column, rules: list[tuple[str, str]]) -> Column:
     return F.array(*[F.when(matches(scope, p), F.lit(value)) for value, p in rules])
 
 
-def remote_signal(full_text: Column) -> Column:
-    return unique_signal(_signals(full_text, fixed.REMOTE))
+def _text_signals(full: LongText, rules: list[tuple[str, str]], needs: list[list[str]]) -> Column:
+    return F.array(
+        *[F.when(full.matches(p, n), F.lit(v)) for (v, p), n in zip(rules, needs, strict=True)]
+    )
+
+
+def remote_signal(full: LongText) -> Column:
+    return unique_signal(_text_signals(full, fixed.REMOTE, fixed.REMOTE_NEEDS))
 
 
-def job_type_signal(full_text: Column) -> Column:
-    return unique_signal(_signals(full_text, fixed.JOB_TYPE))
+def job_type_signal(full: LongText) -> Column:
+    return unique_signal(_text_signals(full, fixed.JOB_TYPE, fixed.JOB_TYPE_NEEDS))
 
 
 def _years_pattern() -> str:
@@ -48,16 +60,18 @@ def _years_pattern() -> str:
     return rf"{TEXT_FLAGS}(?=\d)(?:(?<={before}){fixed.YEARS}|{fixed.YEARS})"
 
 
-def min_years_in_role(full_text: Column) -> Column:
+def _stated_numbers(full_text: Column) -> Column:
     numbers = F.regexp_extract_all(full_text, F.lit(_years_pattern()), F.lit(2))
-    return F.array_min(F.transform(F.array_remove(numbers, F.lit("")), as_number))
+    return F.array_remove(numbers, F.lit(""))
+
+
+def min_years_in_role(full_text: Column) -> Column:
+    return F.array_min(F.transform(_stated_numbers(full_text), as_number))
 
 
 def experience_signal(title: Column, full_text: Column) -> Column:
     """Stated years decide; without any, the words of the title do."""
-    numbers = F.array_remove(
-        F.regexp_extract_all(full_text, F.lit(_years_pattern()), F.lit(2)), F.lit("")
-    )
+    numbers = _stated_numbers(full_text)
     top = fixed.MID_UP_TO_YEARS + 1
     ladder = [
         "Entry"
@@ -81,26 +95,30 @@ def collar_signal(title: Column) -> Column:
     )
 
 
-def looks_like_ad(description: Column) -> Column:
-    d = blank_if_null(description)
-    return (F.length(d) > fixed.AD_MIN_CHARS) | matches(d, fixed.AD_WORDS)
+def looks_like_ad(full: LongText) -> Column:
+    """``full`` is the description here."""
+    return (F.length(full.text) > fixed.AD_MIN_CHARS) | full.matches(
+        fixed.AD_WORDS, fixed.AD_WORDS_NEEDS
+    )
 
 
 def audit_signals(df: DataFrame) -> DataFrame:
     """Add the four audit fields and ``is_ad``."""
     t, d = F.col("title"), F.col("description")
-    scoped = df.withColumns(
-        {"_title": blank_if_null(t), "_text": title_and_text(t, d), "is_ad": looks_like_ad(d)}
-    )
-    title, full = F.col("_title"), F.col("_text")
-    return scoped.withColumns(
+    titled = df.withColumn("_title", blank_if_null(t))
+    scoped, full, scratch = with_long_text(titled, "_text", title_and_text(t, d))
+    # The ad rule looks at the description alone.
+    about, body, more = with_long_text(scoped, "_body", blank_if_null(d))
+    title = F.col("_title")
+    return about.withColumns(
         {
+            "is_ad": looks_like_ad(body),
             "remote_type": remote_signal(full),
             "job_type": job_type_signal(full),
-            "experience_band": experience_signal(title, full),
+            "experience_band": experience_signal(title, full.text),
             "collar": collar_signal(title),
         }
-    ).drop("_title", "_text")
+    ).drop("_title", *scratch, *more)
 
 
 def coverage_report(signals: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sortlane.functions.regex import first_match, matches, text
+from sortlane.functions.regex import LongText, first_match, matches, text, with_long_text
 from sortlane.functions.text import blank_if_null
 from sortlane.rules import columns as fixed
 
@@ -33,13 +33,16 @@ def as_number(digits: Column) -> Column:
     return F.translate(digits, *_decimal_digits()).cast("int")
 
 
-def job_type_code(title: Column, full_text: Column) -> Column:
+def job_type_code(title: Column, full: LongText) -> Column:
     return first_match(
         [
-            (matches(full_text, fixed.PER_DIEM), "per_diem"),
-            (matches(full_text, fixed.TRAVEL_CONTRACT), "travel_contract"),
+            (full.matches(fixed.PER_DIEM, fixed.PER_DIEM_NEEDS), "per_diem"),
             (
-                matches(title, fixed.GIG_PLATFORM) & matches(full_text, fixed.GIG_ACTIVITY),
+                full.matches(fixed.TRAVEL_CONTRACT, fixed.TRAVEL_CONTRACT_NEEDS),
+                "travel_contract",
+            ),
+            (
+                matches(title, fixed.GIG_PLATFORM) & matches(full.text, fixed.GIG_ACTIVITY),
                 "gig_platform",
             ),
             *[(matches(title, p), "title_" + value) for value, p in fixed.TITLE_JOB_TYPE],
@@ -79,15 +82,15 @@ def years_level(description: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in ladder]), F.array_min(capped))
 
 
-def states_no_experience(full_text: Column) -> Column:
-    return matches(full_text, fixed.NO_EXPERIENCE)
+def states_no_experience(full: LongText) -> Column:
+    return full.matches(fixed.NO_EXPERIENCE, fixed.NO_EXPERIENCE_NEEDS)
 
 
-def experience_code(title: Column, description: Column, full_text: Column) -> Column:
+def experience_code(title: Column, description: Column, full: LongText) -> Column:
     return F.coalesce(
         F.concat(F.lit("title_"), title_experience(title)),
         F.concat(F.lit("years_"), years_level(description)),
-        F.when(states_no_experience(full_text), F.lit("no_experience")),
+        F.when(states_no_experience(full), F.lit("no_experience")),
     )
 
 
@@ -117,13 +120,14 @@ def collar_value(code: Column, current: Column) -> Column:
     )
 
 
-def remote_value(title: Column, full_text: Column) -> Column:
+def remote_value(title: Column, full: LongText) -> Column:
     """Rules alone decide; what the model said is not consulted."""
     return first_match(
         [
-            (matches(full_text, fixed.HYBRID_TEXT), "Hybrid"),
+            (full.matches(fixed.HYBRID_TEXT, fixed.HYBRID_TEXT_NEEDS), "Hybrid"),
             (
-                matches(full_text, fixed.REMOTE_TEXT) & ~matches(title, fixed.PHYSICAL_TITLE),
+                full.matches(fixed.REMOTE_TEXT, fixed.REMOTE_TEXT_NEEDS)
+                & ~matches(title, fixed.PHYSICAL_TITLE),
                 "Remote",
             ),
         ],
@@ -143,8 +147,9 @@ def apply_column_rules(
 ) -> DataFrame:
     """Override the four columns in place and add the list of rules that changed them."""
     t, d = blank_if_null(F.col(title)), blank_if_null(F.col(description))
-    scoped = df.withColumns({"_t": t, "_d": d, "_text": F.concat(t, F.lit("\n"), d)})
-    t, d, full = F.col("_t"), F.col("_d"), F.col("_text")
+    split = df.withColumns({"_t": t, "_d": d})
+    t, d = F.col("_t"), F.col("_d")
+    scoped, full, scratch = with_long_text(split, "_text", F.concat(t, F.lit("\n"), d))
     coded = scoped.withColumns(
         {
             "_job_type": job_type_code(t, full),
@@ -185,7 +190,7 @@ def apply_column_rules(
             remote_mode: rm,
         }
     )
-    return ruled.drop("_t", "_d", "_text", "_job_type", "_experience", "_collar", "_remote")
+    return ruled.drop("_t", "_d", *scratch, "_job_type", "_experience", "_collar", "_remote")
 
 
 def notes_text(notes: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sortlane.functions.text import blank_if_null, key_hash, strip
 from sortlane.plans.bounded import value_counts
-from sortlane.plans.skew import left_join_unique
+from sortlane.plans.skew import hot_keys, left_join_unique
 from sortlane.rules import labels as fixed
 
 SOURCE_FIELDS = {
@@ -116,12 +116,18 @@ def map_experience3(level: Column) -> Column:
     return F.coalesce(_map_value(level, fixed.EXPERIENCE_3), level)
 
 
+def _join_by_key(training: DataFrame, lookup: DataFrame, row_id: str) -> DataFrame:
+    """Training rows with the lookup row of their key; copies of one row may be many."""
+    key = key_hash(F.col("title"), F.col("description"))
+    hot = hot_keys(training, key)
+    return left_join_unique(training.withColumn("key", key), lookup, "key", row_id, hot).drop("key")
+
+
 def recover_labels(
     training: DataFrame, postings: DataFrame, row_id: str = "row_id"
 ) -> DataFrame:
     """Training rows with job type, experience, remote and collar labels; unknown is null."""
-    keyed = training.withColumn("key", key_hash(F.col("title"), F.col("description")))
-    joined = left_join_unique(keyed, unanimous_labels(postings), "key", row_id).drop("key")
+    joined = _join_by_key(training, unanimous_labels(postings), row_id)
     return joined.withColumns(
         {
             "job_type": F.col("work_type"),
@@ -141,10 +147,9 @@ def last_labels(postings: DataFrame, order: str = "row_id") -> DataFrame:
 
 def last_wins_join(training: DataFrame, postings: DataFrame, order: str = "row_id") -> DataFrame:
     """Training rows with the last source row of their key; ``joined`` marks a hit."""
-    keyed = training.withColumn("key", key_hash(F.col("title"), F.col("description")))
     lookup = last_labels(postings, order).withColumn("joined", F.lit(True))
-    joined = left_join_unique(keyed, lookup, "key", order)
-    return joined.withColumn("joined", F.coalesce("joined", F.lit(False))).drop("key")
+    joined = _join_by_key(training, lookup, order)
+    return joined.withColumn("joined", F.coalesce("joined", F.lit(False)))
 
 
 def join_rate(training: DataFrame, postings: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sortlane.functions.regex import matches, matches_lowered
+from sortlane.functions.regex import contains_any, matches_lowered, with_long_text
 from sortlane.functions.text import blank_if_null, lowered_text, strip, title_and_text
 from sortlane.rules import remote as fixed
 
@@ -18,8 +18,13 @@ def fill_value(remote_flag: Column, text: Column) -> Column:
     """The employer's flag, then the text (lower case), then the default."""
     return (
         F.when(remote_flag, F.lit("Remote"))
-        .when(matches_lowered(text, fixed.FILL_REMOTE), F.lit("Remote"))
-        .when(matches_lowered(text, fixed.FILL_HYBRID), F.lit("Hybrid"))
+        .when(
+            contains_any(text, fixed.FILL_REMOTE_NEEDS) & matches_lowered(text, fixed.FILL_REMOTE),
+            F.lit("Remote"),
+        )
+        .when(
+            text.contains("hybrid") & matches_lowered(text, fixed.FILL_HYBRID), F.lit("Hybrid")
+        )
         .otherwise(F.lit("On-site"))
     )
 
@@ -47,12 +52,17 @@ def with_training_label(
     df: DataFrame, remote_type: str = "remote_type", out: str = "remote_label"
 ) -> DataFrame:
     """The one signal the text gives; with none, the employer's flag; else unknown (null)."""
-    full = title_and_text(F.col("title"), F.col("description"))
-    signals = [F.when(matches(full, p), F.lit(value)) for value, p in fixed.LABEL_SIGNALS]
-    scored = df.withColumn("_signals", F.array_compact(F.array(*signals)))
+    scoped, full, scratch = with_long_text(
+        df, "_text", title_and_text(F.col("title"), F.col("description"))
+    )
+    signals = [
+        F.when(full.matches(pattern, needs), F.lit(value))
+        for (value, pattern), needs in zip(fixed.LABEL_SIGNALS, fixed.LABEL_NEEDS, strict=True)
+    ]
+    scored = scoped.withColumn("_signals", F.array_compact(F.array(*signals)))
     n = F.size("_signals")
     flagged = strip(blank_if_null(F.col(remote_type))) == "Remote"
     label = F.when(n == 1, F.get("_signals", F.lit(0))).when(
         (n == 0) & flagged, F.lit("Remote")
     )
-    return scored.withColumn(out, label).drop("_signals")
+    return scored.withColumn(out, label).drop("_signals", *scratch)

@@ -8,7 +8,7 @@ sample decides only how rows are spread, never which rows or values come out.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHARE = 0.001
@@ -19,19 +19,21 @@ SALTS = 256
 
 def hot_keys(
     df: DataFrame,
-    on: str,
+    key: Column,
     share: float = SHARE,
     sample: float = SAMPLE,
     min_sampled: int = MIN_SAMPLED,
 ) -> list:
-    """Keys with more than ``share`` of the (sampled) rows; at most 1 / share of them."""
-    keys = df.select(on).filter(F.col(on).isNotNull())
-    if sample < 1:
-        keys = keys.sample(sample, seed=7)
-    counts = keys.groupBy(on).agg(F.count("*").alias("n"))
+    """Keys with more than ``share`` of the (sampled) rows; at most 1 / share of them.
+
+    The rows are sampled before the key is computed, which may be costly.
+    """
+    rows = df.sample(sample, seed=7) if sample < 1 else df
+    keys = rows.select(key.alias("key")).filter(F.col("key").isNotNull())
+    counts = keys.groupBy("key").agg(F.count("*").alias("n"))
     frequent = counts.filter(F.col("n") >= min_sampled)
     total = counts.agg(F.sum("n") * F.lit(share))
-    return [r[0] for r in frequent.filter(F.col("n") > total.scalar()).select(on).collect()]
+    return [r[0] for r in frequent.filter(F.col("n") > total.scalar()).select("key").collect()]
 
 
 def left_join_unique(
@@ -47,7 +49,7 @@ def left_join_unique(
     ``spread`` is a column that differs between the rows of one key, such as a row id.
     """
     if hot is None:
-        hot = hot_keys(df, on)
+        hot = hot_keys(df, F.col(on))
     if not hot:
         return df.join(lookup, on, "left")
     is_hot = F.col(on).isin(hot)

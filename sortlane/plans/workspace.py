@@ -21,5 +21,6 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     reader takes only the columns it needs.
     """
     path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    # Small row groups, so that a file of a small frame can still be read by several tasks.
+    df.write.option("parquet.block.size", 4 * 1024 * 1024).parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -1,4 +1,8 @@
-"""Audit rules: independent, deliberately narrow signals. Fixed values."""
+"""Audit rules: independent, deliberately narrow signals. Fixed values.
+
+``*_NEEDS`` lists plain strings, one of which is part of every match of the pattern; the lists
+of REMOTE and JOB_TYPE go with their rows in order.
+"""
 
 CONFLICT = "__CONFLICT__"
 UNKNOWN = "__UNKNOWN__"
@@ -8,6 +12,11 @@ REMOTE = [
     ("Hybrid", r"\bhybrid\b"),
     ("On-site", r"\b(on[- ]site|onsite|in office|office[- ]based)\b"),
 ]
+REMOTE_NEEDS = [
+    ["fully remote", "100% remote", "work from home", "remote position"],
+    ["hybrid"],
+    ["site", "office"],
+]
 JOB_TYPE = [
     ("Full-time", r"\bfull[- ]time\b"),
     ("Part-time", r"\bpart[- ]time\b"),
@@ -15,6 +24,13 @@ JOB_TYPE = [
     ("Internship", r"\b(intern|internship)\b"),
     ("Temporary", r"\b(temporary|temp role)\b"),
 ]
+JOB_TYPE_NEEDS = [
+    ["full-time", "full time"],
+    ["part-time", "part time"],
+    ["contract"],
+    ["intern"],
+    ["temp"],
+]
 YEARS = r"\b(\d{1,2})\s*(?:\+|to\s*\d{1,2})?\s*years?\b"
 COMPANY_AGE_PHRASES = ["founded", "in business", "serving clients", "company history"]
 COMPANY_AGE_WINDOW = 35
@@ -33,4 +49,14 @@ TRADES = (
     r"construction worker|carpenter|roofer|janitor|cleaner|security guard|assembler)\b"
 )
 AD_WORDS = r"\b(we are|you will|apply|benefits|401k|salary|equal opportunity|join our)\b"
+AD_WORDS_NEEDS = [
+    "we are",
+    "you will",
+    "apply",
+    "benefits",
+    "401k",
+    "salary",
+    "equal opportunity",
+    "join our",
+]
 AD_MIN_CHARS = 900

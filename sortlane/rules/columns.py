@@ -1,12 +1,17 @@
-"""Overrides for job type, experience, collar and remote mode. Fixed values."""
+"""Overrides for job type, experience, collar and remote mode. Fixed values.
+
+``*_NEEDS`` lists plain strings, one of which is part of every match of the pattern above.
+"""
 
 PER_DIEM = r"\b(per\s*diem|perdiem|\bprn\b)\b"
+PER_DIEM_NEEDS = ["diem", "prn"]
 TRAVEL_CONTRACT = (
     r"\b(travel\s+(nurse|rn|allied|therap\w*|tech\w*|radiolog\w*|sonograph\w*"
     r"|contract|assignment|position)"
     r"|\d{1,2}\s*[- ]?week\s+(travel\s+)?(contract|assignment|position)"
     r"|locum\s*tenens?|\bcdd\b|contrat\s+.{0,6}dur.e\s+d.termin)\b"
 )
+TRAVEL_CONTRACT_NEEDS = ["travel", "week", "locum", "cdd", "contrat"]
 GIG_PLATFORM = (
     r"\b(uber|lyft|doordash|instacart|grubhub|postmates|shipt|amazon\s*flex"
     r"|gopuff|spark\s+driver|favor|roadie)\b"
@@ -45,6 +50,7 @@ NO_EXPERIENCE = (
     r"\b(no\s+(prior\s+)?experience(\s+(needed|required|necessary))?"
     r"|entry[\s-]?level|will\s+train|no\s+degree\s+required|beginners?\s+welcome)\b"
 )
+NO_EXPERIENCE_NEEDS = ["experience", "entry", "train", "degree", "beginner"]
 
 CLINICAL_TITLE = (
     r"\b(nurse|\brn\b|\blpn\b|\bcna\b|physician|surgeon|therapist|pharmacist"
@@ -70,7 +76,9 @@ REMOTE_TEXT = (
     r"|remote\s+role|work\s+remotely|remote[\s-]first|telecommut\w*"
     r"|from\s+the\s+comfort\s+of\s+your\s+home|distributed\s+team)\b"
 )
+REMOTE_TEXT_NEEDS = ["remote", "home", "wfh", "telecommut", "distributed"]
 HYBRID_TEXT = r"\bhybrid\b"
+HYBRID_TEXT_NEEDS = ["hybrid"]
 PHYSICAL_TITLE = (
     r"\b(nurse|\brn\b|\bcna\b|\blpn\b|dental|hygienist|radiolog\w*|\bmri\b|\bct\b"
     r"|surgical|surgeon|therapist|patient|clinic|hospital|bedside|phlebotom\w*|paramedic"

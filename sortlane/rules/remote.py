@@ -1,10 +1,14 @@
-"""Remote-mode signals of the fill step and of the training labels. Fixed values."""
+"""Remote-mode signals of the fill step and of the training labels. Fixed values.
+
+``*_NEEDS`` lists plain strings, one of which is part of every match of the pattern.
+"""
 
 # Fill step: lower-cased text.
 FILL_REMOTE = (
     r"(fully[ -]remote|100% *remote|work from home|\bwfh\b|remote position|work remotely"
     r"|telecommut|remote[ -]first)"
 )
+FILL_REMOTE_NEEDS = ["remote", "home", "wfh", "telecommut"]
 FILL_HYBRID = r"\bhybrid\b"
 FILL_CHUNK_ROWS = 30000
 
@@ -26,3 +30,8 @@ LABEL_SIGNALS = [
         r"must be (located|based) (in|at)|no remote|not a remote)\b",
     ),
 ]
+LABEL_NEEDS = [
+    ["remote", "home", "telecommut"],
+    ["hybrid", "office", "partially remote"],
+    ["site", "office", "person", "must be", "remote"],
+]

@@ -65,7 +65,7 @@ def test_hot_key_join_keeps_every_row(spark):
     rows = [(i, "hot" if i % 3 == 0 else f"k{i % 50}") for i in range(3000)]
     left = spark.createDataFrame(rows, "row_id long, key string")
     lookup = spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(0, 50, 2)]], "key string, v int")
-    hot = skew.hot_keys(left, "key", share=0.2, sample=1.0, min_sampled=10)
+    hot = skew.hot_keys(left, F.col("key"), share=0.2, sample=1.0, min_sampled=10)
     assert hot == ["hot"]
     salted = skew.left_join_unique(left, lookup, "key", "row_id", hot=hot, salts=16)
     plain = left.join(lookup, "key", "left").select("row_id", "key", "v")
@@ -74,8 +74,8 @@ def test_hot_key_join_keeps_every_row(spark):
 
 def test_hot_keys_are_few(spark):
     left = spark.range(5000).select(F.col("id").alias("row_id"), (F.col("id") % 7).alias("key"))
-    assert len(skew.hot_keys(left, "key", share=0.1, sample=1.0)) == 7
-    assert skew.hot_keys(left, "key", share=0.2, sample=1.0) == []
+    assert len(skew.hot_keys(left, F.col("key"), share=0.1, sample=1.0)) == 7
+    assert skew.hot_keys(left, F.col("key"), share=0.2, sample=1.0) == []
 
 
 def test_lookup_too_large_to_collect_is_joined(spark, monkeypatch):
