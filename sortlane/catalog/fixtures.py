@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sortlane.sources.tables import read_table
+
 _TITLES = [
     ("Travel ICU RN", "13-week contract, night shift critical care, 2 years of experience"),
     ("Senior Software Engineer (Remote)", "8+ years python, fully remote"),
@@ -155,7 +157,7 @@ TABLES = ["documents", "embeddings", "labels", "pages", "benchmark", "conversati
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return read_table(spark, f"{folder}/{name}.parquet")
 
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:

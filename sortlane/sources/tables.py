@@ -18,6 +18,26 @@ from sortlane.schema import (
 )
 
 
+SMALL_INPUT_BYTES = 1 << 30
+
+
+def spread_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> DataFrame:
+    """Spread the rows of a small input over all cores.
+
+    A file with one row group is read by a single task, whatever runs on its rows afterwards.
+    Large inputs have splits enough and are left alone: the size is the optimiser's estimate.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > limit:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table, spread out if it is small."""
+    return spread_small(spark.read.parquet(path))
+
+
 def _read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Columns picked by header name, every value a string, a missing one ''."""
     raw = spark.read.csv(
