@@ -21,6 +21,8 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     reader takes only the columns it needs.
     """
     path = new_folder(df.sparkSession, purpose)
-    # Small row groups, so that a file of a small frame can still be read by several tasks.
-    df.write.option("parquet.block.size", 4 * 1024 * 1024).parquet(path)
+    # Files of an even size, whatever the partitions were; small row groups, so that a single
+    # file can still be read by several tasks.
+    even = df.hint("rebalance")
+    even.write.option("parquet.block.size", 4 * 1024 * 1024).parquet(path)
     return df.sparkSession.read.parquet(path)
