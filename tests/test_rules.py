@@ -158,12 +158,11 @@ def test_unique_signal(spark):
 
 def test_rules_stay_in_one_stage(spark, folder):
     """No Python and no exchange in the rule tiers."""
-    from sortlane.catalog.fixtures import table
     from sortlane.operators.remote import fill_remote_mode
     from sortlane.sources.tables import conform_jobs
 
     jobs = conform_jobs(
-        table(spark, folder, "documents").select(
+        spark.read.parquet(f"{folder}/documents.parquet").select(
             F.col("doc_id").cast("string").alias("id"), F.col("text").alias("description"), F.col("lang").alias("title")
         )
     )
