@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sortlane.llm import bpe, mixing, quality
+from sortlane.llm import bpe, mixing, quality, substring, suffixes
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    removed = substring.remove(table(spark, folder, "documents"))
+    return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    removed = suffixes.remove(table(spark, folder, "documents"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = quality.fit(documents, table(spark, folder, "labels"))
@@ -54,6 +64,8 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Run] = {
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op9_mix_sources": op9_mix_sources,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sortlane.plans.workspace import new_folder
@@ -28,6 +28,19 @@ def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
     return df.mapInArrow(function, schema)
 
 
+def doc_key() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def part_key(texts: DataFrame) -> Column:
+    """The column ``part`` of ``texts`` (from ``keyed``), over the documents themselves."""
+    return _text_hash() if texts.several else F.lit(0).cast("long")
+
+
 def keyed(documents: DataFrame) -> tuple[DataFrame, int]:
     """(doc, part, doc_id, text) of all rows, and the bytes of all texts.
 
@@ -36,12 +49,15 @@ def keyed(documents: DataFrame) -> tuple[DataFrame, int]:
     in both are one document that stands more than once.
     """
     rows = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"),
+        doc_key().alias("doc"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
     per_id = rows.select("doc", F.octet_length("text").cast("long").alias("size")).groupBy("doc")
     per_id = per_id.agg(F.count("*").alias("n"), F.sum("size").alias("size"))
     most, size = per_id.agg(F.max("n"), F.sum("size")).first()
-    part = F.xxhash64("text") if (most or 0) > 1 else F.lit(0).cast("long")
-    return rows.select("doc", part.alias("part"), "doc_id", "text"), size or 0
+    several = (most or 0) > 1
+    part = _text_hash() if several else F.lit(0).cast("long")
+    texts = rows.select("doc", part.alias("part"), "doc_id", "text")
+    texts.several = several
+    return texts, size or 0
