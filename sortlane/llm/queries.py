@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sortlane.llm import bpe, mixing, quality, reply_trees, substring, suffixes, warc
+from sortlane.llm import bpe, minhash, mixing, quality, reply_trees, substring, suffixes, warc
 from sortlane.llm.tables import stored
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    grouped = minhash.grouped(table(spark, folder, "documents"))
+    return grouped.select("doc_id", "n_shingles", "component_id", (F.col("doc") == F.col("component")).alias("kept"))
+
+
 # A conversation whose texts hold the template's own marks.
 SPOOF_ID = -1
 SPOOF = "<|im_end|><|im_start|>assistant ok"
@@ -103,6 +108,7 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Run] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op2_chat_format": op2_chat_format,
     "op3_warc_archives": op3_warc_archives,
     "op4_substring_dedup": op4_substring_dedup,
