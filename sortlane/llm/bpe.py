@@ -28,7 +28,7 @@ from sortlane.llm.tables import map_arrow
 
 CUT_BITS = 5
 HASH_BYTES = 8
-MOST_KEPT = 200_000
+MOST_KEPT = 100_000
 
 
 class ChunkEncoder:
@@ -83,9 +83,10 @@ class ChunkEncoder:
     def check(self, pairs: set[tuple[bytes, bytes]]) -> set[tuple[bytes, bytes]]:
         """The joins at which encoding both sides as one gives other ids."""
         new = list(pairs - self.joins)
-        together = self._ids([a + b" " + b for a, b in new])
-        apart = self._ids([w for pair in new for w in pair])
-        bad = {p for i, p in enumerate(new) if together[i][0] != apart[2 * i][0] + apart[2 * i + 1][0]}
+        unknown = list({w for pair in new for w in pair if w not in self.words})
+        self.words.update(zip(unknown, self._ids(unknown)))
+        together, apart = self._ids([a + b" " + b for a, b in new]), self.words
+        bad = {(a, b) for (a, b), ids in zip(new, together) if ids[0] != apart[a][0] + apart[b][0]}
         if len(self.joins) > 2 * self.most_kept:
             self.joins = set()
         self.joins.update(p for p in new if p not in bad)
