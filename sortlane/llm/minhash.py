@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sortlane.llm import arrays as A
-from sortlane.llm.components import components
+from sortlane.llm.components import components, smallest_ids
 from sortlane.llm.superkmers import ranges
 from sortlane.llm.tables import NULL_ID, doc_key, keyed, map_arrow, part_key, stored
 
@@ -297,11 +297,7 @@ def grouped(documents: DataFrame, shingle: int = 2, per_cent: int = 80) -> DataF
     sketch = stored(sketched(texts, shingle), "minhash-sketches")
     labels = links_and_labels(texts, sketch, shingle, per_cent)
     sets = stored(sketch.filter("n_shingles > 0").groupBy("node").agg(F.min("doc").alias("first")), "minhash-sets")
-    linked = stored(labels.join(sets, "node"), "minhash-linked")
-    least = stored(linked.groupBy("label").agg(F.min("first").alias("component")), "minhash-least")
-    found = linked.join(least, "label").select("node", "component")
-    alone = sets.join(labels.select("node"), "node", "left_anti").select("node", F.col("first").alias("component"))
-    by_node = stored(found.unionByName(alone), "minhash-components")
+    by_node = smallest_ids(labels, sets)
     rows = sketch.select("doc", "part", "n_shingles", "node").join(by_node, "node", "left")
     null = F.lit(NULL_ID)
     return rows.select(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sortlane.llm import bpe, minhash, mixing, quality, reply_trees, substring, suffixes, warc
+from sortlane.llm import bpe, minhash, mixing, multi_index, quality, reply_trees, substring, suffixes, toxicity, warc
 from sortlane.llm.tables import stored
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,12 @@ def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = toxicity.fit(documents, table(spark, folder, "labels"))
+    return toxicity.score(documents, model)
+
+
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select(
@@ -107,6 +113,11 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    grouped = multi_index.grouped(table(spark, folder, "embeddings"))
+    return grouped.select("vec_id", "n_links", "component_id", (F.col("vec") == F.col("component")).alias("kept"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_chat_format": op2_chat_format,
@@ -115,7 +126,9 @@ QUERIES: dict[str, Run] = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe_round_trip": op7_bpe_round_trip,
+    "op8_toxicity": op8_toxicity,
     "op9_mix_sources": op9_mix_sources,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 # --- The same rows in DuckDB ------------------------------------------------------------

@@ -22,7 +22,7 @@ WINDOW = 20
 GRAM = 4
 
 
-def _normal(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def normal_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The words with one blank after each: bytes, starts, ends and first words of the rows."""
     starts, ends, first = A.word_bounds(data, offsets)
     length = ends - starts
@@ -34,7 +34,7 @@ def _normal(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def scheme(window: int = WINDOW, gram: int = GRAM) -> S.Scheme:
     def units(data, offsets):
-        normal, starts, ends, first = _normal(data, offsets)
+        normal, starts, ends, first = normal_words(data, offsets)
         words = A.word_hashes(normal, starts, ends)
         return normal, starts, ends, first, A.gram_hash(A.token_prefix(words), gram)
 
@@ -82,7 +82,7 @@ def spans(texts: DataFrame, size: int, window: int = WINDOW, gram: int = GRAM) -
 
 def _kept(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Numbers of words and of removed words, and the kept words joined by one blank."""
-    normal, starts, ends, first = _normal(*A.flat(piece.column("text")))
+    normal, starts, ends, first = normal_words(*A.flat(piece.column("text")))
     gone = S.covered(piece, first)
     stay = np.flatnonzero(~gone)
     out = A.gather(normal, starts[stay], ends[stay] - starts[stay] + 1).tobytes()
