@@ -51,13 +51,14 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def smallest_ids(labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, component): the smallest ``first`` of all ``nodes`` (node, first) with the same label.
+    """(node, label, component): the smallest ``first`` of all ``nodes`` (node, first) with the same label.
 
-    Nodes without a label are alone. Smallest ids are stored before they are dealt out again, so
+    Nodes without a label are alone, with themselves as label. Smallest ids are stored before they are dealt out again, so
     a label that holds a large part of the nodes can be split.
     """
     linked = stored(labels.join(nodes, "node").select("node", "label", "first"), "linked")
     least = stored(linked.groupBy("label").agg(F.min("first").alias("component")), "smallest")
-    found = linked.join(least, "label").select("node", "component")
-    alone = nodes.join(labels.select("node"), "node", "left_anti").select("node", F.col("first").alias("component"))
+    found = linked.join(least, "label").select("node", "label", "component")
+    alone = nodes.join(labels.select("node"), "node", "left_anti")
+    alone = alone.select("node", F.col("node").alias("label"), F.col("first").alias("component"))
     return stored(found.unionByName(alone), "components")

@@ -94,7 +94,7 @@ def sketches(shingles: np.ndarray, first: np.ndarray, bins: int = BINS) -> np.nd
 
 def bands(sketch: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """The key of each band: a hash of its number and coordinates."""
-    parts = sketch.reshape(len(sketch), -1, rows)
+    parts = sketch.reshape(len(sketch), sketch.shape[1] // rows, rows)
     key = np.broadcast_to(np.arange(parts.shape[1], dtype=np.uint64), parts.shape[:2]).copy()
     for i in range(rows):
         key = A.mix(key * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, i])
@@ -286,7 +286,7 @@ def links_and_labels(texts: DataFrame, sketch: DataFrame, width: int, per_cent:
 
 
 def grouped(documents: DataFrame, shingle: int = 2, per_cent: int = 80) -> DataFrame:
-    """(doc, part, doc_id, n_shingles, component_id) of every row.
+    """(doc, part, doc_id, n_shingles, group, component, component_id) of every row.
 
     Documents are linked if their sets' similarity is at least ``per_cent``; ``component_id`` is
     the smallest doc_id that links lead to. A null, empty or blank text has an empty set and is
@@ -305,6 +305,7 @@ def grouped(documents: DataFrame, shingle: int = 2, per_cent: int = 80) -> DataF
         "part",
         F.nullif("doc", null).alias("doc_id"),
         "n_shingles",
+        F.coalesce("label", "node").alias("group"),
         F.coalesce("component", "doc").alias("component"),
         F.nullif(F.coalesce("component", "doc"), null).alias("component_id"),
     )
@@ -313,18 +314,18 @@ def grouped(documents: DataFrame, shingle: int = 2, per_cent: int = 80) -> DataF
 def keep_one(documents: DataFrame, shingle: int = 5, per_cent: int = 80) -> DataFrame:
     """The rows of ``documents`` without near copies: of each group the row with the smallest doc_id.
 
+    Of several texts with that doc_id one stays.
     Documents without words are no copies of each other and stay.
     """
     texts, _ = keyed(documents)
-    found = grouped(documents, shingle, per_cent).filter("doc = component")
-    if texts.several:  # of the texts and rows that share the smallest id one stays
-        lone = found.filter("n_shingles = 0")
-        one = found.filter("n_shingles > 0").groupBy("doc").agg(F.min("part").alias("part"))
-        found = one.unionByName(lone.select("doc", "part"))
-    kept = found.select(F.col("doc").alias("_doc"), F.col("part").alias("_part")).distinct()
-    rows = documents.withColumns({"_doc": doc_key(), "_part": part_key(texts)}).join(kept, ["_doc", "_part"], "left_semi")
+    found = grouped(documents, shingle, per_cent)
+    one = found.filter("n_shingles > 0").groupBy("group").agg(F.min(F.struct("doc", "part")).alias("at"))
+    lone = found.filter("n_shingles = 0").select("doc", "part").distinct()
+    kept = one.select("at.doc", "at.part").unionByName(lone)
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(A.WORD)) > 0
+    rows = documents.select(F.struct("*").alias("row"), doc_key().alias("doc"), part_key(texts).alias("part"), words.alias("words"))
+    rows = rows.join(kept, ["doc", "part"], "left_semi")
     if texts.several:
-        same = Window.partitionBy("_doc", "_part").orderBy(F.lit(1))
-        words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(A.WORD)) > 0
-        rows = rows.withColumn("_nth", F.when(words, F.row_number().over(same)).otherwise(1)).filter("_nth = 1")
-    return rows.select(*[F.col(f"`{c}`") for c in documents.columns])
+        same = Window.partitionBy("doc", "part").orderBy(F.lit(1))
+        rows = rows.withColumn("nth", F.when(F.col("words"), F.row_number().over(same)).otherwise(1)).filter("nth = 1")
+    return rows.select("row.*")

@@ -196,10 +196,9 @@ def mixed_documents(documents: DataFrame, weights: Iterable[float] = WEIGHTS, mo
 
     drawn = mix(documents, weights, most).filter("copies > 0").select(*keys(F.col("key")), "copies")
     drawn = drawn.groupBy("_source", "_doc", "_key").agg(F.sum("copies").alias("_copies"))
-    rows = documents.select("*", *keys(F.xxhash64("text")))
+    rows = documents.select(F.struct("*").alias("_row"), *keys(F.xxhash64("text")))
     taken = rows.join(drawn, ["_source", "_doc", "_key"])
     # Equal rows share their copies: the first stands for all.
     first = Window.partitionBy("_source", "_doc", "_key").orderBy(F.lit(1))
     once = taken.withColumn("_first", F.row_number().over(first)).filter("_first = 1")
-    repeated = once.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in documents.columns])
+    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_row.*")
