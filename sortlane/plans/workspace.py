@@ -10,8 +10,11 @@ from sortlane.session import checkpoint_dir
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path that nothing has written to yet."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path that nothing has written to yet; it is deleted when the application ends."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
@@ -21,8 +24,6 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     reader takes only the columns it needs.
     """
     path = new_folder(df.sparkSession, purpose)
-    # Files of an even size, whatever the partitions were; small row groups, so that a single
-    # file can still be read by several tasks.
-    even = df.hint("rebalance")
-    even.write.option("parquet.block.size", 4 * 1024 * 1024).parquet(path)
+    # Files of an even size, whatever the partitions were.
+    df.hint("rebalance").write.parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -6,9 +6,10 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# AQE picks the number of reducers and splits skewed partitions at run time, so the only
-# static choice is an upper bound on reducers that is generous for a large cluster.
+# AQE merges small reducers and splits skewed partitions at run time, so the only static
+# choice is an upper bound on reducers that is generous for a large cluster.
 DEFAULTS = {
+    "spark.sql.shuffle.partitions": "4000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

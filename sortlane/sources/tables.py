@@ -18,24 +18,8 @@ from sortlane.schema import (
 )
 
 
-SMALL_INPUT_BYTES = 1 << 30
-
-
-def spread_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """Spread the rows of a small input over all cores.
-
-    A file with one row group is read by a single task, whatever runs on its rows afterwards.
-    Large inputs have splits enough and are left alone: the size is the optimiser's estimate.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > limit:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table, spread out if it is small."""
-    return spread_small(spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
 def _read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -120,11 +104,11 @@ def read_snapshot(spark: SparkSession, path: str, only_queue: bool = False) -> D
 
 
 def write_training(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """The augmented training rows in row order, unknown labels as ''."""
+    """The augmented training rows, unknown labels as ''; ``row_id`` holds their order."""
     blanked = df.select(
         "row_id", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in AUGMENTED_COLUMNS]
     )
-    _write(blanked.orderBy("row_id"), path, fmt)
+    _write(blanked, path, fmt)
 
 
 def write_predictions(flat: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -132,7 +116,7 @@ def write_predictions(flat: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_sample_results(results: DataFrame, path: str, fmt: str = "parquet") -> None:
-    _write(results.orderBy("id"), path, fmt)
+    _write(results, path, fmt)
 
 
 def _write(df: DataFrame, path: str, fmt: str) -> None:
