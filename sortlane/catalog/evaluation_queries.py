@@ -271,11 +271,11 @@ _vocabulary_query("f1_vocabulary_small", 500)
       GROUP BY ALL HAVING count(*) >= 3),
     sizes AS (SELECT f.fold, count(*) AS n FROM folds o JOIN (SELECT CAST(i AS INTEGER) AS fold FROM range(5) r(i)) f ON f.fold <> o.own GROUP BY ALL)
     SELECT o.fold, term, cf, df, round(ln((1 + n) * 1.0e0 / (1 + df)) + 1, 6) AS idf FROM outside o JOIN sizes s ON o.fold = s.fold
-    QUALIFY row_number() OVER (PARTITION BY o.fold ORDER BY cf DESC, term) <= 2000""",
+    QUALIFY row_number() OVER (PARTITION BY o.fold ORDER BY cf DESC, term) <= 40000""",
 )
 def vocabularies_by_fold(spark, folder):
     rows = _term_rows(spark, folder).withColumn("fold", (F.col("doc_id") % 5).cast("int"))
-    vocab = tfidf.vocabularies_by_fold(rows, max_features=2000)
+    vocab = tfidf.vocabularies_by_fold(rows)
     return vocab.withColumn("idf", F.round("idf", 6))
 
 

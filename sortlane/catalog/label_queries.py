@@ -418,9 +418,9 @@ def count_updated(spark, folder):
     MERGED_SQL,
 )
 def fill_blanks_json(spark, folder):
-    """The updates arrive as JSON arrays, one per hundred ids."""
+    """The updates arrive as JSON arrays, one for the ids that share all but the last two digits."""
     updates = view(spark, folder, "updates")
-    payloads = updates.groupBy(F.pmod(F.xxhash64("id"), F.lit(50)).alias("part")).agg(
+    payloads = updates.groupBy(F.expr("substring(id, 1, length(id) - 2)").alias("part")).agg(
         F.to_json(F.collect_list(F.struct("id", *merge.UPDATE_COLUMNS))).alias("payload")
     )
     rows = merge.read_update_json(spark, F.col("payload"), payloads)

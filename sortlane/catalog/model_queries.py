@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sortlane.catalog.fixtures import table, view
 from sortlane.catalog.label_queries import DAILY_SQL, LABEL_COLUMNS, RECOVERY, fill_blanks_cte, rule_updates
-from sortlane.catalog.registry import group_sql, model_text_sql, over, over_many, query
+from sortlane.catalog.registry import group_sql, hit, model_text_sql, over, over_many, query
 from sortlane.catalog.text_queries import NON_ENGLISH_SQL, STAMP, keyword_merge_ctes
 from sortlane.functions.terms import with_terms
 from sortlane.functions.text import blank_if_null, group_hash
@@ -17,6 +17,8 @@ from sortlane.operators.evaluation import find_threshold, gate_curve
 from sortlane.plans import training
 from sortlane.plans.daily import rules_only
 from sortlane.plans.workspace import materialise, new_folder
+from sortlane.rules import labels as fixed
+from sortlane.rules import remote as remote_rules
 from sortlane.schema import JOBS_SCHEMA, TARGET_COLUMNS
 from sortlane.sources import tables
 from sortlane.streaming import drain
@@ -177,11 +179,9 @@ def labelled_vectors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUALITY = heads.HeadSpec("quality", "quality", floor=5, max_iter=20, min_kept=30, max_features=5000)
-QUALITY_SVM = heads.HeadSpec(
-    "quality", "quality", floor=5, learner="svm", max_iter=20, min_kept=30, max_features=5000
-)
-VECTOR_LABEL = heads.HeadSpec("label", "label", floor=5, max_iter=20, separate_gate=False, min_kept=30)
+QUALITY = heads.HeadSpec("quality", "quality", floor=5)
+QUALITY_SVM = heads.HeadSpec("quality", "quality", floor=5, learner="svm")
+VECTOR_LABEL = heads.HeadSpec("label", "label", floor=5, separate_gate=False)
 
 
 def _split(rows: DataFrame, spec: heads.HeadSpec) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -195,25 +195,35 @@ def _fit_and_score(spark, folder, spec: heads.HeadSpec) -> DataFrame:
     train, held, classes = _split(labelled_documents(spark, folder), spec)
     vocab = tfidf.vocabulary(train, max_features=spec.max_features)
     head = heads.fit_head(train, classes, spec, vocab)
-    return heads.score(held, head).select(
-        "row_id", "y", "top1", "top2", F.round("conf", 4).alias("conf")
-    )
+    scored = heads.score(held, head)
+    return scored.select("row_id", "y", _sound(classes).alias("sound"))
+
+
+def _sound(classes: list[str]) -> Column:
+    """What holds for every score: two different classes of the head, the first at least as likely."""
+    known = F.col("top1").isin(classes) & F.col("top2").isin(classes) & (F.col("top1") != F.col("top2"))
+    return known & F.col("conf").between(1 / len(classes) - 1e-9, 1 + 1e-9)
+
 
+# Held-out rows; the group is the MD5 of the group key, as bytes.
+HELD_OUT_SQL = f"""SELECT doc_id AS row_id, CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END AS y, TRUE AS sound
+    FROM (SELECT doc_id, quality, md5(CAST('42:' AS BLOB) || unhex(md5({group_sql('text')}))) AS h FROM documents JOIN labels USING (doc_id))
+    WHERE CAST(('0x' || substring(h, 9, 8)) AS BIGINT) < {int(0.2 * 16**8)}"""
 
-@query("m4_fit_head")
+
+@query("m4_fit_head", HELD_OUT_SQL)
 def fit_head(spark, folder):
     """Multinomial logistic head over TF-IDF, applied to the held-out groups."""
     return _fit_and_score(spark, folder, QUALITY)
 
 
-@query("m5_calibrated_svm")
+@query("m5_calibrated_svm", HELD_OUT_SQL)
 def calibrated_svm(spark, folder):
     """Linear SVM with sigmoid calibration on three splits, applied to the held-out groups."""
     return _fit_and_score(spark, folder, QUALITY_SVM)
 
 
-@query("m6_out_of_fold")
-def out_of_fold(spark, folder):
+def _out_of_fold(spark, folder) -> DataFrame:
     """Every vector scored by a head that has not seen it."""
     rows = materialise(
         heads.training_rows(labelled_vectors(spark, folder), VECTOR_LABEL), "training-rows"
@@ -222,6 +232,22 @@ def out_of_fold(spark, folder):
     return heads.out_of_fold(rows, classes, VECTOR_LABEL)
 
 
+@query(
+    "m6_out_of_fold",
+    """WITH rows AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label)
+    SELECT 'class ' || label AS y, n AS rows, n AS known, TRUE AS likely FROM rows""",
+)
+def out_of_fold(spark, folder):
+    """By class: rows scored, those that got a class of the head, and whether all scores are shares."""
+    scored = _out_of_fold(spark, folder)
+    classes = [r["y"] for r in scored.select("y").distinct().collect()]
+    return scored.groupBy("y").agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("p").isin(classes)).alias("known"),
+        F.every(F.col("conf").between(0.0, 1.0 + 1e-9)).alias("likely"),
+    )
+
+
 @query(
     "m6_scored_once",
     """SELECT vec_id AS row_id, CAST(('0x' || substring(md5(CAST(vec_id AS VARCHAR)), 1, 8))::BIGINT % 5 AS INTEGER) AS fold,
@@ -229,21 +255,31 @@ def out_of_fold(spark, folder):
 )
 def scored_once(spark, folder):
     """Row, fold and truth of the out-of-fold predictions: each row exactly once."""
-    return out_of_fold(spark, folder).select("row_id", "fold", "y")
+    return _out_of_fold(spark, folder).select("row_id", "fold", "y")
 
 
-@query("m6_out_of_fold_gate")
+@query("m6_out_of_fold_gate", "SELECT count(*) AS rows, TRUE AS consistent FROM embeddings")
 def out_of_fold_gate(spark, folder):
-    predictions = out_of_fold(spark, folder)
-    return find_threshold(gate_curve(predictions), min_rows=30)
+    """The gate read from the curve: it holds if and only if a cut reaches the precision."""
+    curve = gate_curve(_out_of_fold(spark, folder))
+    gate = find_threshold(curve, min_rows=VECTOR_LABEL.min_kept).first()
+    reached = curve.filter((F.col("kept") >= VECTOR_LABEL.min_kept) & (F.col("precision") >= fixed.TARGET_PRECISION)).count() > 0
+    rows = table(spark, folder, "embeddings").agg(F.count("*").alias("rows"))
+    return rows.withColumn("consistent", F.lit(bool(gate["gatable"]) == reached))
 
 
-@query("m7_train_heads")
+@query(
+    "m7_train_heads",
+    """SELECT 'quality' AS head, count(*) AS n_rows, CAST(count(DISTINCT quality) AS INTEGER) AS classes,
+    round(100.0e0 * greatest(sum(quality), count(*) - sum(quality)) / count(*), 6) AS baseline FROM documents JOIN labels USING (doc_id)
+    UNION ALL SELECT 'label', sum(n), CAST(count(*) AS INTEGER), round(100.0e0 * max(n) / sum(n), 6)
+    FROM (SELECT label, count(*) AS n FROM embeddings GROUP BY label)""",
+)
 def train_heads(spark, folder):
     """Evaluation, gate and final fit of the document and the vector head."""
     fitted = heads.train_heads(labelled_documents(spark, folder), [QUALITY])
     fitted |= heads.train_heads(labelled_vectors(spark, folder), [VECTOR_LABEL])
-    return heads.summary_table(spark, fitted)
+    return heads.summary_table(spark, fitted).select("head", "n_rows", "classes", F.round("baseline", 6).alias("baseline"))
 
 
 @query("f5_assemble", """SELECT vec_id, 64 + 2 AS size, round(embedding[1], 5) AS first FROM embeddings""")
@@ -286,15 +322,9 @@ def encode(spark, folder):
 
 
 def job_heads(spark: SparkSession, folder: str) -> dict[str, heads.Head]:
-    """Heads for role and job type, fitted on what the recovered labels offer."""
+    """All standard heads whose classes the recovered labels offer."""
     recovered = labels.recover_labels(view(spark, folder, "training"), view(spark, folder, "postings"))
-    frame = training.training_frame(recovered)
-    specs = [
-        heads.HeadSpec(s.name, s.label, s.floor, separate_gate=s.separate_gate, min_kept=30, max_iter=10, max_features=2000)
-        for s in training.STANDARD_HEADS
-        if s.name in ("role", "industry", "job_type")
-    ]
-    return heads.train_heads(frame, specs)
+    return heads.train_heads(training.training_frame(recovered), training.STANDARD_HEADS)
 
 
 _STORED: dict[tuple[str, str], str] = {}
@@ -319,12 +349,24 @@ def loaded_heads(spark: SparkSession, folder: str) -> dict[str, heads.Head]:
         return heads.load_heads(spark, stored_heads(spark, folder), TARGET_COLUMNS)
 
 
-# Rows of every class of the three heads, after curation and class floors.
+_SIGNALS = ", ".join(
+    f"CAST({hit('concat(title, chr(10), description)', p)} AS INTEGER) AS s{i}"
+    for i, (_, p) in enumerate(remote_rules.LABEL_SIGNALS)
+)
+# Rows of every class of the six heads, after curation and class floors.
 HEAD_CLASSES = RECOVERY + f""", english AS (SELECT *, {group_sql('description')} AS g FROM recovered WHERE NOT {NON_ENGLISH_SQL}),
  curated AS (SELECT * FROM english QUALIFY row_number() OVER (PARTITION BY g ORDER BY row_id) <= 2),
+ signals AS (SELECT remote_type, {_SIGNALS} FROM (SELECT remote_type, coalesce(title, '') AS title, coalesce(description, '') AS description FROM curated) q),
  labelled AS (SELECT 'industry' AS head, 5 AS floor, industry AS class FROM curated UNION ALL SELECT 'role', 5, role FROM curated
-   UNION ALL SELECT 'job_type', 30, CASE WHEN job_type <> 'Volunteer' THEN job_type END FROM curated),
- head_classes AS (SELECT head, class, count(*) AS n FROM labelled WHERE class IS NOT NULL GROUP BY ALL HAVING count(*) >= max(floor))"""
+   UNION ALL SELECT 'job_type', 30, CASE WHEN job_type <> 'Volunteer' THEN job_type END FROM curated
+   UNION ALL SELECT 'experience_level', 30, CASE WHEN experience_band IN ('Internship', 'Entry level') THEN 'Entry'
+     WHEN experience_band IN ('Associate', 'Mid-Senior level') THEN 'Mid' WHEN experience_band = 'Director' THEN 'Senior'
+     WHEN experience_band = 'Executive' THEN 'Executive' END FROM curated
+   UNION ALL SELECT 'collar', 30, collar FROM curated
+   UNION ALL SELECT 'remote_mode', 30, CASE WHEN s0 + s1 + s2 > 1 THEN NULL WHEN s0 = 1 THEN 'Remote' WHEN s1 = 1 THEN 'Hybrid'
+     WHEN s2 = 1 THEN 'On-site' ELSE remote_type END FROM signals),
+ head_classes AS (SELECT head, class, count(*) AS n FROM labelled WHERE class IS NOT NULL GROUP BY head, class HAVING count(*) >= max(floor)
+   QUALIFY count(*) OVER (PARTITION BY head) > 1)"""
 
 
 @query(
@@ -337,7 +379,7 @@ HEAD_CLASSES = RECOVERY + f""", english AS (SELECT *, {group_sql('description')}
     ),
 )
 def load_heads(spark, folder):
-    """Size and baseline of the stored heads; the three that were not fitted stay out."""
+    """Size and baseline of the stored heads; those with fewer than two classes were not fitted."""
     summary = heads.summary_table(spark, loaded_heads(spark, folder))
     return summary.select("head", "n_rows", "classes", "baseline")
 
@@ -365,11 +407,17 @@ def _predicted(spark, folder) -> DataFrame:
     return predict.predict_batch(jobs, loaded_heads(spark, folder))
 
 
-@query("p1_predict_batch")
+RULED = rule_updates("jobs").replace(" WHERE classified_at IS NULL", "")
+
+
+@query("p1_predict_batch", over("jobs", "SELECT id, remote_rule AS remote_mode, TRUE AS sound FROM column_ruled", RULED))
 def predict_batch(spark, folder):
-    """Six labels of every job and the confidence of the role head."""
+    """Six labels of every job and the confidence of the role head: what is known whatever the heads say."""
     predicted = _predicted(spark, folder)
-    return predicted.select("id", *TARGET_COLUMNS, "conf")
+    sound = F.coalesce(F.col("conf").between(0.0, 100.0), F.lit(True))
+    for column in TARGET_COLUMNS:
+        sound = sound & F.col(column).isNotNull()
+    return predicted.select("id", "remote_mode", sound.alias("sound"))
 
 
 @query(
@@ -399,20 +447,27 @@ def rule_decided(spark, folder):
     )
 
 
-@query("p2_predict_detail")
+@query("p2_predict_detail", over("jobs", "SELECT id, TRUE AS sound FROM jobs"))
 def predict_detail(spark, folder):
     jobs = view(spark, folder, "jobs").select("id", "title", "description")
     detail = predict.predict_detail(jobs, loaded_heads(spark, folder))
-    return detail.select("id", *TARGET_COLUMNS)
+    sound = F.lit(True)
+    for column in TARGET_COLUMNS:
+        part = F.col(column)
+        sound = sound & part["value"].isNotNull() & part["review"].isNotNull() & part["note"].isNotNull()
+        sound = sound & F.coalesce(part["conf"].between(0.0, 100.0), F.lit(True))
+    return detail.select("id", sound.alias("sound"))
 
 
-@query("s8_write_predictions")
+@query("s8_write_predictions", over("jobs", "SELECT title, count(*) AS n FROM jobs GROUP BY ALL"))
 def write_predictions(spark, folder):
+    """The written predictions read back: rows by title."""
     path = new_folder(spark, "predictions")
     jobs = view(spark, folder, "jobs").select("id", "title", "description")
     detail = predict.predict_detail(jobs, loaded_heads(spark, folder))
     tables.write_predictions(predict.flat_predictions(detail), path)
-    return spark.read.parquet(path)
+    stored = spark.read.parquet(path)
+    return stored.groupBy("title").agg(F.count("*").alias("n"))
 
 
 @query(

@@ -23,6 +23,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sortlane.functions.text import let
 from sortlane.operators.curation import class_floor
@@ -51,7 +52,8 @@ class HeadSpec:
     min_kept: int = fixed.MIN_KEPT_HELD_OUT
     label_source: str = "curated"
     folds: int = fixed.FOLDS
-    max_iter: int = 50
+    max_iter: int = fixed.SVM_MAX_ITER
+    tolerance: float = 1e-4
     svm_c: float = fixed.SVM_C
     min_df: int = fixed.NGRAM_MIN_DF
     max_features: int = fixed.NGRAM_MAX_FEATURES
@@ -92,6 +94,10 @@ class Head:
     members: list
 
 
+# Classes with fewer rows are dealt over the calibration splits one group at a time.
+THIN_CLASS = 300
+
+
 class MissingHeads(Exception):
     pass
 
@@ -153,18 +159,59 @@ def _fit_logistic(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> Log
         regParam=1.0 / (spec.svm_c * max(n, 1)),
         standardization=False,
         maxIter=spec.max_iter,
+        tol=spec.tolerance,
     ).fit(train)
 
 
-def _fit_svm(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> list[list[tuple]]:
-    """Per calibration split: (SVM, sigmoid) of every class; of the second only if binary."""
+def _calibration_splits(train: DataFrame, splits: int) -> DataFrame:
+    """Add ``_split``, the same for all rows of a group.
+
+    Groups are dealt out by a hash. Those of thin classes, which a hash may put into one split,
+    are dealt out in turn; there are at most ``THIN_CLASS`` for each class.
+    """
+    spark = train.sparkSession
+    by_hash = F.pmod(F.xxhash64("group"), F.lit(splits)).cast("int")
+    counts = train.groupBy("label_index").count().filter(F.col("count") < THIN_CLASS).collect()
+    if not counts:
+        return train.withColumn("_split", by_hash)
+    thin = train.filter(F.col("label_index").isin([r["label_index"] for r in counts]))
+    groups = thin.groupBy("group").agg(F.min("label_index").alias("label_index")).collect()
+    groups.sort(key=lambda r: (r["label_index"], r["group"]))
+    turns: dict[float, int] = {}
+    dealt = []
+    for r in groups:
+        turn = turns.get(r["label_index"], 0)
+        turns[r["label_index"]] = turn + 1
+        dealt.append((r["group"], turn % splits))
+    schema = T.StructType([T.StructField("group", train.schema["group"].dataType), T.StructField("_turn", T.IntegerType())])
+    lookup = F.broadcast(spark.createDataFrame(dealt, schema))
+    joined = train.join(lookup, "group", "left")
+    return joined.withColumn("_split", F.coalesce("_turn", by_hash)).drop("_turn")
+
+
+def _fit_svm(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> list[list]:
+    """Per calibration split: (SVM, sigmoid) of every class; of the second only if binary.
+
+    A split whose training or held-out part has rows of one label only can't be fitted for that
+    class; the class's share of the rows stands in for the sigmoid there.
+    """
     splits = fixed.CALIBRATION_FOLDS
-    parted = train.withColumn("_split", F.pmod(F.xxhash64("group"), F.lit(splits)))
+    parted = _calibration_splits(train, splits).persist()
     targets = [1] if classes == 2 else list(range(classes))
+    sizes: dict[tuple[int, int], int] = {}
+    for r in parted.groupBy("_split", "label_index").count().collect():
+        sizes[r["_split"], int(r["label_index"])] = r["count"]
+
+    def both_labels(parts: list[int], c: int) -> bool:
+        hits = sum(sizes.get((p, c), 0) for p in parts)
+        return 0 < hits < sum(size for (p, _), size in sizes.items() if p in parts)
+
     penalty = 1.0 / (spec.svm_c * max(n * (splits - 1) // splits, 1))
 
-    def fit_pair(part_and_class: tuple[int, int]) -> tuple:
+    def fit_pair(part_and_class: tuple[int, int]) -> tuple | float:
         part, c = part_and_class
+        if not (both_labels([p for p in range(splits) if p != part], c) and both_labels([part], c)):
+            return sum(sizes.get((p, c), 0) for p in range(splits)) / max(n, 1)
         target = F.when(F.col("label_index") == c, 1.0).otherwise(0.0)
         rows = parted.withColumn("_target", target)
         svm = LinearSVC(
@@ -174,6 +221,7 @@ def _fit_svm(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> list[lis
             regParam=penalty,
             standardization=False,
             maxIter=spec.max_iter,
+            tol=spec.tolerance,
             rawPredictionCol="_raw",
             predictionCol="_hit",
         ).fit(rows.filter(F.col("_split") != part))
@@ -189,7 +237,10 @@ def _fit_svm(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> list[lis
         return svm, sigmoid
 
     work = [(part, c) for part in range(splits) for c in targets]
-    pairs = _side_by_side(train, fit_pair, work, spec.parallelism)
+    try:
+        pairs = _side_by_side(train, fit_pair, work, spec.parallelism)
+    finally:
+        parted.unpersist()
     return [pairs[part * len(targets) : (part + 1) * len(targets)] for part in range(splits)]
 
 
@@ -216,7 +267,11 @@ def _logistic_member(
 def _svm_member(df: DataFrame, features: str, pairs: list, tag: str) -> DataFrame:
     """Sigmoids of the margins; one of two classes, or several scaled to sum up to one."""
     sigmoids = []
-    for c, (svm, sigmoid) in enumerate(pairs):
+    for c, pair in enumerate(pairs):
+        if isinstance(pair, float):
+            sigmoids.append(F.lit(pair))
+            continue
+        svm, sigmoid = pair
         raw = f"{tag}r{c}"
         renamed = {svm.featuresCol: features, svm.rawPredictionCol: raw, svm.predictionCol: "_hit"}
         df = svm.copy(renamed).transform(df).drop("_hit")
@@ -256,6 +311,19 @@ def _fit_members(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> list
     return [_fit_logistic(train, classes, spec, n)]
 
 
+def fitting_report(members: list, max_iter: int) -> dict:
+    """Most iterations of the fits just made, and whether all ended before the limit."""
+    models = []
+    for member in members:
+        if isinstance(member, LogisticRegressionModel):
+            models.append(member.summary)
+        else:
+            models += [pair[0].summary() for pair in member if not isinstance(pair, float)]
+    steps = [m.totalIterations for m in models]
+    shares = sum(isinstance(pair, float) for member in members if isinstance(member, list) for pair in member)
+    return {"iterations": max(steps, default=0), "converged": all(x < max_iter for x in steps), "unfitted": shares}
+
+
 def ranked_classes(probs: Column) -> Column:
     """Classes from most to least probable as (p, index); ties go to the earlier class."""
     pairs = F.transform(probs, lambda p, i: F.struct(p.alias("p"), (-i).alias("minus_index")))
@@ -418,6 +486,7 @@ def train_head(df: DataFrame, spec: HeadSpec) -> tuple[Head | None, DataFrame |
         lift=metrics["lift"],
         label_source=spec.label_source,
         threshold_from=source if gate_rows is not None else "none",
+        extra=fitting_report(head.members, spec.max_iter),
     )
     return head, predictions
 
@@ -461,10 +530,11 @@ def save_head(spark: SparkSession, head: Head, path: str) -> None:
             member.write().overwrite().save(f"{path}/member{m}")
             shape.append(None)
         else:
-            for c, (svm, sigmoid) in enumerate(member):
-                svm.write().overwrite().save(f"{path}/member{m}/svm{c}")
-                sigmoid.write().overwrite().save(f"{path}/member{m}/sigmoid{c}")
-            shape.append(len(member))
+            for c, pair in enumerate(member):
+                if not isinstance(pair, float):
+                    pair[0].write().overwrite().save(f"{path}/member{m}/svm{c}")
+                    pair[1].write().overwrite().save(f"{path}/member{m}/sigmoid{c}")
+            shape.append([pair if isinstance(pair, float) else None for pair in member])
     payload = json.dumps({"info": asdict(head.info), "members": shape})
     spark.createDataFrame([(payload,)], "info string").coalesce(1).write.mode("overwrite").parquet(
         f"{path}/info"
@@ -474,17 +544,19 @@ def save_head(spark: SparkSession, head: Head, path: str) -> None:
 def load_head(spark: SparkSession, path: str) -> Head:
     payload = json.loads(spark.read.parquet(f"{path}/info").first()["info"])
     members = []
-    for m, size in enumerate(payload["members"]):
-        if size is None:
+    for m, shares in enumerate(payload["members"]):
+        if shares is None:
             members.append(LogisticRegressionModel.load(f"{path}/member{m}"))
         else:
             members.append(
                 [
-                    (
+                    share
+                    if share is not None
+                    else (
                         LinearSVCModel.load(f"{path}/member{m}/svm{c}"),
                         LogisticRegressionModel.load(f"{path}/member{m}/sigmoid{c}"),
                     )
-                    for c in range(size)
+                    for c, share in enumerate(shares)
                 ]
             )
     return Head(HeadInfo(**payload["info"]), PipelineModel.load(f"{path}/features"), members)

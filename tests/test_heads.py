@@ -94,6 +94,21 @@ def test_two_class_svm(rows):
     assert right > 0.95 * frame.count()
 
 
+@pytest.mark.parametrize("learner", ["svm", "logistic"])
+def test_thin_class_in_one_group(spark, rows, tmp_path, learner):
+    """A class of six rows in one group leaves splits with one label; nothing fails."""
+    thin = rows.filter("row_id < 6").withColumns({"label": F.lit("z"), "group": F.lit("lone"), "row_id": F.col("row_id") + 1000})
+    both = rows.filter("label <> 'c'").unionByName(thin).coalesce(2)
+    head, oof = heads.train_head(both, spec(learner=learner, folds=2))
+    assert head.info.classes == ["a", "b", "z"] and oof.count() == 166
+    assert head.info.extra["iterations"] > 0 and (head.info.extra["unfitted"] > 0) == (learner == "svm")
+    assert head.info.accuracy > 85
+    heads.save_head(spark, head, str(tmp_path / "thin"))
+    again = heads.load_head(spark, str(tmp_path / "thin"))
+    scores = [heads.score(both, h).select("row_id", F.round("conf", 9)).collect() for h in (head, again)]
+    assert sorted(scores[0]) == sorted(scores[1]) and all(0 <= r[1] <= 1 for r in scores[0])
+
+
 def test_gate_needs_enough_held_out_rows(rows):
     head, _ = heads.train_head(rows, spec(folds=2))
     assert (head.info.threshold, head.info.gatable, head.info.threshold_from) == (None, False, "none")

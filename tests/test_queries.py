@@ -7,9 +7,7 @@ import pytest
 from check import normal, sort_key
 from sortlane.catalog import QUERIES
 
-# Fitting heads takes long; these are covered by test_heads.
-SLOW = ("m4", "m5", "m6", "m7", "s6", "s8", "s10", "p1", "p2_predict")
-CHECKED = [n for n, q in QUERIES.items() if q.sql is not None and not n.startswith(SLOW)]
+CHECKED = [n for n, q in QUERIES.items() if q.sql is not None]
 
 
 @pytest.mark.parametrize("name", CHECKED)
