@@ -17,7 +17,7 @@ SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 # The pattern of a word for Spark and for DuckDB.
 WORD = r"[^\x20\x09-\x0D]+"
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 _random = np.random.default_rng(20240229)
 _BYTE_VALUES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sortlane.llm import arrays as A
 from sortlane.llm import superkmers as S
-from sortlane.llm.tables import doc_key, keyed, map_arrow, part_key
+from sortlane.llm.tables import doc_key, keyed, map_arrow, part_key, unpack_texts
 
 WINDOW = 20
 GRAM = 4
@@ -102,12 +102,13 @@ def remove(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     texts, size = keyed(documents)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in A.slices(batches, "text"):
+        for piece in unpack_texts(batches):
             n_words, n_removed, kept = _kept(piece)
             columns = [piece.column("doc_id"), pa.array(n_words), pa.array(n_removed), pa.array([k.decode() for k in kept], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept"])
 
-    marked = S.with_spans(texts, spans(texts, size, window)).select("doc_id", "text", "starts", "lengths")
+    rows = texts.select(F.col("doc").alias("_doc"), F.col("part").alias("_part"), "doc_id", "text")
+    marked = S.with_spans(rows, spans(texts, size, window))
     return map_arrow(marked, run, "doc_id long, n_words long, n_removed long, kept string")
 
 
@@ -116,15 +117,10 @@ def deduplicated(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     names = documents.columns
     texts, size = keyed(documents)
     found = spans(texts, size, window)
-    rows = documents.withColumns({"_doc": doc_key(), "_part": part_key(texts)})
-    per_doc = found.groupBy("doc", "part").agg(F.collect_list(F.struct("start", "length")).alias("_spans"))
-    per_doc = per_doc.withColumnsRenamed({"doc": "_doc", "part": "_part"})
-    marked = rows.join(per_doc, ["_doc", "_part"], "left")
-    marked = marked.withColumn("starts", F.col("_spans.start")).withColumn("lengths", F.col("_spans.length"))
-    marked = marked.select(*[F.col(f"`{c}`") for c in names], "starts", "lengths")
+    marked = S.with_spans(documents.withColumns({"_doc": doc_key(), "_part": part_key(texts)}), found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in A.slices(batches, "text"):
+        for piece in unpack_texts(batches):
             _, n_removed, kept = _kept(piece)
             old = piece.column("text").to_pylist()
             text = pa.array([k.decode() if n else t for n, k, t in zip(n_removed, kept, old)], pa.string())

@@ -15,10 +15,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sortlane.llm import arrays as A
 from sortlane.llm import superkmers as S
-from sortlane.llm.tables import keyed, map_arrow
+from sortlane.llm.tables import keyed, map_arrow, unpack_texts
 
 THRESHOLD = 400
 DIGIT = 100
@@ -97,7 +98,7 @@ def remove(documents: DataFrame, threshold: int = THRESHOLD, digit: int = DIGIT)
     spans = S.repeated_spans(dealt, cut, _finder(threshold, digit))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in A.slices(batches, "text"):
+        for piece in unpack_texts(batches):
             data, offsets = A.flat(piece.column("text"))
             gone = S.covered(piece, offsets)
             new = np.append(True, ~gone)  # a run can't go on from the byte before
@@ -109,5 +110,6 @@ def remove(documents: DataFrame, threshold: int = THRESHOLD, digit: int = DIGIT)
             columns = [piece.column("doc_id"), pa.array(np.diff(offsets)), pa.array(np.diff(before(gone))), pa.array(np.diff(before(begins))), kept]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    marked = S.with_spans(texts, spans).select("doc_id", "text", "starts", "lengths")
+    rows = texts.select(F.col("doc").alias("_doc"), F.col("part").alias("_part"), "doc_id", "text")
+    marked = S.with_spans(rows, spans)
     return map_arrow(marked, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

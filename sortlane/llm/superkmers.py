@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sortlane.llm import arrays as A
-from sortlane.llm.tables import map_arrow, stored
+from sortlane.llm.tables import map_arrow, pack_texts, stored
 
 # Bytes of text that a task packs together, and bytes of strings wanted in a bucket.
-FLUSH_BYTES = 8_000_000
-BUCKET_BYTES = 16_000_000
+FLUSH_BYTES = 4_000_000
+BUCKET_BYTES = 3_000_000
 # At most so many grams are listed as frequent.
 MOST_FREQUENT = 500_000
 
@@ -173,22 +173,34 @@ def frequent_grams(texts: DataFrame, scheme: Scheme, buckets: int) -> np.ndarray
     shares = min(8 * scheme.width * buckets, MOST_FREQUENT)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in A.slices(batches, "text", FLUSH_BYTES):
-            _, _, _, first, grams = scheme.units(*A.flat(piece.column("text")))
-            grams = grams[ranges(first[:-1], np.maximum(np.diff(first) - scheme.m + 1, 0))]
+        waiting, size = [], 0
+        for piece in A.slices(batches, "text"):
+            data, offsets = A.flat(piece.column("text"))
+            _, _, _, first, grams = scheme.units(data, offsets)
+            waiting.append(grams[ranges(first[:-1], np.maximum(np.diff(first) - scheme.m + 1, 0))])
+            size += len(data)
+            if size >= FLUSH_BYTES:
+                yield from told(waiting)
+                waiting, size = [], 0
+        yield from told(waiting)
+
+    def told(waiting: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if waiting:
+            grams = np.concatenate(waiting)
+            waiting.clear()
             grams.sort()
             edge = np.flatnonzero(grams[1:] != grams[:-1]) + 1
             bounds = np.concatenate([[0], edge, [len(grams)]]) if len(grams) else np.zeros(1, np.int64)
             n = np.diff(bounds)
-            told = n >= max(2, len(grams) // (4 * shares))
-            own = grams[bounds[:-1][told]].view(np.int64)
+            often = n >= max(2, len(grams) // (4 * shares))
+            own = grams[bounds[:-1][often]].view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([None, *own.tolist()], pa.int64()), pa.array([len(grams), *n[told].tolist()], pa.int64())],
+                [pa.array([None, *own.tolist()], pa.int64()), pa.array([len(grams), *n[often].tolist()], pa.int64())],
                 names=["gram", "n"],
             )
 
-    told = map_arrow(texts.select("text"), count, "gram long, n long")
-    sums = stored(told.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    shares_told = map_arrow(texts.select("text"), count, "gram long, n long")
+    sums = stored(shares_told.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     total = sums.filter("gram is null").agg(F.sum("n")).first()[0] or 0
     limit = max(2, 3 * total // (4 * shares))
     rows = sums.filter(F.col("gram").isNotNull() & (F.col("n") > limit)).select("gram").collect()
@@ -280,16 +292,19 @@ def repeated_spans(dealt: DataFrame, scheme: Scheme, find: Callable) -> DataFram
     return map_arrow(dealt, run, SPANS)
 
 
-def with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """The rows of ``texts`` with all spans of their document, as arrays ``starts`` and ``lengths``."""
-    per_doc = spans.groupBy("doc", "part").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
-    joined = texts.join(per_doc, ["doc", "part"], "left")
-    return joined.withColumn("starts", F.col("spans.start")).withColumn("lengths", F.col("spans.length")).drop("spans")
+def with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """``rows``, with keys _doc and _part, and all spans of their document as ``_starts`` and ``_lengths``.
+
+    The texts are compressed for the shuffle; ``unpack_texts`` gives them back.
+    """
+    per_doc = spans.groupBy("doc", "part").agg(F.collect_list(F.struct("start", "length")).alias("_spans"))
+    joined = pack_texts(rows).join(per_doc.withColumnsRenamed({"doc": "_doc", "part": "_part"}), ["_doc", "_part"], "left")
+    return joined.withColumns({"_starts": F.col("_spans.start"), "_lengths": F.col("_spans.length")}).drop("_spans", "_doc", "_part")
 
 
 def covered(piece: pa.RecordBatch, first: np.ndarray) -> np.ndarray:
     """For each unit of a slice's rows whether a span covers it."""
-    begin, length = piece.column("starts"), piece.column("lengths")
+    begin, length = piece.column("_starts"), piece.column("_lengths")
     n = np.array([len(x) if x.is_valid else 0 for x in begin], dtype=np.int64)
     row = np.repeat(np.arange(piece.num_rows), n)
     left = first[row] + np.asarray(begin.flatten(), dtype=np.int64)

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sortlane.llm import arrays as A
 from sortlane.plans.workspace import new_folder
 
 # Stands for a null doc_id where ids are ordered or joined: smaller than any other.
@@ -61,3 +64,32 @@ def keyed(documents: DataFrame) -> tuple[DataFrame, int]:
     texts = rows.select("doc", part.alias("part"), "doc_id", "text")
     texts.several = several
     return texts, size or 0
+
+
+# Compressed bytes of texts that are unpacked together.
+PACKED_SLICE = 400_000
+
+
+def pack_texts(rows: DataFrame) -> DataFrame:
+    """``rows`` with the column ``text`` compressed, for a shuffle; a null stays null."""
+    names = rows.columns
+    fields = [T.StructField(f.name, T.BinaryType() if f.name == "text" else f.dataType) for f in rows.schema]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressor = zstandard.ZstdCompressor(level=6)
+        for piece in A.slices(batches, "text"):
+            packed = [compressor.compress(x.as_buffer()) if x.is_valid else None for x in piece.column("text")]
+            columns = [pa.array(packed, pa.binary()) if c == "text" else piece.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return rows.mapInArrow(run, T.StructType(fields))
+
+
+def unpack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, with the texts as they were before ``pack_texts``."""
+    decompressor = zstandard.ZstdDecompressor()
+    for piece in A.slices(batches, "text", PACKED_SLICE):
+        raw = [decompressor.decompress(x.as_buffer()) if x.is_valid else None for x in piece.column("text")]
+        names = piece.schema.names
+        columns = [pa.array(raw, pa.binary()).cast(pa.string()) if c == "text" else piece.column(c) for c in names]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
