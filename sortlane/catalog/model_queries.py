@@ -124,6 +124,31 @@ def drain_query(spark, folder):
     return drain.read_results(spark, sink)
 
 
+@query(
+    "u4_drain_snapshot",
+    over("jobs", "SELECT * FROM merged", rule_updates("jobs") + ", " + fill_blanks_cte("jobs", "rule_updates")),
+)
+def drain_snapshot(spark, folder):
+    """The whole table after a drain, twice: a replay into the same sink changes nothing."""
+    sink, arrivals = new_folder(spark, "drained"), _arrivals(spark, folder)
+    for _ in range(2):
+        drain.drain(spark, arrivals, rules_only, sink, new_folder(spark, "progress"), STAMP, files_per_batch=3)
+    return drain.merged_snapshot(tables.conform_jobs(view(spark, folder, "jobs")), sink)
+
+
+@query(
+    "u4_drain_heads",
+    over("jobs", "SELECT id, title, remote_mode, TRUE AS stamped FROM jobs WHERE classified_at IS NULL"),
+)
+def drain_heads(spark, folder):
+    """A drain with fitted heads: which rows are stamped, and that the remote mode is not the model's."""
+    sink, fitted = new_folder(spark, "drained"), loaded_heads(spark, folder)
+    classify = lambda rows: predict.predict_batch(rows, fitted)
+    drain.drain(spark, _arrivals(spark, folder), classify, sink, new_folder(spark, "progress"), STAMP, files_per_batch=3)
+    results = drain.read_results(spark, sink)
+    return results.select("id", "title", "remote_mode", F.col("classified_at").isNotNull().alias("stamped"))
+
+
 @query("u5_daily_stream", DAILY_SQL)
 def daily_stream(spark, folder):
     sink = new_folder(spark, "daily")
@@ -151,6 +176,39 @@ def run_report(spark, folder):
     )
 
 
+# --- vectors and terms in one head ------------------------------------------------------
+
+
+@query(
+    "p1_encoded_heads",
+    """SELECT doc_id AS id, TRUE AS same, TRUE AS sound FROM documents JOIN embeddings ON doc_id = vec_id JOIN labels USING (doc_id)""",
+)
+def encoded_heads(spark, folder):
+    """A head over terms and vectors, predicting from stored vectors and from an encoder's.
+
+    The stand-in encoder gives the vectors that are stored, so both ways agree.
+    """
+    documents = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
+    known = table(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"))
+    rows = documents.join(known, "doc_id").select(
+        F.col("doc_id").alias("id"), F.lit("").alias("title"), F.col("text").alias("description"),
+        F.when(F.col("quality") == 1, "good").otherwise("poor").alias("quality"),
+    )
+    rows = materialise(features.encode(rows, letter_encoder), "encoded")
+    frame = with_terms(rows.withColumn("_text", F.col("description")), "_text").select(
+        F.col("id").alias("row_id"), group_hash(F.col("description")).alias("group"), "terms", "embedding", "quality"
+    )
+    spec = heads.HeadSpec("role", "quality", floor=2)
+    train = materialise(heads.training_rows(frame, spec), "training-rows")
+    classes = sorted(r["y"] for r in train.select("y").distinct().collect())
+    fitted = {"role": heads.fit_head(train, classes, spec, tfidf.vocabulary(train))}
+    stored = predict.score_heads(rows, fitted).select("id", F.col("role_top1").alias("a"), F.col("role_conf").alias("c"))
+    fresh = predict.score_heads(rows.drop("embedding"), fitted, letter_encoder).select("id", F.col("role_top1").alias("b"))
+    joined = stored.join(fresh, "id")
+    return joined.select("id", (F.col("a") == F.col("b")).alias("same"), F.col("a").isin(classes) & F.col("c").between(0.0, 1.0 + 1e-9))\
+        .toDF("id", "same", "sound")
+
+
 # --- learned heads --------------------------------------------------------------------
 
 

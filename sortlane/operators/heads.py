@@ -129,6 +129,11 @@ def _feature_pipeline(
     return PipelineModel(stages)
 
 
+def needs_vectors(head: Head) -> bool:
+    """Whether the head was fitted on embeddings."""
+    return "embedding_vector" in head.features.stages[-1].getInputCols()
+
+
 def featurise(df: DataFrame, features: dict[str, PipelineModel]) -> DataFrame:
     """Add <name>_features for several heads at once.
 

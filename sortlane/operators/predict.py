@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sortlane.functions.terms import with_terms
 from sortlane.functions.text import model_text
 from sortlane.operators.columns import apply_column_rules, notes_text
-from sortlane.operators.heads import Head, score_all
+from sortlane.operators.features import encode
+from sortlane.operators.heads import Head, needs_vectors, score_all
 from sortlane.operators.titles import apply_title_rules, wants_second_label
 from sortlane.schema import TARGET_COLUMNS
 
@@ -16,14 +19,23 @@ TITLE_RULED = ["industry", "role"]
 COLUMN_RULED = ["job_type", "experience_level", "collar", "remote_mode"]
 
 
-def score_heads(df: DataFrame, heads: dict[str, Head]) -> DataFrame:
-    """Add <head>_top1, _top2 and _conf for every head over one shared set of terms.
+def score_heads(df: DataFrame, heads: dict[str, Head], make_encoder: Callable | None = None) -> DataFrame:
+    """Add <head>_top1, _top2 and _conf for every head over one shared set of terms and vectors.
 
-    A missing head yields '' with confidence 0. The whole chain is a map over the rows.
+    Heads fitted on vectors read the column ``embedding`` or, without one, the vectors of
+    ``make_encoder`` (see ``features.encode``), made once for all heads. A missing head yields
+    '' with confidence 0. The whole chain is a map over the rows.
     """
+    used = {c: heads[c] for c in TARGET_COLUMNS if c in heads}
+    dense = [c for c, head in used.items() if needs_vectors(head)]
+    encoded = bool(dense) and "embedding" not in df.columns
+    if encoded:
+        if make_encoder is None:
+            raise ValueError(f"heads {dense} were fitted on vectors: give a column 'embedding' or an encoder")
+        df = encode(df, make_encoder)
     text = df.withColumn("_text", model_text(F.col("title"), F.col("description")))
     scored = with_terms(text, "_text").drop("_text")
-    scored = score_all(scored, {c: heads[c] for c in TARGET_COLUMNS if c in heads}).drop("terms")
+    scored = score_all(scored, used).drop("terms", *(["embedding"] if encoded else []))
     for name in TARGET_COLUMNS:
         if name not in heads:
             scored = scored.withColumns(
@@ -36,9 +48,9 @@ def score_heads(df: DataFrame, heads: dict[str, Head]) -> DataFrame:
     return scored
 
 
-def predict_batch(df: DataFrame, heads: dict[str, Head]) -> DataFrame:
+def predict_batch(df: DataFrame, heads: dict[str, Head], make_encoder: Callable | None = None) -> DataFrame:
     """Six labels, the confidence of the role head and the rules that fired."""
-    scored = score_heads(df, heads)
+    scored = score_heads(df, heads, make_encoder)
     labelled = scored.withColumns({c: F.col(f"{c}_top1") for c in TARGET_COLUMNS})
     return apply_rules(labelled).withColumn("conf", F.col("role_conf")).drop(
         *[f"{c}_{part}" for c in TARGET_COLUMNS for part in ("top1", "top2", "conf")]
@@ -90,9 +102,9 @@ def alternate_label(
     return F.when(~rule_fired & threshold.isNotNull() & torn, second)
 
 
-def predict_detail(df: DataFrame, heads: dict[str, Head]) -> DataFrame:
+def predict_detail(df: DataFrame, heads: dict[str, Head], make_encoder: Callable | None = None) -> DataFrame:
     """Per column the value, confidence in percent, review flag, second label and note."""
-    scored = score_heads(df, heads)
+    scored = score_heads(df, heads, make_encoder)
     labelled = scored.withColumns({c: F.col(f"{c}_top1") for c in TARGET_COLUMNS})
     # Title rules need both of their columns; without one of them only the rest is ruled.
     if all(c in heads for c in TITLE_RULED):

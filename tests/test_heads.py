@@ -148,6 +148,19 @@ def test_missing_heads_stay_blank(spark, tmp_path):
     assert "Exchange" not in plan
 
 
+def test_heads_over_vectors_take_stored_ones_or_an_encoder(spark, rows):
+    frame = heads.training_rows(rows, spec(name="role"))
+    head = heads.fit_head(frame, ["a", "b", "c"], spec(name="role"), tfidf.vocabulary(frame))
+    jobs = rows.limit(6).select(F.col("row_id").cast("string").alias("id"), F.lit("red").alias("title"), F.lit("rose petal").alias("description"), "embedding")
+    assert heads.needs_vectors(head)
+    with pytest.raises(ValueError, match="fitted on vectors"):
+        predict.predict_batch(jobs.drop("embedding"), {"role": head})
+    stored = predict.predict_batch(jobs, {"role": head})
+    assert stored.count() == 6 and "embedding" in stored.columns
+    encoded = predict.predict_batch(jobs.drop("embedding"), {"role": head}, lambda: lambda texts: np.ones((len(texts), 4)))
+    assert encoded.count() == 6 and "embedding" not in encoded.columns
+
+
 def test_encoder_is_called_in_batches_and_gives_unit_vectors(spark):
     def make():
         def encode(texts):
