@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sortlane.sources.tables import read_table
 
+# Titles and snippets. Fixed values among them, those of FIXTURES.md section 2: the rows
+# "Senior Software Engineer (Remote)", "Registered Nurse PRN", "Staff Accountant",
+# "Vice President, Marketing" and "Contract Manager".
 _TITLES = [
     ("Travel ICU RN", "13-week contract, night shift critical care, 2 years of experience"),
     ("Senior Software Engineer (Remote)", "8+ years python, fully remote"),

@@ -1,4 +1,4 @@
-"""Rule cases by hand: expected values of the override tier and known quirks of each tier."""
+"""Rule cases: fixed expected values of the override tier and known quirks of each tier."""
 
 from __future__ import annotations
 
@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from sortlane.operators import audit, columns, keyword, titles
 from sortlane.rules import audit as audit_rules
 
-# title, description, (job type, experience, collar, remote) before and after.
+# Fixed values, those of FIXTURES.md section 2: title, description, (job type, experience,
+# collar, remote) before and after.
 CASES = [
     ("Manufacturing Engineer", "advanced manufacturing engineering role", ("Full-time", "Mid", "Blue", "Remote"), ("Full-time", "Mid", "White", "On-site")),
     ("Travel Radiologic Technologist", "13-week travel assignment at a facility", ("Full-time", "Entry", "Blue", "Remote"), ("Contract", "Entry", "Blue", "On-site")),
@@ -172,3 +173,12 @@ def test_rules_stay_in_one_stage(spark, folder):
     )
     plan = ruled._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("name", ["k7_keyword_merge", "g13_column_rules", "u2_fill_remote_mode", "u5_daily_run"])
+def test_registered_rule_queries_read_as_stored(spark, folder, name):
+    """The plans that are checked and timed deal nothing out anew."""
+    from sortlane.catalog import QUERIES
+
+    plan = QUERIES[name].run(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobin" not in plan and "REPARTITION" not in plan
