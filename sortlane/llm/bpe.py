@@ -28,7 +28,9 @@ from sortlane.llm.tables import map_arrow
 
 CUT_BITS = 5
 HASH_BYTES = 8
-MOST_KEPT = 100_000
+MOST_KEPT = 150_000
+# Pieces that go through the library in one call.
+PIECES = 1000
 
 
 class ChunkEncoder:
@@ -44,7 +46,9 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_str(json.dumps(settings))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.decoder = settings.get("decoder")
+        marks = [t for t in settings.get("added_tokens", []) if not t.get("normalized") and not t.get("single_word")]
+        self.mark = marks[-1]["content"].encode() if marks else b""
+        self.mark_id = marks[-1]["id"] if marks else -1
         self.names: dict[int, str] = {}
         self.most_kept = most_kept
         self.words: dict[bytes, tuple[bytes, str]] = {}
@@ -52,16 +56,36 @@ class ChunkEncoder:
         self.joins: set[tuple[bytes, bytes]] = set()
 
     def _ids(self, texts: list[bytes]) -> list[tuple[bytes, str]]:
-        found = self.tokenizer.encode_batch([t.decode("utf-8") for t in texts], add_special_tokens=False)
-        return [(np.array(e.ids, dtype=np.int32).tobytes(), self._decoded(e.ids)) for e in found]
+        """Ids and decoded text of each piece.
+
+        Many pieces go through the library at once, with a special token between them: such a
+        token ends what stands before it. Pieces that hold one themselves go alone.
+        """
+        out: list[tuple[bytes, str]] = []
+        for start in range(0, len(texts), PIECES):
+            some = texts[start : start + PIECES]
+            together = self._encoded(self.mark.join(some)) if self.mark else np.zeros(0, np.int32)
+            ends = np.flatnonzero(together == self.mark_id)
+            if self.mark and len(ends) == len(some) - 1:
+                bounds = [0, *(ends + 1).tolist(), len(together) + 1]
+                each = [together[i : j - 1] for i, j in zip(bounds, bounds[1:])]
+            else:
+                each = [self._encoded(t) for t in some]
+            out += [(ids.tobytes(), self._decoded(ids.tolist())) for ids in each]
+        return out
+
+    def _encoded(self, text: bytes) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast([text.decode("utf-8")], add_special_tokens=False)
+        return np.array(found[0].ids, dtype=np.int32)
 
     def _decoded(self, ids: list[int]) -> str:
         """The tokens' strings, each with a blank after it: what decoding joins."""
         names = self.names
-        for i in ids:
-            if i not in names:
-                names[i] = self.tokenizer.id_to_token(i) + " "
-        return "".join([names[i] for i in ids])
+        try:
+            return "".join([names[i] for i in ids])
+        except KeyError:
+            names.update({i: self.tokenizer.id_to_token(i) + " " for i in ids})
+            return "".join([names[i] for i in ids])
 
     def learn(self, chunks: set[bytes]) -> None:
         """Encode the chunks that this worker has not met."""
