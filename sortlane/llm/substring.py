@@ -114,16 +114,18 @@ def remove(documents: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def deduplicated(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``documents``; a text that loses words becomes its kept words joined by one blank."""
-    names = documents.columns
     texts, size = keyed(documents)
-    found = spans(texts, size, window)
-    marked = S.with_spans(documents.withColumns({"_doc": doc_key(), "_part": part_key(texts)}), found)
+    others = [c for c in documents.columns if c != "text"]
+    # The documents' own columns travel in one, so no name can meet another.
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), "text", doc_key().alias("_doc"), part_key(texts).alias("_part"))
+    marked = S.with_spans(rows, spans(texts, size, window))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in unpack_texts(batches):
             _, n_removed, kept = _kept(piece)
             old = piece.column("text").to_pylist()
             text = pa.array([k.decode() if n else t for n, k, t in zip(n_removed, kept, old)], pa.string())
-            yield pa.RecordBatch.from_arrays([text if c == "text" else piece.column(c) for c in names], names=names)
+            yield pa.RecordBatch.from_arrays([piece.column("row"), text], names=["row", "text"])
 
-    return marked.mapInArrow(run, documents.schema)
+    kept = marked.mapInArrow(run, rows.select("row", "text").schema)
+    return kept.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in documents.columns])

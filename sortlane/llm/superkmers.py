@@ -29,7 +29,7 @@ from sortlane.llm.tables import map_arrow, pack_texts, stored
 # Bytes of text that a task packs together, and bytes of strings wanted in a bucket.
 FLUSH_BYTES = 4_000_000
 BUCKET_BYTES = 3_000_000
-# At most so many grams are listed as frequent.
+# Not many more grams than this are listed as frequent: each holds such a share of all places.
 MOST_FREQUENT = 500_000
 
 PACKED = "bucket int, blob binary, doc binary, part binary, start binary, windows binary"
@@ -94,23 +94,32 @@ def in_order(strings: Strings) -> Strings:
     return strings.take(order[new])
 
 
-def is_frequent(grams: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(grams), dtype=bool)
-    if len(frequent):
-        seen = np.zeros(1 << 20, dtype=bool)
-        seen[(frequent >> np.uint64(44)).astype(np.int64)] = True
-        near = np.flatnonzero(seen[(grams >> np.uint64(44)).astype(np.int64)])
-        place = np.minimum(np.searchsorted(frequent, grams[near]), len(frequent) - 1)
-        out[near[frequent[place] == grams[near]]] = True
-    return out
+class Frequent:
+    """Tells which grams are in a sorted list."""
 
+    BITS = 22
 
-def strings_of(piece: pa.RecordBatch, scheme: Scheme, frequent: np.ndarray) -> Strings:
+    def __init__(self, grams: np.ndarray):
+        self.grams = grams
+        self.seen = np.zeros(1 << self.BITS, dtype=bool)
+        self.seen[self._top(grams)] = True
+
+    def _top(self, grams: np.ndarray) -> np.ndarray:
+        return (grams >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def mark(self, grams: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(grams), dtype=bool)
+        if len(self.grams):
+            near = np.flatnonzero(self.seen[self._top(grams)])
+            place = np.minimum(np.searchsorted(self.grams, grams[near]), len(self.grams) - 1)
+            out[near[self.grams[place] == grams[near]]] = True
+        return out
+
+
+def strings_of(piece: pa.RecordBatch, scheme: Scheme, frequent: Frequent) -> Strings:
     """All windows of the rows of a slice with the columns doc, part and text."""
     data, starts, ends, first, grams = scheme.units(*A.flat(piece.column("text")))
-    order = grams >> np.uint64(1)
-    if len(frequent):
-        order |= is_frequent(grams, frequent).astype(np.uint64) << np.uint64(63)
+    order = grams >> np.uint64(1) | frequent.mark(grams).astype(np.uint64) << np.uint64(63)
     low = A.sliding_min(order, scheme.width)
     windows = np.maximum(np.diff(first) - scheme.k + 1, 0)
     at = ranges(first[:-1], windows)
@@ -164,13 +173,13 @@ def buckets_for(texts: DataFrame, size: int, scheme: Scheme) -> int:
     return int(max(8 * reducers, size * spread // BUCKET_BYTES + 1))
 
 
-def frequent_grams(texts: DataFrame, scheme: Scheme, buckets: int) -> np.ndarray:
-    """Grams with so many places that one would fill a bucket, sorted.
+def frequent_grams(texts: DataFrame, scheme: Scheme) -> np.ndarray:
+    """Grams that hold more than about 1 / MOST_FREQUENT of all places, sorted.
 
-    A task tells the grams that hold a share of its own grams; what it leaves out of a gram is
-    below a quarter of the limit, so no gram above the limit is missed.
+    A task tells the grams that stand twice or more in what it packs together, if they hold a
+    quarter of that share there.
     """
-    shares = min(8 * scheme.width * buckets, MOST_FREQUENT)
+    shares = MOST_FREQUENT
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
@@ -213,13 +222,13 @@ def to_buckets(texts: DataFrame, scheme: Scheme, buckets: int, combine: Callable
     ``combine(strings)`` joins equal strings of a task: it gives the strings that travel and
     those whose windows are known to be repeated, which travel as bare numbers.
     """
-    frequent = texts.sparkSession.sparkContext.broadcast(frequent_grams(texts, scheme, buckets))
+    frequent = texts.sparkSession.sparkContext.broadcast(frequent_grams(texts, scheme))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressor = zstandard.ZstdCompressor(level=3)
+        compressor, known = zstandard.ZstdCompressor(level=3), Frequent(frequent.value)
         waiting, size = [], 0
         for piece in A.slices(batches, "text"):
-            waiting.append(strings_of(piece, scheme, frequent.value))
+            waiting.append(strings_of(piece, scheme, known))
             size += len(waiting[-1].data)
             if size >= FLUSH_BYTES:
                 yield from flush(waiting, compressor)

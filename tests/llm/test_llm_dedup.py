@@ -155,7 +155,7 @@ def test_frequent_passages_are_found(spark):
     assert got == brute_words([(d, t) for d, t, _ in rows])
     from sortlane.llm import superkmers
 
-    grams = superkmers.frequent_grams(documents(spark, rows), substring.scheme(), 1)
+    grams = superkmers.frequent_grams(documents(spark, rows), substring.scheme())
     assert len(grams) == 60 - substring.GRAM + 1
 
 
