@@ -34,8 +34,9 @@ BANDS = 48
 ROWS = 7
 BINS = BANDS * ROWS
 LEAST_AGREED = 0.68
-# Partners by nearness that the rounds of one bucket block go through.
-ROUNDS = ((0, 2), (2, 16), (16, 1 << 30))
+# Rounds: which part of the buckets, and how many of the nearest partners in a block. The last
+# round takes all partners that are near enough in all buckets.
+ROUNDS = ((12, 2), (1, 2), (1, 16), (1, 1 << 30))
 BLOCK = 256
 
 SKETCH = "doc long, part long, n_shingles long, node long, bands binary, short binary"
@@ -201,15 +202,13 @@ def _packed(texts: DataFrame, sketch: DataFrame, members: DataFrame) -> DataFram
     return stored(found, "minhash-packed")
 
 
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return members.withColumn("label", F.col("node"))
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     joined = members.join(labels, "node", "left")
     return joined.select("key", "node", F.coalesce("label", "node").alias("label"))
 
 
-def _nearest(blocks: DataFrame, low: int, high: int) -> DataFrame:
-    """Pairs (a, b) of different labels: for each member its partners of rank low to high in a block pair."""
+def _nearest(blocks: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b) of different labels: for each asking set its ``most`` nearest partners in a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, rows = None, []
@@ -218,44 +217,66 @@ def _nearest(blocks: DataFrame, low: int, high: int) -> DataFrame:
             rest = zip(*(batch.column(i).to_pylist() for i in range(3, 7)))
             for key, row in zip(keys, rest):
                 if key != last and rows:
-                    yield out(last, rows)
+                    yield from out(rows)
                     rows = []
                 last = key
                 rows.append(row)
         if rows:
-            yield out(last, rows)
-
-    def out(key: tuple, rows: list) -> pa.RecordBatch:
-        node = np.array([r[0] for r in rows], dtype=np.int64)
-        label = np.array([r[1] for r in rows], dtype=np.int64)
-        block = np.array([r[2] for r in rows])
-        short = np.frombuffer(b"".join([r[3] for r in rows]), np.uint8).reshape(len(rows), BINS)
-        agreed = np.stack([(short == own).sum(axis=1) for own in short])
-        tried = agreed >= LEAST_AGREED * BINS
-        np.fill_diagonal(tried, False)
-        if key[1] != key[2]:  # pairs within a block are tried where the block meets itself
-            tried &= block[:, None] != block[None, :]
-        near = np.where(tried, agreed, -1)
-        order = np.lexsort((np.broadcast_to(node, near.shape), -near), axis=1)[:, low:high]
-        left = np.repeat(np.arange(len(rows)), order.shape[1])
+            yield from out(rows)
+
+    def out(rows: list) -> Iterator[pa.RecordBatch]:
+        sides = []
+        for asks in (True, False):
+            own = [r for r in rows if r[0] == asks]
+            short = np.frombuffer(b"".join([r[3] for r in own]), np.uint8).reshape(len(own), BINS)
+            sides.append((np.array([r[1] for r in own], dtype=np.int64), np.array([r[2] for r in own], dtype=np.int64), short))
+        (a, a_label, asking), (b, b_label, others) = sides
+        if not len(a) or not len(b):
+            return
+        agreed = np.stack([(others == own).sum(axis=1) for own in asking])
+        near = np.where((agreed >= LEAST_AGREED * BINS) & (a_label[:, None] != b_label[None, :]), agreed, -1)
+        if (near < 0).all():
+            return
+        order = np.lexsort((np.broadcast_to(b, near.shape), -near), axis=1)[:, :most]
+        left = np.repeat(np.arange(len(a)), order.shape[1])
         right = order.ravel()
-        good = tried[left, right] & (label[left] != label[right])
-        a, b = node[left[good]], node[right[good]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        good = near[left, right] >= 0
+        x, y = a[left[good]], b[right[good]]
+        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    ordered = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    ordered = blocks.repartition("key", "i", "q").sortWithinPartitions("key", "i", "q")
     return map_arrow(ordered, run, "a long, b long")
 
 
-def _blocks(open_: DataFrame, sketch: DataFrame) -> DataFrame:
-    """Members of unsettled buckets in pairs of blocks of about BLOCK, with their short sketches."""
-    sizes = stored(open_.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "minhash-sizes")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
-    dealt = open_.join(sizes, "key").withColumn("block", own)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+def _open(at: DataFrame, part: int) -> DataFrame:
+    """(key, label, blocks, asking): buckets with several labels, the most frequent one, and how many
+    blocks all of their sets and those with other labels make."""
+    if part > 1:
+        at = at.filter(F.pmod(F.xxhash64("key"), F.lit(part)) == 0)
+    sizes = at.groupBy("key", "label").count().groupBy("key")
+    sizes = sizes.agg(F.sum("count").alias("all"), F.max(F.struct("count", "label")).alias("top")).filter(F.col("all") > F.col("top.count"))
+    blocks = F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks")
+    asking = F.ceil((F.col("all") - F.col("top.count")) / BLOCK).cast("int").alias("asking")
+    return sizes.select("key", F.col("top.label").alias("top"), blocks, asking)
+
+
+def _blocks(at: DataFrame, open_: DataFrame, sketch: DataFrame) -> DataFrame:
+    """The sets of open buckets in blocks, and those outside the largest component as questions to
+    every block, with their short sketches."""
+    found = at.join(open_, "key").withColumn("hash", F.xxhash64("node"))
+
+    def dealt(rows: DataFrame, asks: bool) -> DataFrame:
+        own_blocks, other_blocks = ("asking", "blocks") if asks else ("blocks", "asking")
+        own = F.pmod(F.col("hash"), F.col(own_blocks).cast("long")).cast("int")
+        rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other_blocks) - 1)))
+        i, q = ("other", "own") if asks else ("own", "other")
+        return rows.select("key", F.col(i).alias("i"), F.col(q).alias("q"), F.lit(asks).alias("asks"), "node", "label")
+
+    both = dealt(found, False).unionByName(dealt(found.filter(F.col("label") != F.col("top")), True))
     short = sketch.filter("short IS NOT NULL").select("node", "short")
-    rows = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "label", "block")
-    return rows.join(short, "node").select("key", "i", "j", "node", "label", "block", "short").dropDuplicates(["key", "i", "j", "node"])
+    rows = both.join(short, "node").dropDuplicates(["key", "i", "q", "asks", "node"])
+    return rows.select("key", "i", "q", "asks", "node", "label", "short")
 
 
 def links_and_labels(texts: DataFrame, sketch: DataFrame, width: int, per_cent: int) -> DataFrame:
@@ -270,14 +291,14 @@ def links_and_labels(texts: DataFrame, sketch: DataFrame, width: int, per_cent:
     first = stored(often.select((-F.col("best.col2")).alias("a"), "b"), "minhash-pairs")
     links = stored(confirmed(first, packed, width, per_cent), "minhash-links")
     labels = stored(components(links), "minhash-labels")
-    for low, high in ROUNDS:
-        at = _labelled(members, labels)
-        spread = at.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
-        spread = stored(spread, "minhash-open")
-        if spread.isEmpty():
-            break
-        open_ = stored(at.join(spread, "key"), "minhash-open-members")
-        near = stored(_nearest(_blocks(open_, sketch), low, high).distinct(), "minhash-pairs")
+    for part, most in ROUNDS:
+        at = stored(_labelled(members, labels), "minhash-labelled")
+        open_ = stored(_open(at, part), "minhash-open")
+        near = stored(_nearest(_blocks(at, open_, sketch), most).distinct(), "minhash-pairs")
+        if near.isEmpty():
+            if part == 1:
+                break  # no bucket has near sets of different components
+            continue
         new = stored(confirmed(near, packed, width, per_cent), "minhash-links")
         if not new.isEmpty():
             links = links.unionByName(new)
