@@ -50,6 +50,18 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (from ``components``) after more links: only the labels that they join are looked at."""
+    left = labels.select(F.col("node").alias("a"), F.col("label").alias("x"))
+    right = labels.select(F.col("node").alias("b"), F.col("label").alias("y"))
+    joined = links.join(left, "a", "left").join(right, "b", "left")
+    ends = stored(joined.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")).filter("a <> b").distinct(), "links")
+    moved = stored(components(ends).withColumnsRenamed({"node": "old", "label": "new"}), "moved")
+    kept = labels.join(moved, labels["label"] == moved["old"], "left").select("node", F.coalesce("new", "label").alias("label"))
+    fresh = moved.select(F.col("old").alias("node"), F.col("new").alias("label")).join(labels.select("node"), "node", "left_anti")
+    return kept.unionByName(fresh)
+
+
 def smallest_ids(labels: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, label, component): the smallest ``first`` of all ``nodes`` (node, first) with the same label.
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sortlane.llm import arrays as A
-from sortlane.llm.components import components, smallest_ids
+from sortlane.llm.components import components, merged, smallest_ids
 from sortlane.llm.superkmers import ranges
 from sortlane.llm.tables import NULL_ID, doc_key, keyed, map_arrow, part_key, stored
 
@@ -301,8 +301,7 @@ def links_and_labels(texts: DataFrame, sketch: DataFrame, width: int, per_cent:
             continue
         new = stored(confirmed(near, packed, width, per_cent), "minhash-links")
         if not new.isEmpty():
-            links = links.unionByName(new)
-            labels = stored(components(links), "minhash-labels")
+            labels = stored(merged(labels, new), "minhash-labels")
     return labels
 
 

@@ -84,6 +84,13 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_more_links_are_merged(spark):
+    first = components.components(spark.createDataFrame([(5, 4), (9, 8), (20, 21)], "a long, b long"))
+    more = spark.createDataFrame([(5, 9), (8, 9), (30, 31), (40, 20)], "a long, b long")
+    got = sorted(tuple(r) for r in components.merged(first, more).collect())
+    assert got == [(4, 4), (5, 4), (8, 4), (9, 4), (20, 20), (21, 20), (30, 30), (31, 30), (40, 20)]
+
+
 def brute_words(rows, k=20):
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
     seen, out = set(), []
