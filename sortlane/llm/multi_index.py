@@ -10,6 +10,11 @@ the farthest that has to be found, and the rank of the neighbour's cell is looke
 Vectors with the same label that meet in a cell are compared by their cosine in double
 precision. Cells are compared in blocks, so a cell may hold any number of vectors; a block gives
 counts of links and what is connected, not all pairs. Equal vectors are compared once.
+
+That a vector asks another's cell does not mean that the other asks back, so a pair may meet in
+one cell or in two. A question carries the cell of its vector, and an indexed vector the cells
+that it asks: where they tell that a pair meets twice, one of the two meetings counts it, and
+always for both vectors.
 """
 
 from __future__ import annotations
@@ -135,7 +140,8 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["vec", "node", "label", "size", "raw"])
 
 
-ENTRY = "label int, size int, cell int, asks boolean, node long, copies long, raw binary"
+# ``back``: of a question the cell of its vector, of an indexed vector the cells that it asks.
+ENTRY = "label int, size int, cell int, asks boolean, node long, copies long, raw binary, back binary"
 
 
 def _entries(nodes: DataFrame, index: MultiIndex) -> DataFrame:
@@ -151,30 +157,32 @@ def _entries(nodes: DataFrame, index: MultiIndex) -> DataFrame:
                     rows = batch.take(pa.array(part))
                     x = units(rows.column("raw").to_pylist())
                     if codes is None:  # a length that the sample doesn't have: one cell
-                        cells = np.zeros((len(x), 1), dtype=np.int64)
+                        cells = np.zeros((len(x), 1), dtype="<i4")
                     else:
-                        cells = nearest_cells(x, codes, index.cells)
-                    own = cells[:, :1] if codes is None else own_cells(x, codes)[:, None]
-                    for asks, where in ((False, own), (True, cells)):
-                        each = rows.take(pa.array(np.repeat(np.arange(len(x)), where.shape[1])))
+                        cells = nearest_cells(x, codes, index.cells).astype("<i4")
+                    own = cells[:, :1]
+                    for asks, where, others in ((False, own, cells), (True, cells, own)):
+                        of = pa.array(np.repeat(np.arange(len(x)), where.shape[1]))
+                        each = rows.take(of)
                         yield pa.RecordBatch.from_arrays(
                             [
                                 each.column("label"),
                                 each.column("size"),
-                                pa.array(where.ravel().astype(np.int32)),
+                                pa.array(where.ravel()),
                                 pa.array(np.full(where.size, asks)),
                                 each.column("node"),
                                 each.column("copies"),
                                 each.column("raw"),
+                                pa.array([o.tobytes() for o in others], pa.binary()).take(of),
                             ],
-                            names=["label", "size", "cell", "asks", "node", "copies", "raw"],
+                            names=["label", "size", "cell", "asks", "node", "copies", "raw", "back"],
                         )
 
     return map_arrow(nodes.select("label", "size", "node", "copies", "raw"), run, ENTRY)
 
 
 def _compared(entries: DataFrame, threshold: float) -> DataFrame:
-    """(node, links, root): links found by a vector in a block, or the root it is connected with there.
+    """(node, links, root): links of a vector that count in a block, and the root it is connected with there.
 
     Indexed vectors and questions of a cell are dealt into blocks of about ``BLOCK``; each block
     of the one meets each block of the other.
@@ -191,7 +199,7 @@ def _compared(entries: DataFrame, threshold: float) -> DataFrame:
     dealt = dealt.withColumn("i", F.when(F.col("asks"), F.col("other")).otherwise(F.col("own")))
     dealt = dealt.withColumn("q", F.when(F.col("asks"), F.col("own")).otherwise(F.col("other")))
     keys = [*cell, "i", "q"]
-    ordered = dealt.select(*keys, "asks", "node", "copies", "raw").repartition(*keys).sortWithinPartitions(*keys)
+    ordered = dealt.select(*keys, "asks", "node", "copies", "raw", "back").repartition(*keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, rows = None, []
@@ -213,9 +221,17 @@ def _compared(entries: DataFrame, threshold: float) -> DataFrame:
         linked = (units([r[3] for r in asking]) @ units([r[3] for r in indexed]).T >= threshold) & (a[:, None] != b[None, :])
         if not linked.any():
             return
-        links = linked @ np.array([r[2] for r in indexed], dtype=np.int64)
         x, y = linked.any(axis=1), linked.any(axis=0)
-        a, b, links, linked = a[x], b[y], links[x], linked[x][:, y]
+        a, b, linked = a[x], b[y], linked[x][:, y]
+        asking, indexed = [r for r, on in zip(asking, x) if on], [r for r, on in zip(indexed, y) if on]
+        # A pair that meets in both vectors' cells counts where the lesser number asks.
+        own = np.frombuffer(b"".join([r[4] for r in asking]), "<i4")
+        asked = np.frombuffer(b"".join([r[4] for r in indexed]), "<i4").reshape(len(b), -1)
+        back = np.zeros((len(b), max(own.max(), asked.max()) + 1), dtype=bool)
+        np.put_along_axis(back, asked.astype(np.int64), True, axis=1)
+        counted = linked & (~back[:, own].T | (a[:, None] < b[None, :]))
+        copies_a, copies_b = (np.array([r[2] for r in side], dtype=np.int64) for side in (asking, indexed))
+        counts = np.concatenate([counted @ copies_b, copies_a @ counted])
         # The least number that each vector is connected with inside this block.
         top = np.iinfo(np.int64).max
         left, right = a.copy(), b.copy()
@@ -226,7 +242,6 @@ def _compared(entries: DataFrame, threshold: float) -> DataFrame:
                 break
             left = lower
         nodes, roots = np.concatenate([a, b]), np.concatenate([left, right])
-        counts = np.concatenate([links, np.zeros(len(b), np.int64)])
         yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(counts), pa.array(roots)], names=["node", "links", "root"])
 
     return map_arrow(ordered, run, "node long, links long, root long")

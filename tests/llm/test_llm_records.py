@@ -145,6 +145,25 @@ def test_nearest_cells_are_the_nearest():
         assert np.allclose(np.take_along_axis(sums, got, 1), np.sort(sums, axis=1)[:, :cells])
 
 
+def test_links_count_at_both_ends(spark, monkeypatch):
+    """With few cells asked, some vectors ask another's cell and aren't asked back."""
+    monkeypatch.setattr(multi_index, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(10, 8))[np.arange(240) % 10] + rng.normal(size=(240, 8)) * 0.22
+    half = tuple(x[np.arange(0, 240, 12)][:, at] for at in (slice(0, 4), slice(4, 8)))
+    index = multi_index.MultiIndex({8: half}, 3)
+    monkeypatch.setattr(multi_index, "fit", lambda *_: index)
+    rows = [(i, 1, v.tolist()) for i, v in enumerate(x)] + [(500 + i, 1, x[i].tolist()) for i in range(20)]
+    u = multi_index.units([np.array(v).astype("<f8").tobytes() for _, _, v in rows])
+    own, asked = multi_index.own_cells(u, half), multi_index.nearest_cells(u, half, 3)
+    asks = (asked[:, :, None] == own[None, None, :]).any(axis=1)
+    linked = (u @ u.T >= multi_index.THRESHOLD) & ~np.eye(len(u), dtype=bool)
+    assert (linked & asks & ~asks.T).sum() > 100
+    got = multi_index.grouped(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
+    want = (linked & (asks | asks.T)).sum(axis=1)
+    assert {r.vec_id: r.n_links for r in got} == {r[0]: n for r, n in zip(rows, want.tolist())}
+
+
 def test_recall_on_real_vectors(spark, folder):
     folder = str(Path(folder).parent / "sf0.01")
     rows = [(r.vec_id, r.label, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
