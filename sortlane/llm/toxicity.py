@@ -3,7 +3,8 @@
 A text becomes symbols, one for each four bytes in a row (lower case, one blank between words),
 so that only passages of five or more bytes can match a dictionary. Each dictionary holds the
 segments that cover the texts of its label best and are rare in the other's: the segment that
-covers most is taken, what it covers counts half, and so on. Windows of ``WINDOW`` symbols are
+covers most is taken, what it covers counts half, and so on until none covers enough. Those of
+the toxic dictionary may reach over the edges of words. Windows of ``WINDOW`` symbols are
 compressed with either dictionary; a window begins with an anchor that both hold, which makes
 the saving of a match the same wherever it stands. The score of a document is a calibrated
 function of its windows' greatest and second greatest savings and differences.
@@ -15,8 +16,8 @@ hash of their id.
 
 from __future__ import annotations
 
+import heapq
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,8 +34,11 @@ from sortlane.llm.tables import map_arrow
 
 DICTIONARY_ROWS = 500
 CALIBRATION_ROWS = 800
-SEGMENTS = 48
+# Text in each dictionary at most.
+DICTIONARY_BYTES = 32_768
 SEGMENT_BYTES = range(5, 10)
+# Segments are counted in one pass for each so many bytes of text, which bounds the memory.
+PART_BYTES = 4_000_000
 WINDOW = 64
 OVERLAP = 8
 # A window counts as a hit from this saving on, in bytes.
@@ -76,7 +80,7 @@ def row_symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[bytes, list[tupl
 def compressor(segments: tuple[bytes, ...]) -> zstandard.ZstdCompressor:
     raw = b"".join(symbols(np.frombuffer(s, np.uint8)).tobytes() for s in reversed(segments)) + ANCHOR
     settings = zstandard.ZstdCompressionParameters(
-        window_log=14, hash_log=12, chain_log=12, search_log=4, min_match=6, target_length=32,
+        window_log=18, hash_log=15, chain_log=15, search_log=4, min_match=6, target_length=32,
         strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_dict_id=False,
     )
     known = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -117,36 +121,59 @@ def _held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def _segments(text: bytes) -> set[bytes]:
-    out = set()
-    for word in set(text.split()):
-        padded = b" " + word + b" "
-        out.update(padded[i : i + n] for n in SEGMENT_BYTES for i in range(len(padded) - n + 1))
-    return out
-
-
-def cover(texts: list[bytes], others: list[bytes], rarer: float) -> tuple[bytes, ...]:
-    """Segments that cover the texts and are ``rarer`` times as rare in the others, best first."""
-    where: dict[bytes, list[int]] = {}
+def _segments(texts: list[bytes], n: int, phrases: bool, part: int, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, text, place) of the distinct segments of ``n`` bytes of each text, sorted by hash; one part of the hashes."""
+    found = []
     for i, text in enumerate(texts):
-        for s in _segments(text):
-            where.setdefault(s, []).append(i)
+        data = np.frombuffer(b" " + text + b" ", np.uint8)
+        at = np.arange(max(len(data) - n + 1, 0))
+        if not phrases:
+            blanks = np.concatenate([[0], np.cumsum(data == 32)])
+            at = at[blanks[at + n - 1] == blanks[at + 1]]
+        h = A.span_hash(A.rolling(data), at, at + n)
+        own = h % np.uint64(parts) == part
+        h, first = np.unique(h[own], return_index=True)
+        found.append((h, np.full(len(h), i, np.int32), at[own][first]))
+    h, of, at = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(h, kind="stable")
+    return h[order], of[order], at[order]
+
+
+def cover(texts: list[bytes], others: list[bytes], rarer: float, phrases: bool = False) -> tuple[bytes, ...]:
+    """Segments that cover the texts and are ``rarer`` times as rare in the others, best first.
+
+    Those inside a word and its blanks, with ``phrases`` also such that reach over the edges of
+    words. They are taken until none covers enough or the dictionary is full.
+    """
     least = max(2, len(texts) // 300)
-    where = {s: at for s, at in where.items() if len(at) >= least}
-    elsewhere: Counter[bytes] = Counter()
-    for text in others:
-        elsewhere.update(_segments(text) & where.keys())
     share = len(texts) / max(len(others), 1)
-    open_ = {s: np.array(at) for s, at in where.items() if len(at) > rarer * share * (elsewhere[s] + 0.5)}
-    weight, chosen = np.ones(len(texts)), []
-    while open_ and len(chosen) < SEGMENTS:
-        gain = {s: weight[at].sum() * (len(s) - 3) for s, at in open_.items()}
-        best = max(gain, key=lambda s: (gain[s], s))
-        if weight[open_[best]].sum() < least:
-            break
+    open_: dict[bytes, np.ndarray] = {}
+    parts = sum(map(len, texts + others)) // PART_BYTES + 1
+    for n in SEGMENT_BYTES:
+        for part in range(parts):
+            h, of, at = _segments(texts, n, phrases, part, parts)
+            known, first, count = np.unique(h, return_index=True, return_counts=True)
+            # Each known one once more than the others have it.
+            both, times = np.unique(np.concatenate([_segments(others, n, phrases, part, parts)[0], known]), return_counts=True)
+            elsewhere = times[np.searchsorted(both, known)] - 1
+            for i in np.flatnonzero((count >= least) & (count > rarer * share * (elsewhere + 0.5))):
+                text, place = b" " + texts[of[first[i]]] + b" ", at[first[i]]
+                open_[text[place : place + n]] = of[first[i] : first[i] + count[i]]
+    weight, chosen, joined = np.ones(len(texts)), [], b""
+    # Weights only fall: a segment whose gain is still what it was when it was queued is the best.
+    queue = [(-float(len(at) * (len(s) - 3)), s) for s, at in open_.items()]
+    heapq.heapify(queue)
+    while queue and len(joined) < DICTIONARY_BYTES:
+        gain, best = heapq.heappop(queue)
+        covers = weight[open_[best]].sum()
+        if covers < least or best in joined:
+            continue
+        if -covers * (len(best) - 3) > gain:
+            heapq.heappush(queue, (-covers * (len(best) - 3), best))
+            continue
         chosen.append(best)
+        joined += b"\n" + best
         weight[open_[best]] *= 0.5
-        open_ = {s: at for s, at in open_.items() if s not in best and best not in s}
     return tuple(chosen)
 
 
@@ -204,7 +231,7 @@ def fit(documents: DataFrame, labels: DataFrame, dictionary_rows: int = DICTIONA
     test = {c: texts[c][cut[c] :] for c in texts}
     if not all(learn.values()) or not all(test.values()):
         return ToxicityModel(prior=prior)
-    toxic, ordinary = cover(learn[1], learn[0], 20.0), cover(learn[0], learn[1], 1.5)
+    toxic, ordinary = cover(learn[1], learn[0], 20.0, phrases=True), cover(learn[0], learn[1], 1.5)
     raw = test[0] + test[1]
     y = np.array([0] * len(test[0]) + [1] * len(test[1]))
     one, other = compressor(toxic), compressor(ordinary)

@@ -130,6 +130,28 @@ def test_toxicity_is_learned(spark):
     assert sum(r.predicted == int(r.doc_id % 4 == 0) for r in unseen) >= 0.95 * len(unseen)
 
 
+def test_dictionaries_hold_all_words_worth_taking():
+    words = [w.encode() for w in prose(5, 80).split()]
+    texts = [words[i % 80] + b" " + words[(i + 4) % 80] for i in range(480)]
+    found = toxicity.cover(texts, [prose(1000 + i, 40).encode() for i in range(480)], 20.0)
+    assert all(any(s in b" " + w + b" " for s in found) for w in words)
+
+
+def test_phrases_of_common_words_are_learned(spark):
+    """The words, some of one or two letters, are in every text; only their order tells."""
+    common = [a + b for a in "bdfgl" for b in "aeiouy"] + ["a", "i"]
+
+    def text(i):
+        words = np.random.default_rng(i).permutation(common * 2).tolist()
+        return " ".join(words[:30] + (["go", "la", "a", "du", "be"] if i % 4 == 0 else ["du", "a", "be", "go", "la"]) + words[30:])
+
+    frame = documents(spark, [(i, text(i), "s") for i in range(600)])
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(500)], "doc_id long, quality int, toxic int")
+    scored = toxicity.score(frame, toxicity.fit(frame, labels)).collect()
+    unseen = [r for r in scored if r.held_out or r.doc_id >= 500]
+    assert sum(r.predicted == int(r.doc_id % 4 == 0) for r in unseen) >= 0.95 * len(unseen)
+
+
 def test_held_out_rows_are_never_learned_from(spark):
     out = [i for i in range(400) if toxicity.held_out(i)]
     frame = documents(spark, [(i, prose(i, 30), "s") for i in range(400)])
