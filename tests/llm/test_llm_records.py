@@ -171,6 +171,26 @@ def test_recall_on_real_vectors(spark, folder):
     assert got == brute_vectors(rows)
 
 
+def test_recall_with_many_cells(spark, folder, monkeypatch):
+    """Given vectors with near pairs and eight codes a half, so that a vector asks some of 64 cells only."""
+    monkeypatch.setattr(multi_index, "CELL_VECTORS", 15)
+    indexes, fit = [], multi_index.fit
+    monkeypatch.setattr(multi_index, "fit", lambda *a: indexes.append(fit(*a)) or indexes[-1])
+    folder = str(Path(folder).parent / "check_s")
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").filter("label IS NOT NULL AND embedding IS NOT NULL").collect()
+    x = multi_index.units([np.array(r.embedding, dtype="<f8").tobytes() for r in rows])
+    label = np.array([r.label for r in rows])
+    want = 0
+    for own in (x[label == v] for v in np.unique(label)):
+        want += int((own @ own.T >= multi_index.THRESHOLD).sum()) - len(own)
+    found = sum(r.n_links for r in queries.op10_embedding_dedup(spark, folder).collect())
+    (index,) = indexes
+    print(f"{found} of {want} link ends, {index.cells} cells asked")
+    for left, right in index.codes.values():
+        assert min(len(left), len(right)) >= 8 and index.cells < len(left) * len(right)
+    assert 0 < 0.9 * want <= found <= want
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_sql_twins(spark, folder, duck, name):
     frame = queries.QUERIES[name](spark, folder)
