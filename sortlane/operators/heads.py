@@ -94,7 +94,7 @@ class Head:
     members: list
 
 
-# Classes with fewer rows are dealt over the calibration splits one group at a time.
+# Classes with fewer groups are dealt over the calibration splits one group at a time.
 THIN_CLASS = 300
 
 
@@ -171,12 +171,13 @@ def _fit_logistic(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> Log
 def _calibration_splits(train: DataFrame, splits: int) -> DataFrame:
     """Add ``_split``, the same for all rows of a group.
 
-    Groups are dealt out by a hash. Those of thin classes, which a hash may put into one split,
-    are dealt out in turn; there are at most ``THIN_CLASS`` for each class.
+    Groups are dealt out by a hash. Those of classes with fewer than ``THIN_CLASS`` groups, which
+    a hash may put into one split, are dealt out in turn, however many rows they have.
     """
     spark = train.sparkSession
     by_hash = F.pmod(F.xxhash64("group"), F.lit(splits)).cast("int")
-    counts = train.groupBy("label_index").count().filter(F.col("count") < THIN_CLASS).collect()
+    by_class = train.select("label_index", "group").distinct().groupBy("label_index").count()
+    counts = by_class.filter(F.col("count") < THIN_CLASS).collect()
     if not counts:
         return train.withColumn("_split", by_hash)
     thin = train.filter(F.col("label_index").isin([r["label_index"] for r in counts]))

@@ -109,6 +109,16 @@ def test_thin_class_in_one_group(spark, rows, tmp_path, learner):
     assert sorted(scores[0]) == sorted(scores[1]) and all(0 <= r[1] <= 1 for r in scores[0])
 
 
+def test_many_rows_in_few_groups_meet_all_splits(spark):
+    """Three groups that the hash puts into one split, with 400 rows of a class."""
+    by_hash = spark.range(60).select(F.concat(F.lit("g"), "id").alias("group")).withColumn("split", F.pmod(F.xxhash64("group"), F.lit(3)))
+    few = [r.group for r in by_hash.filter("split = 0").limit(3).collect()]
+    train = [(few[i % 3], 1.0) for i in range(400)] + [(f"other{i}", 0.0) for i in range(400)]
+    parted = heads._calibration_splits(spark.createDataFrame(train, "group string, label_index double"), 3)
+    assert {r._split for r in parted.filter("label_index = 1").select("_split").distinct().collect()} == {0, 1, 2}
+    assert parted.select("group", "_split").distinct().count() == 403 and parted.count() == 800
+
+
 def test_gate_needs_enough_held_out_rows(rows):
     head, _ = heads.train_head(rows, spec(folds=2))
     assert (head.info.threshold, head.info.gatable, head.info.threshold_from) == (None, False, "none")
