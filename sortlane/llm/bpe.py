@@ -6,8 +6,8 @@ encoded once per Python worker; inside a new chunk, each distinct word is. At ev
 chunks the words on both sides are encoded again as one piece: if that differs from the two
 chunks' own ids, the chunks are encoded together, and the join after them is looked at next.
 
-Words may be encoded alone because the tokenizer's own splitting drops blanks; a tokenizer that
-doesn't is refused. What workers keep is bounded (``MOST_KEPT``), so equal chunks in different
+Words may be encoded alone because the tokenizer's own splitting drops blanks; a tokenizer whose
+split pattern isn't known to do so is refused. What workers keep is bounded (``MOST_KEPT``), so equal chunks in different
 tasks are encoded once in each: dealing all chunks of the corpus out to share them would move
 the texts and the ids through two shuffles.
 """
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -147,12 +148,21 @@ class ChunkEncoder:
         return out
 
 
+# Alternatives of plain characters, letters and numbers, and of classes without blanks: such a
+# pattern matches no blank. Others may match none either, but that isn't known.
+_KIND = r"\\p\{[LN][a-z]?\}"
+_PLAIN = r"[^\s\\\[\](){}.*+?^$|]"
+_STEP = rf"(?:{_PLAIN}|{_KIND}|\[(?:{_KIND})+\]|\[\^(?:{_KIND})*\\s(?:{_KIND})*\])[+*?]?"
+BLANKLESS = re.compile(rf"(?:{_STEP})+(?:\|(?:{_STEP})+)*")
+
+
 def _drops_blanks(settings: dict) -> None:
     """Refuse a tokenizer whose pre-tokens could reach over a blank."""
     pre = settings.get("pre_tokenizer") or {}
     steps = pre.get("pretokenizers", [pre])
     split = steps[0] if steps else {}
     drops = split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert")
+    drops = drops and BLANKLESS.fullmatch((split.get("pattern") or {}).get("Regex") or "")
     if not drops or any(t.get("lstrip") or t.get("rstrip") for t in settings.get("added_tokens", [])):
         raise ValueError("this tokenizer keeps blanks in its tokens")
     if settings.get("decoder") or settings.get("post_processor"):

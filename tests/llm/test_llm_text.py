@@ -111,6 +111,19 @@ def test_other_tokenizers_are_refused():
         bpe.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@pytest.mark.parametrize("pattern", [r"\p{L}+ \p{L}+|[^\s\p{L}]+", r" ?\p{L}+", r"\s+|\p{L}+", r"[^\p{L}]+", r"a.b", r"[a-z ]+", r"\p{Z}", r"x\x20y", ""])
+def test_patterns_that_match_blanks_are_refused(pattern, tmp_path):
+    import json
+
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        settings = json.load(f)
+    bpe.ChunkEncoder(tokenizer_path())
+    settings["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = pattern
+    (tmp_path / "other.json").write_text(json.dumps(settings), encoding="utf-8")
+    with pytest.raises(ValueError):
+        bpe.ChunkEncoder(str(tmp_path / "other.json"))
+
+
 def test_toxicity_is_learned(spark):
     insults = ["blockhead", "numbskull", "nitwits", "dunderhead"]
 
