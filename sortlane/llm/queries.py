@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sortlane.llm import bpe, minhash, mixing, multi_index, quality, reply_trees, substring, suffixes, toxicity, warc
+from sortlane.llm import (
+    bpe,
+    filter_audit,
+    line_dedup,
+    minhash,
+    mixing,
+    multi_index,
+    quality,
+    reply_trees,
+    substring,
+    suffixes,
+    toxicity,
+    vector_codes,
+    warc,
+)
 from sortlane.llm.tables import stored
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +132,21 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return grouped.select("vec_id", "n_links", "component_id", (F.col("vec") == F.col("component")).alias("kept"))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = line_dedup.deduplicated(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = vector_codes.encode(table(spark, folder, "embeddings"))
+    digest = F.lit(None if books is None else vector_codes.digest(books)).cast("string")
+    return coded.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_chat_format": op2_chat_format,
@@ -129,6 +158,9 @@ QUERIES: dict[str, Run] = {
     "op8_toxicity": op8_toxicity,
     "op9_mix_sources": op9_mix_sources,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 # --- The same rows in DuckDB ------------------------------------------------------------
@@ -193,8 +225,106 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(k.n_remo
 FROM docs d LEFT JOIN kept k USING (doc_id)
 """
 
+OP11_SQL = f"""
+WITH marks AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, FALSE)) AS good, bool_or(coalesce(toxic = 1, FALSE)) AS toxic FROM labels GROUP BY doc_id
+), texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {_WORDS} AS words FROM documents
+), failing AS (
+  SELECT t.part, coalesce(m.good, FALSE) AS good, coalesce(m.toxic, FALSE) AS toxic, {{
+    'A': len(words) < {filter_audit.LEAST_WORDS},
+    'B': 100 * len(list_distinct(words)) < {filter_audit.LEAST_DISTINCT} * len(words),
+    'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > {filter_audit.MOST_CAPITALS} * length(text),
+    'D': regexp_matches(text, '[#$%&*|]'),
+    'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), FALSE)}} AS f
+  FROM texts t LEFT JOIN marks m USING (doc_id)
+), masks AS (
+  SELECT part, good, toxic, f.A::INT + 2 * f.B::INT + 4 * f.C::INT + 8 * f.D::INT + 16 * f.E::INT AS mask, count(*) AS n
+  FROM failing GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1 : step - 1]), 0)::INT AS earlier
+  FROM orders, (SELECT unnest(range(1, 6))::INT AS step)
+), counted AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (mask & (earlier + bit) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & bit > 0 AND mask & earlier = 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & bit > 0 AND mask & earlier > 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+    coalesce(sum(n) FILTER (good AND mask & bit > 0 AND mask & earlier = 0), 0) AS good_lost,
+    coalesce(sum(n) FILTER (toxic AND mask & bit > 0 AND mask & earlier = 0), 0) AS toxic_lost
+  FROM masks, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+OP12_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+), lines AS (
+  SELECT row, doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM docs
+), keys AS (
+  SELECT *, translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
+    '{line_dedup.CAPITALS}', '{line_dedup.CAPITALS.lower()}') AS key FROM lines
+), often AS (
+  SELECT key FROM keys WHERE key <> '' GROUP BY key HAVING count(DISTINCT (doc_id, md5(text))) >= {line_dedup.LEAST_DOCUMENTS}
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(o.key) AS n_dropped,
+  sha256(coalesce(string_agg(CASE WHEN o.key IS NULL THEN line END, chr(10) ORDER BY i), '')) AS kept_sha256
+FROM keys k LEFT JOIN often o ON k.key = o.key GROUP BY row
+"""
+
+
+def _op13_sql() -> str:
+    """The rounds one after the other; codebooks as rows (p, e, c), c being the list of components."""
+    v = vector_codes
+    width = "(SELECT CAST(ceil(max(len(embedding)) / 16.0) AS BIGINT) FROM valid)"
+    parts = [f"""
+WITH valid AS (
+  SELECT row_number() OVER () AS row, vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), vectors AS (
+  SELECT row, vec_id, label, list_transform(list_resize(embedding, {v.PARTS} * {width}, 0.0), lambda x: CAST(floor(x * {v.SCALE}) AS BIGINT)) AS x,
+    row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS n FROM valid
+), parts AS (
+  SELECT row, vec_id, label, n, p, x[p * w + 1 : p * w + w] AS c FROM (SELECT *, unnest(range({v.PARTS})) AS p, len(x) // {v.PARTS} AS w FROM vectors)
+), book0 AS (SELECT p, n - 1 AS e, c FROM parts WHERE n <= {v.ENTRIES})"""]
+    nearest = """near{0} AS (
+  SELECT row, any_value(label) AS label, any_value(vec_id) AS vec_id, p, any_value(c) AS c, min(list_pack(d, e)) AS best FROM (
+    SELECT a.row, a.label, a.vec_id, a.p, a.c, b.e, CAST(list_sum(list_transform(list_zip(a.c, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+    FROM parts a JOIN book{0} b USING (p)) GROUP BY row, p)""".replace("list_pack(d, e)", "[d, e]")
+    for r in range(v.ROUNDS):
+        parts.append(nearest.format(r))
+        parts.append(f"""mean{r} AS (
+  SELECT p, e, list(m ORDER BY k) AS c FROM (
+    SELECT p, best[2] AS e, k, CAST((sum(s) - ((sum(s) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+    FROM (SELECT p, best, unnest(c) AS s, unnest(range(len(c))) AS k FROM near{r}) GROUP BY ALL) GROUP BY p, e),
+book{r + 1} AS (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN mean{r} m USING (p, e))""")
+    parts.append(nearest.format(v.ROUNDS))
+    last = v.ROUNDS
+    parts.append(f"""coded AS (
+  SELECT any_value(vec_id) AS vec_id, any_value(label) AS label, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, CAST(sum(best[1]) AS BIGINT) AS error
+  FROM near{last} GROUP BY row)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{last}) AS codebooks_sha256 FROM coded""")
+    return ",\n".join(parts[:-1]) + ", " + parts[-1]
+
+
+OP13_SQL = _op13_sql()
+
 ORACLES: dict[str, str] = {
     "op2_chat_format": OP2_SQL,
     "op3_warc_archives": OP3_SQL,
     "op4_substring_dedup": OP4_SQL,
+    "op11_filter_audit": OP11_SQL,
+    "op12_line_dedup": OP12_SQL,
+    "op13_vector_codes": OP13_SQL,
 }
