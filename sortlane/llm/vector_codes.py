@@ -40,6 +40,8 @@ LEAF = 8
 MOST_COMPONENT = 1 << 26
 # Vectors that are taken together.
 BATCH = 8192
+LIMB_BITS = 40
+LIMB = pa.struct([("k", pa.int32()), ("place", pa.int32()), ("value", pa.int64())])
 
 
 def integers(values: np.ndarray) -> np.ndarray:
@@ -192,6 +194,15 @@ def _parts(x: np.ndarray) -> np.ndarray:
     return x.reshape(len(x), PARTS, -1).transpose(1, 0, 2)
 
 
+def _limbs(k: int, value: int) -> list[tuple[int, int, int]]:
+    """A sum of any size as digits to the base 2**40, each with the sum's sign, so that sums add up by place."""
+    sign, value, out = (-1 if value < 0 else 1), abs(value), []
+    while value or not out:
+        out.append((k, len(out), sign * (value & ((1 << LIMB_BITS) - 1))))
+        value >>= LIMB_BITS
+    return out
+
+
 def _updated(vectors: DataFrame, books: np.ndarray) -> np.ndarray:
     """The codebooks after one round: each entry the floor of the mean of its parts."""
     width = books.shape[0] * books.shape[2]
@@ -204,19 +215,24 @@ def _updated(vectors: DataFrame, books: np.ndarray) -> np.ndarray:
                 _, n, s, _ = assign(Tree(points, LEAF, cached=True), books[p])
                 count[p] += n
                 sums[p] += s
-        at = np.nonzero(count)
-        lists = [[str(v) for v in row] for row in sums[at]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at[0], pa.int32()), pa.array(at[1], pa.int32()), pa.array([int(n) for n in count[at]], pa.int64()), pa.array(lists, pa.list_(pa.string()))],
-            names=["part", "entry", "n", "sums"],
-        )
-
-    partial = vectors.select("v").mapInArrow(run, "part int, entry int, n long, sums array<string>")
-    long = partial.select("part", "entry", F.posexplode("sums").alias("k", "s"), "n")
-    total = long.groupBy("part", "entry", "k").agg(F.sum("n").alias("n"), F.sum(F.col("s").cast("decimal(38,0)")).alias("s"))
+        parts, entries = np.nonzero(count)
+        n = pa.array([int(v) for v in count[parts, entries]], pa.int64())
+        limbs = [[x for k, v in enumerate(row) for x in _limbs(k, int(v))] for row in sums[parts, entries]]
+        columns = [pa.array(parts, pa.int32()), pa.array(entries, pa.int32()), n, pa.array(limbs, pa.list_(LIMB))]
+        yield pa.RecordBatch.from_arrays(columns, names=["part", "entry", "n", "limbs"])
+
+    kind = "array<struct<k: int, place: int, value: long>>"
+    partial = vectors.select("v").mapInArrow(run, f"part int, entry int, n long, limbs {kind}")
+    counts = partial.groupBy("part", "entry").agg(F.sum("n").alias("n"))
+    places = partial.select("part", "entry", F.inline("limbs")).groupBy("part", "entry", "k", "place").agg(F.sum("value").alias("value"))
+    grouped = places.groupBy("part", "entry").agg(F.collect_list(F.struct("k", "place", "value")).alias("limbs"))
     out = books.astype(object)
-    for r in total.collect():
-        out[r["part"], r["entry"], r["k"]] = int(r["s"]) // r["n"]
+    # At most one row for each entry of each codebook.
+    for r in counts.join(grouped, ["part", "entry"]).collect():
+        total = [0] * books.shape[2]
+        for x in r["limbs"]:
+            total[x["k"]] += x["value"] << (x["place"] * LIMB_BITS)
+        out[r["part"], r["entry"]] = [s // r["n"] for s in total]
     return _compact(out)
 
 
