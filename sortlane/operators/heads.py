@@ -2,30 +2,30 @@
 
 A head is a Spark ML pipeline over two columns, an array of ``terms`` and an ``embedding``.
 Two learners exist. ``logistic`` is a multinomial logistic regression: one fit for all
-classes, with probabilities. ``svm`` is a linear SVM per class with sigmoid calibration on
-held-out margins, averaged over three group-disjoint splits: k times as many fits.
+classes, with probabilities. ``svm`` is a squared-hinge linear SVM per class with sigmoid
+calibration on held-out margins, averaged over three group-disjoint splits; all such heads and
+all their folds are fitted together (``joint``).
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    LinearSVC,
-    LinearSVCModel,
-    LogisticRegression,
-    LogisticRegressionModel,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.common import _py2java
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.linalg import DenseMatrix, Vectors
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sortlane.functions.text import let
+from sortlane.operators import joint, svm
 from sortlane.operators.curation import class_floor
 from sortlane.operators.evaluation import find_threshold, gate_curve, head_metrics
 from sortlane.operators.features import assemble
@@ -89,13 +89,16 @@ class Head:
 
     info: HeadInfo
     features: PipelineModel
-    # One entry per averaged model: either a multinomial model, or per class a pair of an SVM
-    # and the logistic model of its margin.
+    # One entry per averaged model: a multinomial model or a ``MarginMember``.
     members: list
 
 
-# Classes with fewer groups are dealt over the calibration splits one group at a time.
-THIN_CLASS = 300
+@dataclass
+class MarginMember:
+    """Margins of all classes, and per class (slope, offset) of its sigmoid or a fixed share."""
+
+    model: LogisticRegressionModel
+    sigmoids: list
 
 
 class MissingHeads(Exception):
@@ -168,86 +171,33 @@ def _fit_logistic(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> Log
     ).fit(train)
 
 
-def _calibration_splits(train: DataFrame, splits: int) -> DataFrame:
-    """Add ``_split``, the same for all rows of a group.
-
-    Groups are dealt out by a hash. Those of classes with fewer than ``THIN_CLASS`` groups, which
-    a hash may put into one split, are dealt out in turn, however many rows they have.
-    """
-    spark = train.sparkSession
-    by_hash = F.pmod(F.xxhash64("group"), F.lit(splits)).cast("int")
-    by_class = train.select("label_index", "group").distinct().groupBy("label_index").count()
-    counts = by_class.filter(F.col("count") < THIN_CLASS).collect()
-    if not counts:
-        return train.withColumn("_split", by_hash)
-    thin = train.filter(F.col("label_index").isin([r["label_index"] for r in counts]))
-    groups = thin.groupBy("group").agg(F.min("label_index").alias("label_index")).collect()
-    groups.sort(key=lambda r: (r["label_index"], r["group"]))
-    turns: dict[float, int] = {}
-    dealt = []
-    for r in groups:
-        turn = turns.get(r["label_index"], 0)
-        turns[r["label_index"]] = turn + 1
-        dealt.append((r["group"], turn % splits))
-    schema = T.StructType([T.StructField("group", train.schema["group"].dataType), T.StructField("_turn", T.IntegerType())])
-    lookup = F.broadcast(spark.createDataFrame(dealt, schema))
-    joined = train.join(lookup, "group", "left")
-    return joined.withColumn("_split", F.coalesce("_turn", by_hash)).drop("_turn")
-
-
-def _fit_svm(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> list[list]:
-    """Per calibration split: (SVM, sigmoid) of every class; of the second only if binary.
-
-    A split whose training or held-out part has rows of one label only can't be fitted for that
-    class; the class's share of the rows stands in for the sigmoid there.
-    """
-    splits = fixed.CALIBRATION_FOLDS
-    parted = _calibration_splits(train, splits).persist()
-    targets = [1] if classes == 2 else list(range(classes))
-    sizes: dict[tuple[int, int], int] = {}
-    for r in parted.groupBy("_split", "label_index").count().collect():
-        sizes[r["_split"], int(r["label_index"])] = r["count"]
-
-    def both_labels(parts: list[int], c: int) -> bool:
-        hits = sum(sizes.get((p, c), 0) for p in parts)
-        return 0 < hits < sum(size for (p, _), size in sizes.items() if p in parts)
-
-    penalty = 1.0 / (spec.svm_c * max(n * (splits - 1) // splits, 1))
-
-    def fit_pair(part_and_class: tuple[int, int]) -> tuple | float:
-        part, c = part_and_class
-        if not (both_labels([p for p in range(splits) if p != part], c) and both_labels([part], c)):
-            return sum(sizes.get((p, c), 0) for p in range(splits)) / max(n, 1)
-        target = F.when(F.col("label_index") == c, 1.0).otherwise(0.0)
-        rows = parted.withColumn("_target", target)
-        svm = LinearSVC(
-            featuresCol="features",
-            labelCol="_target",
-            weightCol="weight",
-            regParam=penalty,
-            standardization=False,
-            maxIter=spec.max_iter,
-            tol=spec.tolerance,
-            rawPredictionCol="_raw",
-            predictionCol="_hit",
-        ).fit(rows.filter(F.col("_split") != part))
-        margin = array_to_vector(F.slice(vector_to_array("_raw"), 2, 1)).alias("_margin")
-        margins = svm.transform(rows.filter(F.col("_split") == part)).select("_target", margin)
-        sigmoid = LogisticRegression(
-            featuresCol="_margin",
-            labelCol="_target",
-            probabilityCol="_prob",
-            rawPredictionCol="_sraw",
-            predictionCol="_shit",
-        ).fit(margins)
-        return svm, sigmoid
-
-    work = [(part, c) for part in range(splits) for c in targets]
-    try:
-        pairs = _side_by_side(train, fit_pair, work, spec.parallelism)
-    finally:
-        parted.unpersist()
-    return [pairs[part * len(targets) : (part + 1) * len(targets)] for part in range(splits)]
+def _margin_model(spark: SparkSession, weights: np.ndarray, constants: np.ndarray) -> LogisticRegressionModel:
+    """A linear model whose raw predictions are the margins of all classes; ``weights`` is (classes, features)."""
+    sc = spark.sparkContext
+    matrix = DenseMatrix(*weights.shape, weights.ravel(order="F"))
+    kind = sc._jvm.org.apache.spark.ml.classification.LogisticRegressionModel
+    return LogisticRegressionModel(kind(f"margins-{uuid.uuid4().hex}", _py2java(sc, matrix), _py2java(sc, Vectors.dense(constants)), len(constants), True))
+
+
+def _joint_head(spark: SparkSession, fits: joint.JointFit, number: int, spec: HeadSpec) -> Head:
+    """The final fit of one head as stages and one member for each calibration split."""
+    fit = next(f for f in fits.fits if f.head == number and f.kind == "final")
+    k, splits = fit.classes, fixed.CALIBRATION_FOLDS
+    known = np.flatnonzero(fits.idf[:, fit.number] > 0)
+    vocab = [{"term": fits.terms[i], "idf": float(fits.idf[i, fit.number])} for i in known.tolist()]
+    features = _feature_pipeline(spark, spec.name, vocab, fits.dimensions > 0)
+    order = []
+    if vocab:
+        place = dict(zip((v["term"] for v in vocab), known.tolist()))
+        order = [place[t] for t in features.stages[0].vocabulary]
+    width = len(fits.terms) + fits.dimensions + 1
+    w = svm.coefficients(fits.fitted.state, fit, splits * k, width)
+    used = w[[*order, *range(len(fits.terms), width - 1)]]
+    members = []
+    for s in range(splits):
+        own = slice(s * k, (s + 1) * k)
+        members.append(MarginMember(_margin_model(spark, used[:, own].T, w[-1, own]), fits.sigmoids[fit.number][own]))
+    return Head(_bare_info(spec, fits.classes[number]), features, members)
 
 
 def _side_by_side(df: DataFrame, task, items: list, threads: int) -> list:
@@ -270,40 +220,32 @@ def _logistic_member(
     return scored.withColumn(tag, vector_to_array(tag + "p")).drop(tag + "p", tag + "r", tag + "c")
 
 
-def _svm_member(df: DataFrame, features: str, pairs: list, tag: str) -> DataFrame:
-    """Sigmoids of the margins; one of two classes, or several scaled to sum up to one."""
+def _margin_scores(df: DataFrame, features: str, member: MarginMember, tag: str) -> DataFrame:
+    """Sigmoids of the margins, scaled to sum up to one."""
+    model = member.model
+    renamed = {
+        model.featuresCol: features,
+        model.probabilityCol: tag + "p",
+        model.rawPredictionCol: tag + "r",
+        model.predictionCol: tag + "c",
+    }
+    scored = model.copy(renamed).transform(df)
     sigmoids = []
-    for c, pair in enumerate(pairs):
-        if isinstance(pair, float):
-            sigmoids.append(F.lit(pair))
-            continue
-        svm, sigmoid = pair
-        raw = f"{tag}r{c}"
-        renamed = {svm.featuresCol: features, svm.rawPredictionCol: raw, svm.predictionCol: "_hit"}
-        df = svm.copy(renamed).transform(df).drop("_hit")
-        slope, offset = float(sigmoid.coefficients[0]), float(sigmoid.intercept)
-        margin = F.get(vector_to_array(raw), F.lit(1))
-        sigmoids.append(1 / (1 + F.exp(-(margin * slope + offset))))
-    if len(sigmoids) == 1:
-        probs = F.array(1 - sigmoids[0], sigmoids[0])
-    else:
-        even = 1.0 / len(sigmoids)
-
-        def scaled(scores: Column) -> Column:
-            total = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x)
-            return let(
-                total, lambda t: F.transform(scores, lambda x: F.when(t > 0, x / t).otherwise(even))
-            )
-
-        probs = let(F.array(*sigmoids), scaled)
-    return df.withColumn(tag, probs).drop(*[f"{tag}r{c}" for c in range(len(pairs))])
+    for c, fitted in enumerate(member.sigmoids):
+        if isinstance(fitted, float):
+            sigmoids.append(F.lit(fitted))
+        else:
+            margin = F.get(vector_to_array(tag + "r"), F.lit(c))
+            sigmoids.append(1 / (1 + F.exp(-(margin * fitted[0] + fitted[1]))))
+    probs = let(F.array(*sigmoids), lambda scores: joint.shares(scores, F.lit(len(sigmoids))))
+    return scored.withColumn(tag, probs).drop(tag + "p", tag + "r", tag + "c")
 
 
 def _probabilities(df: DataFrame, features: str, members: list, classes: int) -> DataFrame:
     """Add ``probs``, one probability per class, averaged over the members."""
     tags = [f"_m{m}" for m in range(len(members))]
     for tag, member in zip(tags, members, strict=True):
-        add = _logistic_member if isinstance(member, LogisticRegressionModel) else _svm_member
+        add = _logistic_member if isinstance(member, LogisticRegressionModel) else _margin_scores
         df = add(df, features, member, tag)
     if len(tags) == 1:
         return df.withColumnRenamed(tags[0], "probs")
@@ -311,23 +253,23 @@ def _probabilities(df: DataFrame, features: str, members: list, classes: int) ->
     return df.withColumn("probs", F.array(*[s / len(tags) for s in sums])).drop(*tags)
 
 
-def _fit_members(train: DataFrame, classes: int, spec: HeadSpec, n: int) -> list:
-    if spec.learner == "svm":
-        return _fit_svm(train, classes, spec, n)
-    return [_fit_logistic(train, classes, spec, n)]
-
-
 def fitting_report(members: list, max_iter: int) -> dict:
-    """Most iterations of the fits just made, and whether all ended before the limit."""
-    models = []
-    for member in members:
-        if isinstance(member, LogisticRegressionModel):
-            models.append(member.summary)
-        else:
-            models += [pair[0].summary() for pair in member if not isinstance(pair, float)]
-    steps = [m.totalIterations for m in models]
-    shares = sum(isinstance(pair, float) for member in members if isinstance(member, list) for pair in member)
-    return {"iterations": max(steps, default=0), "converged": all(x < max_iter for x in steps), "unfitted": shares}
+    """Most iterations of the logistic fits just made, and whether all ended before the limit."""
+    steps = [m.summary.totalIterations for m in members]
+    return {"iterations": max(steps, default=0), "converged": all(x < max_iter for x in steps), "unfitted": 0}
+
+
+def _joint_report(fits: joint.JointFit, number: int) -> dict:
+    """Passes and rounds of the joint fits, and what the head's final fit reached."""
+    final = next(f for f in fits.fits if f.head == number and f.kind == "final")
+    gap = float(fits.fitted.gap[final.number].max())
+    return {
+        "iterations": fits.fitted.passes,
+        "rounds": fits.fitted.rounds,
+        "converged": gap <= svm.TOLERANCE,
+        "gap": gap,
+        "unfitted": sum(isinstance(s, float) for s in fits.sigmoids[final.number]),
+    }
 
 
 def ranked_classes(probs: Column) -> Column:
@@ -398,18 +340,18 @@ def _fit_on(train: DataFrame, vocab_rows: list, classes: list[str], spec: HeadSp
         train.sparkSession, spec.name, vocab_rows, "embedding" in train.columns
     )
     wide = featurise(_prepare(train, classes), {spec.name: features}).select(
-        "group", "label_index", "weight", F.col(f"{spec.name}_features").alias("features")
+        "label_index", "weight", F.col(f"{spec.name}_features").alias("features")
     )
-    frame = wide.persist()
-    try:
-        members = _fit_members(frame, len(classes), spec, frame.count())
-    finally:
-        frame.unpersist()
-    return Head(_bare_info(spec, classes), features, members)
+    # Stored, so that an iteration's tasks read vectors and carry no feature stages.
+    frame = materialise(wide, "vectors")
+    return Head(_bare_info(spec, classes), features, [_fit_logistic(frame, len(classes), spec, frame.count())])
 
 
 def out_of_fold(rows: DataFrame, classes: list[str], spec: HeadSpec) -> DataFrame:
     """Every row scored by a model that saw neither it nor any other row of its group."""
+    if spec.learner == "svm":
+        fits = joint.fit_jointly(rows, [replace(spec, label="y", separate_gate=False)], classes=[classes])
+        return fits.predictions.filter("kind = 'fold'").select("row_id", "fold", "y", "p", "conf")
     vocab = vocabularies_by_fold(
         rows, folds=spec.folds, min_df=spec.min_df, max_features=spec.max_features
     )
@@ -434,6 +376,9 @@ def out_of_fold(rows: DataFrame, classes: list[str], spec: HeadSpec) -> DataFram
 
 def fit_head(train: DataFrame, classes: list[str], spec: HeadSpec, vocab: DataFrame | None) -> Head:
     """Fit on rows of ``training_rows`` shape, without evaluation or gate."""
+    if spec.learner == "svm":
+        fits = joint.fit_jointly(train, [replace(spec, label="y")], True, _vocab_rows(vocab) if vocab is not None else [], [classes])
+        return _joint_head(train.sparkSession, fits, 0, spec)
     return _fit_on(train, _vocab_rows(vocab) if vocab is not None else [], classes, spec)
 
 
@@ -455,28 +400,8 @@ def _gate_predictions(rows: DataFrame, classes: list[str], spec: HeadSpec) -> Da
     return score(held, head).select("y", F.col("top1").alias("p"), "conf")
 
 
-def train_head(df: DataFrame, spec: HeadSpec) -> tuple[Head | None, DataFrame | None]:
-    """Evaluate out of fold, set the gate, then fit on all rows.
-
-    Returns the head and its out-of-fold predictions; nothing where fewer than two classes
-    are learnable.
-    """
-    rows = materialise(training_rows(df, spec), "training-rows")
-    classes = sorted(r["y"] for r in rows.select("y").distinct().collect())
-    if len(classes) < 2:
-        return None, None
-    predictions = materialise(out_of_fold(rows, classes, spec), "out-of-fold")
-    metrics = head_metrics(predictions).first()
-    if spec.separate_gate:
-        gate_rows, source = _gate_predictions(rows, classes, spec), "separate group-disjoint part"
-    else:
-        gate_rows, source = predictions, "out-of-fold predictions"
-    gate = None
-    if gate_rows is not None:
-        gate = find_threshold(gate_curve(gate_rows), spec.min_kept).first()
-    vocab = vocabulary(rows, min_df=spec.min_df, max_features=spec.max_features)
-    head = fit_head(rows, classes, spec, vocab)
-    head.info = HeadInfo(
+def _info(spec: HeadSpec, classes: list[str], metrics: Row, gate: Row | None, source: str, extra: dict) -> HeadInfo:
+    return HeadInfo(
         name=spec.name,
         classes=classes,
         learner=spec.learner,
@@ -491,21 +416,83 @@ def train_head(df: DataFrame, spec: HeadSpec) -> tuple[Head | None, DataFrame |
         baseline=metrics["baseline"],
         lift=metrics["lift"],
         label_source=spec.label_source,
-        threshold_from=source if gate_rows is not None else "none",
-        extra=fitting_report(head.members, spec.max_iter),
+        threshold_from=source,
+        extra=extra,
     )
+
+
+SEPARATE, OUT_OF_FOLD = "separate group-disjoint part", "out-of-fold predictions"
+
+
+def _train_jointly(df: DataFrame, specs: list[HeadSpec]) -> tuple[dict[str, Head], DataFrame | None]:
+    """All heads from one joint fit, and their out-of-fold predictions (head, row_id, fold, y, p, conf)."""
+    fits = joint.fit_jointly(df, specs)
+    if fits is None:
+        return {}, None
+    predictions = materialise(fits.predictions, "out-of-fold")
+    folds = predictions.filter("kind = 'fold'")
+    metrics = {r["head"]: r for r in head_metrics(folds, by=["head"]).collect()}
+    gated = [h for h, s in enumerate(specs) if s.separate_gate]
+    apart = F.col("head").isin(gated)
+    curve = materialise(gate_curve(predictions.filter(F.when(apart, F.col("kind") == "gate").otherwise(F.col("kind") == "fold")), by=["head"]), "gate-curves")
+    gates = {}
+    for least in {s.min_kept for s in specs}:
+        for r in find_threshold(curve, least, by=["head"]).collect():
+            if specs[r["head"]].min_kept == least:
+                gates[r["head"]] = r
+    heads = {}
+    for h, spec in enumerate(specs):
+        if h in metrics:
+            head = _joint_head(df.sparkSession, fits, h, spec)
+            source = (SEPARATE if spec.separate_gate else OUT_OF_FOLD) if h in gates else "none"
+            head.info = _info(spec, fits.classes[h], metrics[h], gates.get(h), source, _joint_report(fits, h))
+            heads[spec.name] = head
+    return heads, folds.drop("kind")
+
+
+def train_head(df: DataFrame, spec: HeadSpec) -> tuple[Head | None, DataFrame | None]:
+    """Evaluate out of fold, set the gate, then fit on all rows.
+
+    Returns the head and its out-of-fold predictions; nothing where fewer than two classes
+    are learnable.
+    """
+    if spec.learner == "svm":
+        heads, predictions = _train_jointly(df, [spec])
+        return heads.get(spec.name), predictions.drop("head") if heads else None
+    rows = materialise(training_rows(df, spec), "training-rows")
+    classes = sorted(r["y"] for r in rows.select("y").distinct().collect())
+    if len(classes) < 2:
+        return None, None
+    predictions = materialise(out_of_fold(rows, classes, spec), "out-of-fold")
+    metrics = head_metrics(predictions).first()
+    gate_rows = _gate_predictions(rows, classes, spec) if spec.separate_gate else predictions
+    source = "none" if gate_rows is None else SEPARATE if spec.separate_gate else OUT_OF_FOLD
+    gate = None if gate_rows is None else find_threshold(gate_curve(gate_rows), spec.min_kept).first()
+    vocab = vocabulary(rows, min_df=spec.min_df, max_features=spec.max_features)
+    head = fit_head(rows, classes, spec, vocab)
+    head.info = _info(spec, classes, metrics, gate, source, fitting_report(head.members, spec.max_iter))
     return head, predictions
 
 
+def _shared_options(spec: HeadSpec) -> tuple:
+    return spec.learner, spec.folds, spec.svm_c, spec.min_df, spec.max_features
+
+
 def train_heads(df: DataFrame, specs: list[HeadSpec]) -> dict[str, Head]:
-    """Fit every head over one shared, stored frame of terms and embeddings."""
+    """Fit every head over one shared, stored frame of terms and embeddings.
+
+    SVM heads that share their options are fitted together.
+    """
     shared = materialise(df, "training-frame")
     fitted = {}
+    for options in dict.fromkeys(_shared_options(s) for s in specs if s.learner == "svm"):
+        fitted |= _train_jointly(shared, [s for s in specs if _shared_options(s) == options])[0]
     for spec in specs:
-        head, _ = train_head(shared, spec)
-        if head is not None:
-            fitted[spec.name] = head
-    return fitted
+        if spec.learner != "svm":
+            head, _ = train_head(shared, spec)
+            if head is not None:
+                fitted[spec.name] = head
+    return {s.name: fitted[s.name] for s in specs if s.name in fitted}
 
 
 def summary_table(spark: SparkSession, heads: dict[str, Head]) -> DataFrame:
@@ -532,15 +519,9 @@ def save_head(spark: SparkSession, head: Head, path: str) -> None:
     head.features.write().overwrite().save(f"{path}/features")
     shape = []
     for m, member in enumerate(head.members):
-        if isinstance(member, LogisticRegressionModel):
-            member.write().overwrite().save(f"{path}/member{m}")
-            shape.append(None)
-        else:
-            for c, pair in enumerate(member):
-                if not isinstance(pair, float):
-                    pair[0].write().overwrite().save(f"{path}/member{m}/svm{c}")
-                    pair[1].write().overwrite().save(f"{path}/member{m}/sigmoid{c}")
-            shape.append([pair if isinstance(pair, float) else None for pair in member])
+        own = isinstance(member, MarginMember)
+        (member.model if own else member).write().overwrite().save(f"{path}/member{m}")
+        shape.append(member.sigmoids if own else None)
     payload = json.dumps({"info": asdict(head.info), "members": shape})
     spark.createDataFrame([(payload,)], "info string").coalesce(1).write.mode("overwrite").parquet(
         f"{path}/info"
@@ -550,21 +531,11 @@ def save_head(spark: SparkSession, head: Head, path: str) -> None:
 def load_head(spark: SparkSession, path: str) -> Head:
     payload = json.loads(spark.read.parquet(f"{path}/info").first()["info"])
     members = []
-    for m, shares in enumerate(payload["members"]):
-        if shares is None:
-            members.append(LogisticRegressionModel.load(f"{path}/member{m}"))
-        else:
-            members.append(
-                [
-                    share
-                    if share is not None
-                    else (
-                        LinearSVCModel.load(f"{path}/member{m}/svm{c}"),
-                        LogisticRegressionModel.load(f"{path}/member{m}/sigmoid{c}"),
-                    )
-                    for c, share in enumerate(shares)
-                ]
-            )
+    for m, sigmoids in enumerate(payload["members"]):
+        model = LogisticRegressionModel.load(f"{path}/member{m}")
+        if sigmoids is not None:
+            model = MarginMember(model, [tuple(s) if isinstance(s, list) else s for s in sigmoids])
+        members.append(model)
     return Head(HeadInfo(**payload["info"]), PipelineModel.load(f"{path}/features"), members)
 
 

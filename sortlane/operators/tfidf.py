@@ -30,7 +30,7 @@ def term_statistics(df: DataFrame, terms: str = "terms", by: list[str] | None =
     )
 
 
-def _most_frequent(statistics: DataFrame, size: int, by: list[str]) -> DataFrame:
+def most_frequent(statistics: DataFrame, size: int, by: list[str]) -> DataFrame:
     """The ``size`` terms with the highest corpus count per group, ties in term order.
 
     A histogram of counts gives the count at which the quota is reached. Rarer terms are
@@ -77,7 +77,7 @@ def vocabulary(
     """(term, cf, df, idf) of the kept terms: at most ``max_features`` rows."""
     documents = df.agg(F.count("*").alias("documents"))
     statistics = term_statistics(df, terms).filter(F.col("df") >= min_df)
-    kept = _most_frequent(statistics, max_features, [])
+    kept = most_frequent(statistics, max_features, [])
     return _with_idf(kept, documents.scalar())
 
 
@@ -118,7 +118,7 @@ def vocabularies_by_fold(
         )
         .filter(F.col("df") >= min_df)
     )
-    kept = _most_frequent(statistics, max_features, [fold])
+    kept = most_frequent(statistics, max_features, [fold])
     return _with_idf(kept.join(F.broadcast(documents), fold), F.col("documents")).drop("documents")
 
 

@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sortlane.functions.terms import with_terms
-from sortlane.operators import features, heads, predict, tfidf
+from sortlane.operators import features, heads, joint, predict, tfidf
 from sortlane.plans import training
 from sortlane.schema import TARGET_COLUMNS
 
@@ -113,10 +113,10 @@ def test_many_rows_in_few_groups_meet_all_splits(spark):
     """Three groups that the hash puts into one split, with 400 rows of a class."""
     by_hash = spark.range(60).select(F.concat(F.lit("g"), "id").alias("group")).withColumn("split", F.pmod(F.xxhash64("group"), F.lit(3)))
     few = [r.group for r in by_hash.filter("split = 0").limit(3).collect()]
-    train = [(few[i % 3], 1.0) for i in range(400)] + [(f"other{i}", 0.0) for i in range(400)]
-    parted = heads._calibration_splits(spark.createDataFrame(train, "group string, label_index double"), 3)
-    assert {r._split for r in parted.filter("label_index = 1").select("_split").distinct().collect()} == {0, 1, 2}
-    assert parted.select("group", "_split").distinct().count() == 403 and parted.count() == 800
+    train = [(few[i % 3], [1]) for i in range(400)] + [(f"other{i}", [0]) for i in range(400)]
+    parted = joint._dealt_groups(spark.createDataFrame(train, "group string, y array<int>"), 3).withColumn("split", F.get("split", F.lit(0)))
+    assert {r.split for r in parted.filter("y[0] = 1").select("split").distinct().collect()} == {0, 1, 2}
+    assert parted.select("group", "split").distinct().count() == 403 and parted.count() == 800
 
 
 def test_gate_needs_enough_held_out_rows(rows):
