@@ -393,8 +393,7 @@ def stored_heads(spark: SparkSession, folder: str) -> str:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _STORED:
         path = new_folder(spark, "heads")
-        for name, head in job_heads(spark, folder).items():
-            heads.save_head(spark, head, f"{path}/{name}")
+        heads.save_heads(spark.range(0), job_heads(spark, folder), path)
         _STORED[key] = path
     return _STORED[key]
 

@@ -440,14 +440,16 @@ def _train_jointly(df: DataFrame, specs: list[HeadSpec]) -> tuple[dict[str, Head
         for r in find_threshold(curve, least, by=["head"]).collect():
             if specs[r["head"]].min_kept == least:
                 gates[r["head"]] = r
-    heads = {}
-    for h, spec in enumerate(specs):
-        if h in metrics:
-            head = _joint_head(df.sparkSession, fits, h, spec)
-            source = (SEPARATE if spec.separate_gate else OUT_OF_FOLD) if h in gates else "none"
-            head.info = _info(spec, fits.classes[h], metrics[h], gates.get(h), source, _joint_report(fits, h))
-            heads[spec.name] = head
-    return heads, folds.drop("kind")
+
+    def finished(h: int) -> Head:
+        spec = specs[h]
+        head = _joint_head(df.sparkSession, fits, h, spec)
+        source = (SEPARATE if spec.separate_gate else OUT_OF_FOLD) if h in gates else "none"
+        head.info = _info(spec, fits.classes[h], metrics[h], gates.get(h), source, _joint_report(fits, h))
+        return head
+
+    heads = _side_by_side(df, finished, sorted(metrics), specs[0].parallelism)
+    return {head.info.name: head for head in heads}, folds.drop("kind")
 
 
 def train_head(df: DataFrame, spec: HeadSpec) -> tuple[Head | None, DataFrame | None]:
@@ -528,6 +530,11 @@ def save_head(spark: SparkSession, head: Head, path: str) -> None:
     )
 
 
+def save_heads(df: DataFrame, heads: dict[str, Head], folder: str) -> None:
+    """Every head below ``folder``; their many small files are written side by side."""
+    _side_by_side(df, lambda item: save_head(df.sparkSession, item[1], f"{folder}/{item[0]}"), list(heads.items()), len(heads) or 1)
+
+
 def load_head(spark: SparkSession, path: str) -> Head:
     payload = json.loads(spark.read.parquet(f"{path}/info").first()["info"])
     members = []

@@ -35,6 +35,7 @@ CHECK_PASSES = 3
 MOST_PASSES = 400
 MOST_ROUNDS = 60
 TOLERANCE = 1e-3
+MOST_TASKS = 20_000
 # Features whose coefficients travel together.
 CHUNK = 4096
 # Products of a forward pass that are held at once.
@@ -115,6 +116,20 @@ class Block:
         return out
 
 
+    def backward(self, factors: np.ndarray) -> np.ndarray:
+        """Sum over the rows of each row times its factors, (features, columns)."""
+        order = np.argsort(self.column, kind="stable")
+        column, value = self.column[order], self.value[order]
+        row = np.repeat(np.arange(len(self.start) - 1), np.diff(self.start))[order]
+        out = np.zeros((len(self.features), factors.shape[1]))
+        step = max(1, PRODUCTS // max(1, factors.shape[1]))
+        for a in range(0, len(column), step):
+            at = slice(a, a + step)
+            first = np.flatnonzero(np.concatenate([[True], column[at][1:] != column[at][:-1]]))
+            out[column[at][first]] += np.add.reduceat(value[at, None] * factors[row[at]], first)
+        return out
+
+
 def problem(y: np.ndarray, train: np.ndarray, split: np.ndarray, positive: np.ndarray, negative: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Signs and costs of every row and column; a cost of 0 keeps a row out of a column.
 
@@ -131,17 +146,19 @@ def problem(y: np.ndarray, train: np.ndarray, split: np.ndarray, positive: np.nd
 
 
 def objectives(w: np.ndarray, margins: np.ndarray, signs: np.ndarray, costs: np.ndarray) -> np.ndarray:
-    return 0.5 * (w * w).sum(axis=0) + (costs * np.maximum(0, 1 - signs * margins) ** 2).sum(axis=0)
+    return 0.5 * (w * w).sum(axis=0, dtype=np.float64) + (costs * np.maximum(0, 1 - signs * margins) ** 2).sum(axis=0)
 
 
 def ascend(block: Block, signs: np.ndarray, costs: np.ndarray, w: np.ndarray, a: np.ndarray, blocks: int, tolerance: float) -> tuple[np.ndarray, np.ndarray, int]:
     """Coefficients and dual variables after passes over the block; ``w`` answers ``blocks`` times.
 
-    A single block ends when every column's gap is small, one of several after a few passes.
+    A single block ends when every column's gap is small, one of several after a few passes. The
+    passes move coefficients of single precision; the result is summed up again from the duals.
     """
-    w, a = w.copy(), a.copy()
+    first, start, a = w, a, a.copy()
     live = np.flatnonzero((costs > 0).any(axis=0))
-    lw, la, ls, lc = w[:, live], a[:, live], signs[:, live], costs[:, live]
+    lw, la, ls, lc = w[:, live].astype(np.float32), a[:, live], signs[:, live], costs[:, live]
+    values = block.value.astype(np.float32)
     order = np.random.default_rng(7)
     passes = 0
     while len(live) and passes < (LOCAL_PASSES if blocks > 1 else MOST_PASSES):
@@ -149,8 +166,8 @@ def ascend(block: Block, signs: np.ndarray, costs: np.ndarray, w: np.ndarray, a:
         rows = order.permutation(np.flatnonzero((lc > 0).any(axis=1)))
         for i in rows.tolist():
             at = slice(block.start[i], block.start[i + 1])
-            columns, value = block.column[at], block.value[at]
-            own = lw[columns]
+            columns, value = block.column[at], values[at]
+            own = lw.take(columns, axis=0)
             old, y, d = la[i], ls[i], soft[i]
             with np.errstate(invalid="ignore"):
                 slope = y * (value @ own) - 1 + np.where(old > 0, old * d, 0)
@@ -158,19 +175,19 @@ def ascend(block: Block, signs: np.ndarray, costs: np.ndarray, w: np.ndarray, a:
             change = new - old
             if np.abs(change).max() > 1e-12:
                 la[i] = new
-                lw[columns] = own + np.multiply.outer(value, blocks * change * y)
+                own += np.multiply.outer(value, (blocks * change * y).astype(np.float32))
+                lw[columns] = own
         passes += 1
         if blocks == 1 and passes % CHECK_PASSES == 0:
             primal = objectives(lw, block.forward(lw), ls, lc)
-            dual = la.sum(axis=0) - 0.5 * (lw * lw).sum(axis=0) - 0.5 * (la * la * np.where(lc > 0, soft, 0)).sum(axis=0)
-            open_ = primal - dual > 0.5 * tolerance * np.maximum(primal, 1e-12)
+            dual = la.sum(axis=0) - 0.5 * (lw * lw).sum(axis=0, dtype=np.float64) - 0.5 * (la * la * np.where(lc > 0, soft, 0)).sum(axis=0)
+            open_ = primal - dual > 0.9 * tolerance * np.maximum(primal, 1e-12)
             if not open_.all():
-                w[:, live], a[:, live] = lw, la
+                a[:, live] = la
                 live = live[open_]
                 lw, la, ls, lc = lw[:, open_], la[:, open_], ls[:, open_], lc[:, open_]
-    if len(live):
-        w[:, live], a[:, live] = lw, la
-    return w, a, passes
+    a[:, live] = la
+    return first + blocks * block.backward((a - start) * signs), a, passes
 
 
 def _state_rows(fit: int, block: int, rows: list[tuple]) -> pa.Table:
@@ -314,8 +331,12 @@ def fit_all(
     kind = f"fit int, block int, kind string, row_id {row_id}, fold int, y int, split int, train boolean, m array<double>"
     keys = ["fit", "block"]
 
+    # A block of a fit is a long task of its own, so they aren't merged by their bytes.
+    tasks = min(2 * blocks * len(fits), MOST_TASKS)
+
     def met(state: DataFrame, action, schema: str, purpose: str) -> DataFrame:
-        pairs = dealt.groupBy(*keys).cogroup(state.groupBy(*keys))
+        spread = [df.repartition(tasks, *keys) for df in (dealt, state)]
+        pairs = spread[0].groupBy(*keys).cogroup(spread[1].groupBy(*keys))
         return materialise(pairs.applyInArrow(action, schema), purpose)
 
     state, w, passes, result = weights, None, 0, None
