@@ -12,7 +12,7 @@ from sortlane.catalog.registry import group_sql, hit, model_text_sql, over, over
 from sortlane.catalog.text_queries import NON_ENGLISH_SQL, STAMP, keyword_merge_ctes
 from sortlane.functions.terms import with_terms
 from sortlane.functions.text import blank_if_null, group_hash
-from sortlane.operators import columns, features, heads, labels, predict, tfidf, titles
+from sortlane.operators import columns, features, heads, labels, predict, splits, tfidf, titles
 from sortlane.operators.evaluation import find_threshold, gate_curve
 from sortlane.plans import training
 from sortlane.plans.daily import rules_only
@@ -181,7 +181,7 @@ def run_report(spark, folder):
 
 @query(
     "p1_encoded_heads",
-    """SELECT doc_id AS id, TRUE AS same, TRUE AS sound FROM documents JOIN embeddings ON doc_id = vec_id JOIN labels USING (doc_id)""",
+    """SELECT doc_id AS id, TRUE AS same, TRUE AS sound FROM documents JOIN labels USING (doc_id)""",
 )
 def encoded_heads(spark, folder):
     """A head over terms and vectors, predicting from stored vectors and from an encoder's.
@@ -189,8 +189,7 @@ def encoded_heads(spark, folder):
     The stand-in encoder gives the vectors that are stored, so both ways agree.
     """
     documents = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
-    known = table(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"))
-    rows = documents.join(known, "doc_id").select(
+    rows = documents.select(
         F.col("doc_id").alias("id"), F.lit("").alias("title"), F.col("text").alias("description"),
         F.when(F.col("quality") == 1, "good").otherwise("poor").alias("quality"),
     )
@@ -379,13 +378,22 @@ def encode(spark, folder):
 # --- prediction -----------------------------------------------------------------------
 
 
-def job_heads(spark: SparkSession, folder: str) -> dict[str, heads.Head]:
-    """All standard heads whose classes the recovered labels offer."""
-    recovered = labels.recover_labels(view(spark, folder, "training"), view(spark, folder, "postings"))
-    return heads.train_heads(training.training_frame(recovered), training.STANDARD_HEADS)
+_FRAMES: dict[tuple[str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str], str] = {}
 
 
-_STORED: dict[tuple[str, str], str] = {}
+def job_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole training frame with recovered labels; stored once per application and input."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _FRAMES:
+        recovered = labels.recover_labels(view(spark, folder, "training"), view(spark, folder, "postings"))
+        _FRAMES[key] = materialise(training.training_frame(recovered), "training-frame")
+    return _FRAMES[key]
+
+
+def job_heads(spark: SparkSession, folder: str) -> dict[str, heads.Head]:
+    """All standard heads whose classes the recovered labels offer."""
+    return heads.train_heads(job_frame(spark, folder), training.STANDARD_HEADS)
 
 
 def stored_heads(spark: SparkSession, folder: str) -> str:
@@ -426,6 +434,77 @@ HEAD_CLASSES = RECOVERY + f""", english AS (SELECT *, {group_sql('description')}
    QUALIFY count(*) OVER (PARTITION BY head) > 1)"""
 
 
+# Rows of every class of the source's own vocabularies and of the three bands.
+NATIVE_CLASSES = HEAD_CLASSES.split(", signals AS")[0] + """,
+ native AS (SELECT 'job_type_native' AS head, job_type AS class FROM curated UNION ALL SELECT 'experience_native', experience_band FROM curated
+   UNION ALL SELECT 'remote_binary', CASE WHEN job_type IS NOT NULL THEN CASE WHEN coalesce(remote_type, '') <> '' THEN 'Remote' ELSE 'Not-remote' END END FROM curated
+   UNION ALL SELECT 'bands', CASE WHEN experience_band IN ('Internship', 'Entry level') THEN 'Entry' WHEN experience_band IN ('Associate', 'Mid-Senior level') THEN 'Mid'
+     WHEN experience_band IN ('Director', 'Executive') THEN 'Senior' END FROM curated),
+ native_classes AS (SELECT head, class, count(*) AS n FROM native WHERE class IS NOT NULL GROUP BY head, class HAVING count(*) >= 30
+   QUALIFY count(*) OVER (PARTITION BY head) > 1),
+ native_facts AS (SELECT head, CAST(sum(n) AS BIGINT) AS n_rows, CAST(count(*) AS INTEGER) AS classes, round(100.0e0 * max(n) / sum(n), 6) AS baseline
+   FROM native_classes GROUP BY head)"""
+
+
+@query(
+    "m7_native_heads",
+    over_many(["postings", "training"], "SELECT * FROM native_facts WHERE head <> 'bands'", NATIVE_CLASSES),
+)
+def native_heads(spark, folder):
+    """Heads over the source's own vocabularies, on the whole training frame: their facts."""
+    fitted = heads.train_heads(job_frame(spark, folder), training.NATIVE_HEADS)
+    return heads.summary_table(spark, fitted).select("head", "n_rows", "classes", "baseline")
+
+
+@query(
+    "e9_vocabulary_fits",
+    over_many(
+        ["postings", "training"],
+        """SELECT CASE head WHEN 'bands' THEN 'merged' ELSE 'native' END AS vocabulary, n_rows, classes, baseline, TRUE AS consistent
+        FROM native_facts WHERE head IN ('bands', 'experience_native')""",
+        NATIVE_CLASSES,
+    ),
+)
+def vocabulary_fits(spark, folder):
+    """The six levels and the three bands, each fitted out of fold: sizes, baselines and whether the lift follows."""
+    metrics, _ = training.compare_experience_vocabularies(job_frame(spark, folder))
+    lift = F.abs(F.col("accuracy") - F.col("baseline") - F.col("lift")) < 1e-5
+    return metrics.select("vocabulary", "n_rows", F.col("classes").cast("int").alias("classes"), "baseline", lift.alias("consistent"))
+
+
+_GROUPS = f"SELECT doc_id AS row_id, unhex(md5({group_sql('text')})) AS g FROM documents"
+
+
+@query(
+    "m1_balanced_fold",
+    f"""WITH RECURSIVE rows AS ({_GROUPS}), sized AS (
+      SELECT g, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, md5(g), g) AS i FROM rows GROUP BY g
+    ), dealt AS (
+      SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BLOB) AS g, CAST(0 AS INTEGER) AS fold, [0, 0, 0, 0, 0]::BIGINT[] AS loads
+      UNION ALL
+      SELECT s.i, s.g, CAST(list_position(d.loads, list_min(d.loads)) - 1 AS INTEGER),
+        list_transform(d.loads, lambda x, k: CASE WHEN k = list_position(d.loads, list_min(d.loads)) THEN x + s.n ELSE x END)
+      FROM dealt d JOIN sized s ON s.i = d.i + 1
+    ) SELECT row_id, fold FROM rows JOIN dealt USING (g)""",
+)
+def balanced_fold(spark, folder):
+    """Folds of all documents, their groups dealt out by size."""
+    rows = table(spark, folder, "documents").select(F.col("doc_id").alias("row_id"), group_hash(F.col("text")).alias("group"))
+    return splits.balanced_folds(rows).select("row_id", "fold")
+
+
+@query(
+    "m2_exact_quota",
+    f"""WITH rows AS ({_GROUPS}), ranked AS (
+      SELECT g, row_number() OVER (ORDER BY md5(CAST('42:' AS BLOB) || g)) AS i, count(*) OVER () AS n FROM (SELECT DISTINCT g FROM rows)
+    ) SELECT row_id, i <= floor(0.2 * n) AS held_out FROM rows JOIN ranked USING (g)""",
+)
+def exact_quota(spark, folder):
+    """The calibration part of all documents: exactly a fifth of the groups."""
+    rows = table(spark, folder, "documents").select(F.col("doc_id").alias("row_id"), group_hash(F.col("text")).alias("group"))
+    return splits.exact_quota(rows).select("row_id", "held_out")
+
+
 @query(
     "s6_load_heads",
     over_many(

@@ -7,11 +7,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sortlane.functions.text import encoder_text, let
 from sortlane.plans.bounded import lookup_join
+from sortlane.plans.ordinals import with_ordinals
 
 
 def l2_normalise(vector: Column) -> Column:
@@ -53,9 +54,9 @@ def check_alignment(df: DataFrame, embeddings: DataFrame, on: str = "row_id") ->
 def label_encode(
     df: DataFrame, label: str, out: str = "label_index", row_id: str = "row_id"
 ) -> DataFrame:
-    """Classes in order -> 0..k-1, numbered over the distinct classes only."""
+    """Classes in order -> 0..k-1, numbered over the distinct classes only, in ranges of them."""
     classes = df.select(label).filter(F.col(label).isNotNull()).distinct()
-    numbered = classes.withColumn(out, F.row_number().over(Window.orderBy(label)) - 1)
+    numbered = with_ordinals(classes, [F.asc(label)], out).withColumn(out, F.col(out).cast("int"))
     return lookup_join(df, numbered, label, row_id)
 
 
