@@ -102,7 +102,8 @@ def dropped_lines(documents: DataFrame, least: int = LEAST_DOCUMENTS, keep_first
     whole = rows.filter(F.col("_slot") < 0)
     if keep_first:
         whole = whole.filter(F.col("_rank") > 1)
-    met = cut.join(totals.filter(F.col("_all") >= least), ["_h", "_g"])
+    # At most 1 / HOT_SHARE keys are cut, but for keys that share a first hash.
+    met = cut.join(F.broadcast(totals.filter(F.col("_all") >= least)), ["_h", "_g"])
     if keep_first:
         met = met.filter(place != F.col("_first"))
     names = ["_doc", "_part", "_pos"]
