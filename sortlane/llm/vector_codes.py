@@ -223,12 +223,14 @@ def _updated(vectors: DataFrame, books: np.ndarray) -> np.ndarray:
 
     kind = "array<struct<k: int, place: int, value: long>>"
     partial = vectors.select("v").mapInArrow(run, f"part int, entry int, n long, limbs {kind}")
-    counts = partial.groupBy("part", "entry").agg(F.sum("n").alias("n"))
-    places = partial.select("part", "entry", F.inline("limbs")).groupBy("part", "entry", "k", "place").agg(F.sum("value").alias("value"))
-    grouped = places.groupBy("part", "entry").agg(F.collect_list(F.struct("k", "place", "value")).alias("limbs"))
+    # Every task tells the lowest place of each component, so its rows hold each part once.
+    places = partial.select("part", "entry", "n", F.inline("limbs")).groupBy("part", "entry", "k", "place")
+    places = places.agg(F.sum("value").alias("value"), F.sum("n").alias("n"))
+    lowest = F.max(F.when((F.col("k") == 0) & (F.col("place") == 0), F.col("n"))).alias("n")
+    grouped = places.groupBy("part", "entry").agg(lowest, F.collect_list(F.struct("k", "place", "value")).alias("limbs"))
     out = books.astype(object)
     # At most one row for each entry of each codebook.
-    for r in counts.join(grouped, ["part", "entry"]).collect():
+    for r in grouped.collect():
         total = [0] * books.shape[2]
         for x in r["limbs"]:
             total[x["k"]] += x["value"] << (x["place"] * LIMB_BITS)
