@@ -30,7 +30,7 @@ CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LEAST_DOCUMENTS = 10
 HOT_SHARE = 0.002
 HOT_SAMPLE = 0.02
-LEAST_SAMPLED = 200
+LEAST_SAMPLED = 50
 SLOTS = 256
 
 

@@ -171,21 +171,27 @@ def test_recall_on_real_vectors(spark, folder):
     assert got == brute_vectors(rows)
 
 
-def test_recall_with_many_cells(spark, folder, monkeypatch):
-    """Given vectors with near pairs and eight codes a half, so that a vector asks some of 64 cells only."""
+def test_recall_with_many_cells(spark, monkeypatch):
+    """Planted neighbours at 0.93 to 0.99 in three labels, and eight codes a half, so that a vector asks some of 64 cells only."""
     monkeypatch.setattr(multi_index, "CELL_VECTORS", 15)
     indexes, fit = [], multi_index.fit
     monkeypatch.setattr(multi_index, "fit", lambda *a: indexes.append(fit(*a)) or indexes[-1])
-    folder = str(Path(folder).parent / "check_s")
-    rows = spark.read.parquet(f"{folder}/embeddings.parquet").filter("label IS NOT NULL AND embedding IS NOT NULL").collect()
-    x = multi_index.units([np.array(r.embedding, dtype="<f8").tobytes() for r in rows])
-    label = np.array([r.label for r in rows])
+    rng = np.random.default_rng(21)
+    rows = []
+    for label in range(3):
+        centres = rng.normal(size=(40, 32))
+        x = multi_index.units([v.astype("<f8").tobytes() for v in centres[rng.integers(0, 40, 700)] + rng.normal(size=(700, 32)) * 0.7])
+        turn = rng.normal(size=(300, 32))
+        turn -= (turn * x[:300]).sum(axis=1, keepdims=True) * x[:300]
+        near = rng.uniform(0.93, 0.99, (300, 1))
+        planted = near * x[:300] + np.sqrt(1 - near**2) * turn / np.linalg.norm(turn, axis=1, keepdims=True)
+        rows += [(len(rows) + i, label, v.tolist()) for i, v in enumerate(np.concatenate([x, planted]))]
     want = 0
-    for own in (x[label == v] for v in np.unique(label)):
+    for label in range(3):
+        own = multi_index.units([np.array(v, dtype="<f8").tobytes() for _, own, v in rows if own == label])
         want += int((own @ own.T >= multi_index.THRESHOLD).sum()) - len(own)
-    found = sum(r.n_links for r in queries.op10_embedding_dedup(spark, folder).collect())
+    found = sum(r.n_links for r in multi_index.grouped(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect())
     (index,) = indexes
-    print(f"{found} of {want} link ends, {index.cells} cells asked")
     for left, right in index.codes.values():
         assert min(len(left), len(right)) >= 8 and index.cells < len(left) * len(right)
     assert 0 < 0.9 * want <= found <= want
