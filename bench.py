@@ -66,6 +66,7 @@ def main() -> None:
         run = QUERIES[name].run
         if name.startswith("p1"):
             times[FIT] = round(timed(lambda: model_queries.stored_heads(spark, FOLDER)), 3)
+            print(FIT, times[FIT], file=sys.stderr, flush=True)
 
         def once(run=run):
             run(spark, FOLDER).write.format("noop").mode("overwrite").save()
