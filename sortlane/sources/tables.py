@@ -1,7 +1,7 @@
 """Reading and writing the input and output tables.
 
-Text-heavy CSV with quoted line breaks cannot be split, so a CSV is read once, gets its
-``row_id`` and is kept as Parquet; everything else reads the Parquet.
+A CSV is read once, by many tasks whatever line breaks its fields hold, gets its ``row_id`` and
+is kept as Parquet; everything else reads the Parquet.
 """
 
 from __future__ import annotations
@@ -16,47 +16,36 @@ from sortlane.schema import (
     POSTINGS_SCHEMA,
     TRAINING_SCHEMA,
 )
+from sortlane.sources.quoted_csv import read_quoted_csv
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Columns picked by header name, every value a string, a missing one ''."""
-    raw = spark.read.csv(
-        path,
-        header=True,
-        multiLine=True,
-        quote='"',
-        escape='"',
-        maxCharsPerColumn=-1,
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    )
-    return raw.select(*columns).fillna("")
-
-
 def read_postings(spark: SparkSession, path: str) -> DataFrame:
-    return _read_csv(spark, path, POSTINGS_SCHEMA.fieldNames())
+    """Columns picked by header name, every value a string, a missing one ''."""
+    return read_quoted_csv(spark, path, POSTINGS_SCHEMA.fieldNames()).drop("row_id")
 
 
 def read_training(spark: SparkSession, path: str) -> DataFrame:
-    """The curated training rows. Row ids are given by ``ingest``."""
-    return _read_csv(spark, path, TRAINING_SCHEMA.fieldNames())
+    """The curated training rows, numbered 0, 1, ... in the order of the files and their rows."""
+    columns = TRAINING_SCHEMA.fieldNames()
+    return read_quoted_csv(spark, path, columns).select(*columns, "row_id")
 
 
 def read_ad_hoc(spark: SparkSession, path: str) -> DataFrame:
     """Titles and descriptions to predict."""
-    return _read_csv(spark, path, ["title", "description"])
+    return read_quoted_csv(spark, path, ["title", "description"]).drop("row_id")
 
 
 def ingest(df: DataFrame, path: str) -> DataFrame:
-    """Number the rows in reading order, write them as Parquet and read them back.
+    """Write the rows as Parquet and read them back, numbered if they have no ``row_id`` yet.
 
-    The numbers are not stable from one read to the next, which is why they are stored.
+    Numbers given here are not stable from one read to the next, which is why they are stored.
     """
-    df.withColumn("row_id", F.monotonically_increasing_id()).write.mode("error").parquet(path)
+    numbered = df if "row_id" in df.columns else df.withColumn("row_id", F.monotonically_increasing_id())
+    numbered.write.mode("error").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
