@@ -176,6 +176,30 @@ def run_report(spark, folder):
     )
 
 
+@query(
+    "l14_batch_throughput",
+    over(
+        "jobs",
+        "SELECT count(*) AS logged, count(*) AS written, CAST(3 AS BIGINT) AS batches, TRUE AS agree FROM jobs WHERE classified_at IS NULL",
+    ),
+)
+def batch_throughput(spark, folder):
+    """The log of a drain against what each of its batches wrote."""
+    sink, log = new_folder(spark, "drained"), new_folder(spark, "throughput")
+    drain.drain(
+        spark, _arrivals(spark, folder), rules_only, sink, new_folder(spark, "progress"), STAMP, files_per_batch=3, log=log
+    )
+    written = spark.read.parquet(sink).groupBy("batch_id").agg(F.count("*").alias("n"))
+    # A batch without rows has a log entry only.
+    paired = drain.read_throughput(spark, log).join(written, "batch_id", "full")
+    return paired.agg(
+        F.sum("rows").alias("logged"),
+        F.sum("n").alias("written"),
+        F.count("rows").alias("batches"),
+        F.bool_and((F.col("rows") == F.coalesce("n", F.lit(0))) & (F.col("rows_per_second") >= 0)).alias("agree"),
+    )
+
+
 # --- vectors and terms in one head ------------------------------------------------------
 
 

@@ -78,6 +78,25 @@ def test_run_without_sink_shows_and_advances(spark, jobs, tmp_path):
     assert drain.drain(spark, source, rules_only, None, progress, STAMP).rows == 0
 
 
+def test_throughput_of_resumed_and_replayed_runs_adds_up(spark, jobs, tmp_path):
+    source, sink, progress, log = (str(tmp_path / n) for n in ("in", "out", "progress", "log"))
+    options = {"files_per_batch": 1, "log": log}
+    for part in (0, 1):
+        arrive(jobs, source, part)
+    first = drain.drain(spark, source, rules_only, sink, progress, STAMP, **options)
+    arrive(jobs, source, 2)
+    second = drain.drain(spark, source, rules_only, sink, progress, STAMP, **options)
+    for name in ("2", ".2.crc"):
+        (tmp_path / "progress" / "commits" / name).rename(tmp_path / f"lost{name}")
+    assert drain.drain(spark, source, rules_only, sink, progress, STAMP, **options).rows == second.rows
+    logged = sorted(drain.read_throughput(spark, log).collect())
+    written = spark.read.parquet(sink).groupBy("batch_id").count()
+    assert {r.batch_id: r.rows for r in logged} == {r["batch_id"]: r["count"] for r in written.collect()}
+    assert [r.batch_id for r in logged] == [0, 1, 2]
+    assert sum(r.rows for r in logged) == first.rows + second.rows
+    assert all(r.seconds > 0 and r.rows_per_second > 0 for r in logged)
+
+
 def test_snapshots_are_never_overwritten(spark, jobs, tmp_path):
     path = str(tmp_path / "snapshot")
     tables.write_snapshot(jobs, path)
