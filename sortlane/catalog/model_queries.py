@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sortlane.catalog.fixtures import table, view
-from sortlane.catalog.label_queries import DAILY_SQL, LABEL_COLUMNS, RECOVERY, fill_blanks_cte, rule_updates
+from sortlane.catalog.label_queries import DAILY_SQL, LABEL_COLUMNS, MERGED_SQL, RECOVERY, fill_blanks_cte, rule_updates
 from sortlane.catalog.registry import group_sql, hit, model_text_sql, over, over_many, query
 from sortlane.catalog.text_queries import NON_ENGLISH_SQL, STAMP, keyword_merge_ctes
 from sortlane.functions.terms import with_terms
@@ -20,8 +20,8 @@ from sortlane.plans.workspace import materialise, new_folder
 from sortlane.rules import labels as fixed
 from sortlane.rules import remote as remote_rules
 from sortlane.schema import JOBS_SCHEMA, TARGET_COLUMNS
-from sortlane.sources import tables
-from sortlane.streaming import drain
+from sortlane.sources import tables, versioned
+from sortlane.streaming import drain, pages
 
 # --- table round trips ----------------------------------------------------------------
 
@@ -82,6 +82,21 @@ def snapshot(spark, folder):
     return tables.read_snapshot(spark, path, only_queue=True).select(*JOBS_SCHEMA.fieldNames())
 
 
+def _versioned_jobs(spark: SparkSession, folder: str) -> str:
+    path = new_folder(spark, "versioned")
+    versioned.create(tables.conform_jobs(view(spark, folder, "jobs")), path, rows_per_file=250)
+    return path
+
+
+@query("j4_file_updates", MERGED_SQL)
+def file_updates(spark, folder):
+    """The updates merged file by file, twice: the second time they are known by their number."""
+    root = _versioned_jobs(spark, folder)
+    for _ in range(2):
+        versioned.update(spark, root, view(spark, folder, "updates"), STAMP, transaction=1)
+    return versioned.read(spark, root)
+
+
 # --- incremental runs -----------------------------------------------------------------
 
 
@@ -136,6 +151,22 @@ def drain_snapshot(spark, folder):
     return drain.merged_snapshot(tables.conform_jobs(view(spark, folder, "jobs")), sink)
 
 
+@query(
+    "u4_drain_pages",
+    over(
+        "jobs",
+        "SELECT * FROM merged",
+        rule_updates("page") + ", " + fill_blanks_cte("jobs", "rule_updates"),
+    ).replace("blank AS (", "page AS (SELECT * FROM jobs WHERE classified_at IS NULL ORDER BY id LIMIT 900), blank AS (", 1),
+)
+def drain_pages(spark, folder):
+    """The table after two runs over ordered pages of 350 rows that share a total of 900."""
+    root = _versioned_jobs(spark, folder)
+    pages.run_pages(spark, root, rules_only, STAMP, 350, total=900, max_pages=1)
+    pages.run_pages(spark, root, rules_only, STAMP, 350, total=900)
+    return versioned.read(spark, root)
+
+
 @query(
     "u4_drain_heads",
     over("jobs", "SELECT id, title, remote_mode, TRUE AS stamped FROM jobs WHERE classified_at IS NULL"),

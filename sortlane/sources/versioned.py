@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 import uuid
 from bisect import bisect_left
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, field
 from datetime import datetime
 
 import pandas as pd
@@ -47,6 +47,8 @@ class Version:
     batch: str
     transaction: int | None
     rewritten: list[int]
+    # What runs over the table have done, by name; carried from version to version.
+    progress: dict[str, dict] = field(default_factory=dict)
 
 
 # --- files and pointers ---------------------------------------------------------------
@@ -72,8 +74,7 @@ def _publish(spark: SparkSession, root: str, version: Version) -> Version:
     final = _hadoop(spark, f"{root}/versions/{version.number:012d}")
     fs = draft.getFileSystem(spark._jsc.hadoopConfiguration())
     out = fs.create(draft, False)
-    fields = {"batch": version.batch, "transaction": version.transaction, "rewritten": version.rewritten}
-    out.write(bytearray(json.dumps(fields).encode()))
+    out.write(bytearray(json.dumps(asdict(version)).encode()))
     out.close()
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
         fs.makeQualified(final).toUri(), spark._jsc.hadoopConfiguration()
@@ -97,8 +98,7 @@ def latest(spark: SparkSession, root: str, number: int | None = None) -> Version
         raise ValueError(f"no version {'' if number is None else number} of {root}")
     chosen = known[-1] if number is None else number
     text = spark.read.text(f"{root}/versions/{chosen:012d}", wholetext=True).first()[0]
-    fields = json.loads(text)
-    return Version(chosen, fields["batch"], fields["transaction"], fields["rewritten"])
+    return Version(**json.loads(text))
 
 
 def manifest(spark: SparkSession, root: str, version: Version | None = None) -> DataFrame:
@@ -107,15 +107,16 @@ def manifest(spark: SparkSession, root: str, version: Version | None = None) ->
     return spark.read.parquet(f"{root}/manifests/{version.batch}")
 
 
-def _files(spark: SparkSession, root: str, version: Version) -> list:
+def files_of(spark: SparkSession, root: str, version: Version) -> list:
+    """The manifest's rows in the order of ids."""
     rows = manifest(spark, root, version).limit(MAX_FILES + 1).collect()
     if len(rows) > MAX_FILES:
         raise ValueError(f"{root} has more than {MAX_FILES} files: use more rows a file")
     return sorted(rows, key=lambda r: r["slot"])
 
 
-def _scan(spark: SparkSession, root: str, files: list) -> DataFrame:
-    """The rows of some files, with ``_batch`` and ``_slot``."""
+def scan(spark: SparkSession, root: str, files: list) -> DataFrame:
+    """The rows of some files of ``files_of``, with ``_batch`` and ``_slot``."""
     paths = [f"{root}/data/_batch={r['batch']}/_slot={r['slot']}" for r in files]
     return spark.read.option("basePath", f"{root}/data").parquet(*paths)
 
@@ -194,10 +195,10 @@ def create(jobs: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> Ve
 
 def read(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
     """All rows of the last version, or of the one of a number."""
-    files = _files(spark, root, latest(spark, root, number))
+    files = files_of(spark, root, latest(spark, root, number))
     if not files:
         return spark.read.parquet(f"{root}/schema")
-    return _scan(spark, root, files).drop(*INTERNAL)
+    return scan(spark, root, files).drop(*INTERNAL)
 
 
 def touched_slots(spark: SparkSession, root: str, ids: DataFrame, version: Version | None = None) -> list[int]:
@@ -207,7 +208,7 @@ def touched_slots(spark: SparkSession, root: str, ids: DataFrame, version: Versi
     in a hundred foreign ids.
     """
     version = version or latest(spark, root)
-    files = [r for r in _files(spark, root, version) if r["min_id"] is not None]
+    files = [r for r in files_of(spark, root, version) if r["min_id"] is not None]
     if not files:
         return []
     ends = spark.sparkContext.broadcast([r["max_id"] for r in files])
@@ -241,25 +242,29 @@ def update(
     updates: DataFrame,
     stamped_at: datetime | Column,
     transaction: int | None = None,
+    base: Version | None = None,
+    progress: dict[str, dict] | None = None,
 ) -> Version:
     """Publish a version with a batch of updates merged in as ``apply_updates`` does.
 
     Only files of touched slots are read and written again. ``transaction`` numbers the batches
     of one writer in rising order: one that was published before is not applied again. A batch
-    that reaches no row publishes no version, unless it has a number to remember.
+    that reaches no row publishes no version, unless it has a number or progress to remember.
+    Progress is published together with the rows it speaks of. With ``base``, the version that
+    the updates were read from, any version published since is a conflict.
     """
-    base = latest(spark, root)
+    base = base or latest(spark, root)
     if transaction is not None and base.transaction is not None and transaction <= base.transaction:
         return base
     stored = materialise(updates, "updates")
     slots = set(touched_slots(spark, root, stored, base))
-    if not slots and transaction is None:
+    if not slots and transaction is None and progress is None:
         return base
     batch = f"b{uuid.uuid4().hex}"
     if slots:
-        files = [r for r in _files(spark, root, base) if r["slot"] in slots]
+        files = [r for r in files_of(spark, root, base) if r["slot"] in slots]
         columns = read(spark, root, base.number).columns
-        merged = apply_updates(_scan(spark, root, files), stored, stamped_at)
+        merged = apply_updates(scan(spark, root, files), stored, stamped_at)
         _write_files(merged.select(*columns, "_slot"), root, batch)
     renewed = spark.createDataFrame([(s, batch) for s in sorted(slots)], "slot int, _new string")
     moved = manifest(spark, root, base).join(renewed, "slot", "left")
@@ -267,4 +272,5 @@ def update(
         "error"
     ).parquet(f"{root}/manifests/{batch}")
     number = base.transaction if transaction is None else transaction
-    return _publish(spark, root, Version(base.number + 1, batch, number, sorted(slots)))
+    known = {**base.progress, **(progress or {})}
+    return _publish(spark, root, Version(base.number + 1, batch, number, sorted(slots), known))
