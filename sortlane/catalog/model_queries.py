@@ -84,7 +84,7 @@ def snapshot(spark, folder):
 
 def _versioned_jobs(spark: SparkSession, folder: str) -> str:
     path = new_folder(spark, "versioned")
-    versioned.create(tables.conform_jobs(view(spark, folder, "jobs")), path, rows_per_file=250)
+    versioned.create(tables.conform_jobs(view(spark, folder, "jobs")), path, rows_per_file=500)
     return path
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from sortlane.functions.text import blank_if_null, key_hash, strip
 from sortlane.plans.bounded import value_counts
+from sortlane.plans.skew import left_join_unique
+from sortlane.plans.workspace import materialise
 from sortlane.rules import labels as fixed
 
 SOURCE_FIELDS = {
@@ -115,21 +117,17 @@ def map_experience3(level: Column) -> Column:
     return F.coalesce(_map_value(level, fixed.EXPERIENCE_3), level)
 
 
-# A key's rows are spread over so many tasks; the lookup has a copy of each row for each.
-KEY_SALTS = 16
-
-
 def _join_by_key(training: DataFrame, lookup: DataFrame, row_id: str) -> DataFrame:
     """Training rows with the lookup row of their key; many rows may share a key.
 
-    Only ids and keys meet the lookup, spread over salts whatever their counts; the texts are
-    dealt out by the unique row id. No job runs while the plan is built.
+    Only ids and keys meet the lookup. They are stored first, so the texts are read once for
+    them and the hot keys are found on 16 bytes a row; the lookup rows of hot keys alone are
+    copied. The texts are dealt out by the unique row id.
     """
     key = key_hash(F.col("title"), F.col("description"))
-    salt = F.pmod(F.xxhash64(row_id), F.lit(KEY_SALTS)).cast("int")
-    keys = training.select(row_id, key.alias("key"), salt.alias("_salt"))
-    copies = F.explode(F.sequence(F.lit(0), F.lit(KEY_SALTS - 1)))
-    found = keys.join(lookup.withColumn("_salt", copies), ["key", "_salt"]).drop("key", "_salt")
+    keys = materialise(training.select(row_id, key.alias("key")), "keys")
+    marked = lookup.withColumn("_found", F.lit(True))
+    found = left_join_unique(keys, marked, "key", row_id).filter("_found").drop("key", "_found")
     return training.join(found, row_id, "left")
 
 

@@ -51,6 +51,24 @@ def test_last_row_wins(postings, training):
     assert (got[12].joined, got[13].joined) == (True, False)
 
 
+def test_only_rows_of_hot_keys_are_copied(spark, postings):
+    """Two thirds of the rows share one key: its lookup row is copied, the others are not."""
+    title = F.when(F.col("id") % 3 < 2, "cook").otherwise(F.concat(F.lit("other "), F.col("id")))
+    rows = spark.range(30_000).select(
+        F.col("id").alias("row_id"),
+        F.when(F.col("id") == 6, "nurse").otherwise(title).alias("title"),
+        F.when(F.col("id") == 6, "text one").otherwise("text two").alias("description"),
+        F.lit("Others").alias("role"),
+    )
+    recovered = labels.recover_labels(rows, postings)
+    plan = recovered._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence" in plan.lower() or "_salt" in plan
+    got = recovered.groupBy("experience_band", "remote_type").count().collect()
+    assert {(r[0], r[1]): r[2] for r in got} == {
+        ("Associate", "Remote"): 20_000 - 1, ("Entry level", "Remote"): 1, (None, None): 10_000,
+    }
+
+
 def test_join_rate(postings, training):
     assert labels.join_rate(training, postings).first().joined_pct == 75.0
 
