@@ -21,10 +21,10 @@ from dataclasses import asdict, dataclass, field
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sortlane.operators.merge import apply_updates
+from sortlane.operators.merge import UPDATE_COLUMNS, fill_blanks
 from sortlane.plans.workspace import materialise
 
 ROWS_PER_FILE = 250_000
@@ -32,7 +32,7 @@ IDS_PER_WORD = 4
 PROBES = 4
 # The driver holds a short row for each file, as it does for any table's listing.
 MAX_FILES = 1_000_000
-INTERNAL = ("_batch", "_slot")
+INTERNAL = ("_batch", "_slot", "_new", "_row")
 
 
 class VersionConflict(RuntimeError):
@@ -121,10 +121,11 @@ def scan(spark: SparkSession, root: str, files: list) -> DataFrame:
     return spark.read.option("basePath", f"{root}/data").parquet(*paths)
 
 
-def _write_files(rows: DataFrame, root: str, batch: str) -> None:
-    """One file for each ``_slot``, sorted by id."""
-    placed = rows.repartition("_slot").sortWithinPartitions("_slot", "id")
-    placed.write.mode("error").partitionBy("_slot").parquet(f"{root}/data/_batch={batch}")
+def _write_files(placed: DataFrame, root: str, batch: str) -> None:
+    """One file for each ``_slot``, sorted by id; the rows of a slot are in one partition."""
+    ordered = placed.sortWithinPartitions("_slot", "id")
+    writer = ordered.write.mode("error").option("compression", "zstd").partitionBy("_slot")
+    writer.parquet(f"{root}/data/_batch={batch}")
 
 
 # --- the filter -----------------------------------------------------------------------
@@ -176,12 +177,10 @@ def create(jobs: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> Ve
     if _versions(spark, root):
         raise ValueError(f"{root} exists")
     batch = f"b{uuid.uuid4().hex}"
-    # Stored before it is dealt: sampling the ranges and writing both read it, and the ranges
-    # must not change when a task is repeated.
-    stored = materialise(jobs, "versioned")
-    files = max(1, -(-stored.count() // rows_per_file))
-    ranged = stored.repartitionByRange(files, "id").withColumn("_slot", F.spark_partition_id())
-    _write_files(materialise(ranged, "ranged"), root, batch)
+    files = max(1, -(-jobs.count() // rows_per_file))
+    # One job samples, deals and writes, so the ranges are the same for a task that is repeated.
+    ranged = jobs.repartitionByRange(files, "id").withColumn("_slot", F.spark_partition_id())
+    _write_files(ranged, root, batch)
     written = spark.read.schema("id string, _slot int").parquet(f"{root}/data/_batch={batch}")
     index = written.groupBy(F.col("_slot").alias("slot")).agg(
         F.min("id").alias("min_id"), F.max("id").alias("max_id"), F.count("*").alias("rows")
@@ -189,7 +188,7 @@ def create(jobs: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> Ve
     index.withColumn("batch", F.lit(batch)).coalesce(1).write.mode("error").parquet(f"{root}/manifests/{batch}")
     version = Version(0, batch, None, [])
     _write_filter(written.select("_slot", "id"), manifest(spark, root, version), root)
-    stored.limit(0).write.mode("error").parquet(f"{root}/schema")
+    jobs.limit(0).write.mode("error").parquet(f"{root}/schema")
     return _publish(spark, root, version)
 
 
@@ -201,29 +200,37 @@ def read(spark: SparkSession, root: str, number: int | None = None) -> DataFrame
     return scan(spark, root, files).drop(*INTERNAL)
 
 
-def touched_slots(spark: SparkSession, root: str, ids: DataFrame, version: Version | None = None) -> list[int]:
-    """Slots that may hold one of ``ids``: its range covers the id and the filter knows it.
+def _located(spark: SparkSession, files: list, rows: DataFrame) -> DataFrame:
+    """``rows`` whose id lies in the range of a file, with ``_slot`` and ``_rows`` of that file.
 
-    A slot that holds one is never left out; the filter names a slot without need for under one
-    in a hundred foreign ids.
+    Ranges don't overlap, so the first file that ends at the id or after it is the only one.
     """
-    version = version or latest(spark, root)
-    files = [r for r in files_of(spark, root, version) if r["min_id"] is not None]
-    if not files:
-        return []
     ends = spark.sparkContext.broadcast([r["max_id"] for r in files])
     facts = [(i, r["slot"], r["min_id"], r["rows"]) for i, r in enumerate(files)]
 
     @F.pandas_udf("long")
     def place(values: pd.Series) -> pd.Series:
-        """The first file that ends at the id or after it."""
         return values.map(lambda value: bisect_left(ends.value, value)).astype("int64")
 
-    asked = ids.select("id").filter(F.col("id").isNotNull()).distinct()
-    located = asked.withColumn("_place", place("id"))
     table = spark.createDataFrame(facts, "_place long, _slot int, _min string, _rows long")
-    covered = located.join(table, "_place").filter(F.col("id") >= F.col("_min"))
-    wanted = covered.select("_slot", _word("_rows"), _mask())
+    placed = rows.filter(F.col("id").isNotNull()).withColumn("_place", place("id"))
+    return placed.join(table, "_place").filter(F.col("id") >= F.col("_min")).drop("_place", "_min")
+
+
+def _with_range(files: list) -> list:
+    return [r for r in files if r["min_id"] is not None]
+
+
+def touched_slots(spark: SparkSession, root: str, ids: DataFrame, version: Version | None = None) -> list[int]:
+    """Slots that may hold one of ``ids``: its range covers the id and the filter knows it.
+
+    A slot that holds one is never left out; the filter names a slot without need for about one
+    in a hundred foreign ids.
+    """
+    files = _with_range(files_of(spark, root, version or latest(spark, root)))
+    if not files:
+        return []
+    wanted = _located(spark, files, ids.select("id").distinct()).select("_slot", _word("_rows"), _mask())
     words = spark.read.parquet(f"{root}/filter")
     found = (
         wanted.join(words, ["_slot", "word"])
@@ -231,9 +238,27 @@ def touched_slots(spark: SparkSession, root: str, ids: DataFrame, version: Versi
         .select("_slot")
         .distinct()
     )
-    slots = sorted(r["_slot"] for r in found.collect())
-    ends.unpersist()
-    return slots
+    return sorted(r["_slot"] for r in found.collect())
+
+
+def _merged(
+    spark: SparkSession, root: str, files: list, updates: DataFrame, stamped_at: datetime | Column
+) -> DataFrame:
+    """The rows of some files after the updates, as ``apply_updates`` gives them, by slot.
+
+    Rows and updates go to the task of their slot together and meet there by id, so the wide
+    rows are shuffled once, for the merge and for the files alike.
+    """
+    stamp = stamped_at if isinstance(stamped_at, Column) else F.lit(stamped_at).cast("timestamp")
+    payload = F.struct(*UPDATE_COLUMNS).alias("_new")
+    placed = _located(spark, _with_range(files), updates)
+    batch = placed.select("_slot", "id", payload).groupBy("_slot", "id").agg(F.max("_new").alias("_new"))
+    old = scan(spark, root, files).withColumn("_row", F.lit(True))
+    both = old.unionByName(batch, allowMissingColumns=True).repartition("_slot")
+    same_id = Window.partitionBy("_slot", "id")
+    joined = both.withColumn("_new", F.max("_new").over(same_id)).filter("_row")
+    new = {c: F.col("_new")[c] for c in UPDATE_COLUMNS}
+    return fill_blanks(joined, new, F.col("_new").isNotNull(), stamp)
 
 
 def update(
@@ -264,7 +289,7 @@ def update(
     if slots:
         files = [r for r in files_of(spark, root, base) if r["slot"] in slots]
         columns = read(spark, root, base.number).columns
-        merged = apply_updates(scan(spark, root, files), stored, stamped_at)
+        merged = _merged(spark, root, files, stored, stamped_at)
         _write_files(merged.select(*columns, "_slot"), root, batch)
     renewed = spark.createDataFrame([(s, batch) for s in sorted(slots)], "slot int, _new string")
     moved = manifest(spark, root, base).join(renewed, "slot", "left")
