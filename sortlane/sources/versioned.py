@@ -224,8 +224,8 @@ def _with_range(files: list) -> list:
 def touched_slots(spark: SparkSession, root: str, ids: DataFrame, version: Version | None = None) -> list[int]:
     """Slots that may hold one of ``ids``: its range covers the id and the filter knows it.
 
-    A slot that holds one is never left out; the filter names a slot without need for about one
-    in a hundred foreign ids.
+    A slot that holds one is never left out; for a small share of foreign ids the filter names
+    a slot without need.
     """
     files = _with_range(files_of(spark, root, version or latest(spark, root)))
     if not files:
