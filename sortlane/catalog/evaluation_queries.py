@@ -305,7 +305,7 @@ def strip_accents_query(spark, folder):
 def l2_normalise(spark, folder):
     rows = table(spark, folder, "embeddings")
     unit = features.l2_normalise(F.col("embedding"))
-    return rows.select("vec_id", F.transform(unit, lambda x: F.round(x, 6)).alias("unit"))
+    return rows.select("vec_id", F.transform(unit, lambda x: features.rounded(x, 6)).alias("unit"))
 
 
 @query(
