@@ -52,7 +52,9 @@ class ChunkEncoder:
         self.mark_id = marks[-1]["id"] if marks else -1
         self.names: dict[int, str] = {}
         self.most_kept = most_kept
+        # Two generations: what the younger one asks for again is taken from the older.
         self.words: dict[bytes, tuple[bytes, str]] = {}
+        self.older: dict[bytes, tuple[bytes, str]] = {}
         self.chunks: dict[bytes, tuple[bytes, str, bytes, bytes]] = {}
         self.joins: set[tuple[bytes, bytes]] = set()
 
@@ -88,18 +90,23 @@ class ChunkEncoder:
             names.update({i: self.tokenizer.id_to_token(i) + " " for i in ids})
             return "".join([names[i] for i in ids])
 
+    def _know(self, words: set[bytes]) -> None:
+        """Have the words in ``words``; those of neither generation are encoded."""
+        fresh, older = words.difference(self.words), self.older
+        self.words.update({w: older[w] for w in fresh if w in older})
+        new = [w for w in fresh if w not in older]
+        self.words.update(zip(new, self._ids(new)))
+
     def learn(self, chunks: set[bytes]) -> None:
         """Encode the chunks that this worker has not met."""
         new = [c for c in chunks if c not in self.chunks]
         if len(self.chunks) + len(new) > self.most_kept:
             self.chunks = {c: self.chunks[c] for c in chunks if c in self.chunks}
         split = [c.split() for c in new]
-        fresh = set().union(*split).difference(self.words) if split else set()
-        if len(self.words) + len(fresh) > 2 * self.most_kept:
-            self.words = {}
-            fresh = set().union(*split)
-        fresh = list(fresh)
-        self.words.update(zip(fresh, self._ids(fresh)))
+        needed = set().union(*split)
+        if len(self.words) + len(needed.difference(self.words)) > 2 * self.most_kept:
+            self.words, self.older = {}, self.words
+        self._know(needed)
         for chunk, words in zip(new, split):
             parts = [self.words[w] for w in words]
             ids, text = b"".join([p[0] for p in parts]), "".join([p[1] for p in parts])
@@ -108,8 +115,7 @@ class ChunkEncoder:
     def check(self, pairs: set[tuple[bytes, bytes]]) -> set[tuple[bytes, bytes]]:
         """The joins at which encoding both sides as one gives other ids."""
         new = list(pairs - self.joins)
-        unknown = list({w for pair in new for w in pair if w not in self.words})
-        self.words.update(zip(unknown, self._ids(unknown)))
+        self._know({w for pair in new for w in pair})
         together, apart = self._ids([a + b" " + b for a, b in new]), self.words
         bad = {(a, b) for (a, b), ids in zip(new, together) if ids[0] != apart[a][0] + apart[b][0]}
         if len(self.joins) > 2 * self.most_kept:

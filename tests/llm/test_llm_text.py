@@ -93,6 +93,22 @@ def test_joins_that_differ_are_repaired():
     assert (ids, text) == (b"\1\0\0\0", "ab") and len(other) == 8
 
 
+def test_frequent_words_outlive_the_limit_of_kept_words():
+    """Words that every text holds are encoded once, however many rare ones come by."""
+    encoder, asked = bpe.ChunkEncoder(tokenizer_path(), 40), []
+    plain = encoder._ids
+
+    def counted(texts):
+        asked.extend(texts)
+        return plain(texts)
+
+    encoder._ids = counted
+    for i in range(120):
+        encoder.encode([[b"often met w%d x%d y%d" % (i, i, i)]])
+    assert asked.count(b"often") == asked.count(b"met") == 1
+    assert len(encoder.words) + len(encoder.older) <= 4 * 40
+
+
 def test_chunks_join_to_the_text(awkward):
     from sortlane.llm import arrays as A
 
