@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 
 from hypothesis import given, settings
@@ -95,3 +96,17 @@ def test_bigrams_and_terms(spark):
     df = spark.createDataFrame([("One two two",), ("a",), ("",)], "text string")
     got = [r.terms for r in terms.with_terms(df, "text").collect()]
     assert got == [["one", "two", "two", "one two", "two two"], [], []]
+
+
+def test_accents_without_python(spark):
+    """Every character that folds, alone and between others, and no batch of texts in a Python worker."""
+    def folded(text):
+        return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+
+    points = [chr(p) for p in range(0x80, sys.maxunicode + 1) if not 0xD800 <= p <= 0xDFFF]
+    odd = [c for c in points if folded(c) != c and not "가" <= c <= "힣"]
+    odd += [chr(p) for p in range(0xAC00, 0xD7A4, 37)]
+    texts = ["a" + "b".join(odd[i : i + 40]) for i in range(0, len(odd), 40)] + ["ẹ́x", "한국어 ½ … “q”", "漢字"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string").withColumn("f", terms.strip_accents(F.col("t")))
+    assert [r.f for r in df.orderBy("n").collect()] == [folded(t) for t in texts]
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
