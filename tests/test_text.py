@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sortlane.functions import terms
 from sortlane.functions import text as fn
+from sortlane.operators import tfidf
 
 AWKWARD = [
     "",
@@ -110,3 +111,13 @@ def test_accents_without_python(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "n int, t string").withColumn("f", terms.strip_accents(F.col("t")))
     assert [r.f for r in df.orderBy("n").collect()] == [folded(t) for t in texts]
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_without_a_fold_are_in_every_vocabulary(spark):
+    """A row of no fold is nobody's to leave out."""
+    rows = [(0, ["a", "a", "b"]), (1, ["a", "b"]), (None, ["a", "c"]), (None, ["c"])]
+    df = spark.createDataFrame(rows, "fold int, terms array<string>")
+    found = tfidf.vocabularies_by_fold(df, folds=2, min_df=1).collect()
+    assert {(r.fold, r.term, r.cf, r.df) for r in found} == {
+        (0, "a", 2, 2), (0, "b", 1, 1), (0, "c", 2, 2), (1, "a", 3, 2), (1, "b", 1, 1), (1, "c", 2, 2)
+    }
