@@ -121,3 +121,10 @@ def test_rows_without_a_fold_are_in_every_vocabulary(spark):
     assert {(r.fold, r.term, r.cf, r.df) for r in found} == {
         (0, "a", 2, 2), (0, "b", 1, 1), (0, "c", 2, 2), (1, "a", 3, 2), (1, "b", 1, 1), (1, "c", 2, 2)
     }
+
+
+def test_terms_are_counted_without_python(spark):
+    df = spark.createDataFrame([("Été à Zürich",), ("ete a zurich",)], "text string")
+    counted = tfidf.term_statistics(terms.with_terms(df, "text"))
+    assert {(r.term, r.cf, r.df) for r in counted.collect()} == {("ete", 2, 2), ("zurich", 2, 2), ("ete zurich", 2, 2)}
+    assert "Python" not in counted._jdf.queryExecution().executedPlan().toString()
