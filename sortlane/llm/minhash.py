@@ -10,14 +10,16 @@ Sets that share the ``ROWS`` coordinates of one of ``BANDS`` bands meet in a buc
 similarity of 0.8 a pair is missed with a probability of 1.3e-5, at 0.85 of 1e-8. Links are
 confirmed on full sets, made anew from both texts. Not all pairs of a bucket are tried: first
 each set with one smaller partner, then, in buckets that still hold several components, each set
-with its nearest partners by sketch, in rounds that go on to further partners until every pair
-of different components whose sketches agree in ``LEAST_AGREED`` of their coordinates (or more)
-was confirmed or refused. A pair at 0.8 falls below that with a probability under 1e-6.
+with its nearest partners by sketch, pair by pair. At last every pair of different components whose
+sketches agree in ``LEAST_AGREED`` of their coordinates (or more) is confirmed or refused. A pair
+at 0.8 falls below that with a probability under 1e-6. Those pairs are never rows: the sets that
+are near another one travel to their blocks with their texts, and a block tries its pairs itself,
+each in the first bucket that it shares, the nearest first, and none that its links connect already.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +36,11 @@ BANDS = 48
 ROWS = 7
 BINS = BANDS * ROWS
 LEAST_AGREED = 0.68
-# Rounds: which part of the buckets, and how many of the nearest partners in a block. The last
-# round takes all partners that are near enough in all buckets.
-ROUNDS = ((12, 2), (1, 2), (1, 16), (1, 1 << 30))
+# Rounds of pairs: which part of the buckets, and how many of the nearest partners in a block.
+ROUNDS = ((12, 2), (1, 2))
 BLOCK = 256
+# Hashes of shingles that a block holds at a time.
+MOST_HELD = 8_000_000
 
 SKETCH = "doc long, part long, n_shingles long, node long, bands binary, short binary"
 
@@ -207,36 +210,48 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.select("key", "node", F.coalesce("label", "node").alias("label"))
 
 
-def _nearest(blocks: DataFrame, most: int) -> DataFrame:
-    """Pairs (a, b) of different labels: for each asking set its ``most`` nearest partners in a block."""
+def _by_block(function: Callable[[list], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``function`` over the rows of each block, which arrive sorted by (key, i, q); it sees the columns after these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, rows = None, []
         for batch in batches:
-            keys = zip(*(batch.column(i).to_pylist() for i in range(3)))
-            rest = zip(*(batch.column(i).to_pylist() for i in range(3, 7)))
-            for key, row in zip(keys, rest):
+            columns = [c.to_pylist() for c in batch.columns]
+            for key, row in zip(zip(*columns[:3]), zip(*columns)):
                 if key != last and rows:
-                    yield from out(rows)
+                    yield from function(rows)
                     rows = []
                 last = key
                 rows.append(row)
         if rows:
-            yield from out(rows)
+            yield from function(rows)
+
+    return run
+
+
+def _sides(rows: list) -> tuple[list, list, np.ndarray]:
+    """The askers of a block, the sets asked, and in how many coordinates they agree; -1 below the least and for equal labels."""
+    asking, others = ([r for r in rows if r[3] == asks] for asks in (True, False))
+    if not asking or not others:
+        return asking, others, np.zeros((len(asking), len(others)), np.int64)
+    short = [np.frombuffer(b"".join([r[6] for r in own]), np.uint8).reshape(len(own), BINS) for own in (asking, others)]
+    label = [np.array([r[5] for r in own], dtype=np.int64) for own in (asking, others)]
+    agreed = np.stack([(short[1] == own).sum(axis=1) for own in short[0]])
+    return asking, others, np.where((agreed >= LEAST_AGREED * BINS) & (label[0][:, None] != label[1][None, :]), agreed, -1)
+
+
+def _dealt(blocks: DataFrame) -> DataFrame:
+    return blocks.repartition("key", "i", "q").sortWithinPartitions("key", "i", "q")
+
+
+def _nearest(blocks: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b) of different labels: for each asking set its ``most`` nearest partners in a block."""
 
     def out(rows: list) -> Iterator[pa.RecordBatch]:
-        sides = []
-        for asks in (True, False):
-            own = [r for r in rows if r[0] == asks]
-            short = np.frombuffer(b"".join([r[3] for r in own]), np.uint8).reshape(len(own), BINS)
-            sides.append((np.array([r[1] for r in own], dtype=np.int64), np.array([r[2] for r in own], dtype=np.int64), short))
-        (a, a_label, asking), (b, b_label, others) = sides
-        if not len(a) or not len(b):
-            return
-        agreed = np.stack([(others == own).sum(axis=1) for own in asking])
-        near = np.where((agreed >= LEAST_AGREED * BINS) & (a_label[:, None] != b_label[None, :]), agreed, -1)
-        if (near < 0).all():
+        asking, others, near = _sides(rows)
+        if not (near >= 0).any():
             return
+        a, b = (np.array([r[4] for r in own], dtype=np.int64) for own in (asking, others))
         order = np.lexsort((np.broadcast_to(b, near.shape), -near), axis=1)[:, :most]
         left = np.repeat(np.arange(len(a)), order.shape[1])
         right = order.ravel()
@@ -245,8 +260,90 @@ def _nearest(blocks: DataFrame, most: int) -> DataFrame:
         pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    ordered = blocks.repartition("key", "i", "q").sortWithinPartitions("key", "i", "q")
-    return map_arrow(ordered, run, "a long, b long")
+    return map_arrow(_dealt(blocks), _by_block(out), "a long, b long")
+
+
+def _near_rows(blocks: DataFrame) -> DataFrame:
+    """The rows of ``blocks`` whose set has a near partner of another label in its block."""
+
+    def out(rows: list) -> Iterator[pa.RecordBatch]:
+        asking, others, near = _sides(rows)
+        if not (near >= 0).any():
+            return
+        chosen = [asking[x] for x in np.flatnonzero((near >= 0).any(axis=1))]
+        chosen += [others[y] for y in np.flatnonzero((near >= 0).any(axis=0))]
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
+        names = ["key", "i", "q", "asks", "node", "label", "short"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*chosen), kinds)], names=names)
+
+    schema = "key long, i int, q int, asks boolean, node long, label long, short binary"
+    return map_arrow(_dealt(blocks), _by_block(out), schema)
+
+
+def _linked(blocks: DataFrame, width: int, per_cent: int) -> DataFrame:
+    """Links (a, b) between the labels of all near pairs of a block that are similar enough on full sets.
+
+    ``blocks`` are rows of ``_near_rows`` with ``bands`` and ``packed``. A pair is tried where its first
+    common band meets, and only while the block's own links do not connect it.
+    """
+
+    def out(rows: list) -> Iterator[pa.RecordBatch]:
+        asking, others, near = _sides(rows)
+        if not (near >= 0).any():
+            return
+        here = np.int64(rows[0][0])
+        bands_of = np.stack([np.frombuffer(r[7], "<i8") for r in others])
+        decompressor, held, at = zstandard.ZstdDecompressor(), {}, {"size": 0}
+
+        def full(wanted: list) -> list[np.ndarray]:
+            new = [r for r in {r[4]: r for r in wanted}.values() if r[4] not in held]
+            if at["size"] > MOST_HELD:
+                keep = {r[4] for r in wanted}
+                for node in [n for n in held if n not in keep]:
+                    at["size"] -= len(held.pop(node))
+            texts = [decompressor.decompress(r[8]) for r in new]
+            offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+            shingles, first = shingle_sets(np.frombuffer(b"".join(texts), np.uint8), offsets, width)
+            for r, i, j in zip(new, first[:-1], first[1:]):
+                held[r[4]] = shingles[i:j].copy()
+                at["size"] += int(j - i)
+            return [held[r[4]] for r in wanted]
+
+        group: dict[int, int] = {}
+
+        def root(label: int) -> int:
+            while (up := group.get(label, label)) != label:
+                group[label] = label = group.get(up, up)
+            return label
+
+        a_labels, b_labels = [], []
+        for x, asker in enumerate(asking):
+            partners = np.flatnonzero(near[x] >= 0)
+            if not len(partners):
+                continue
+            same = bands_of[partners] == np.frombuffer(asker[7], "<i8")
+            first_shared = bands_of[partners, same.argmax(axis=1)]
+            partners = partners[same.any(axis=1) & (first_shared == here)]
+            partners = partners[np.argsort(-near[x][partners], kind="stable")].tolist()
+            for start in range(0, len(partners), 64):
+                some = [others[y] for y in partners[start : start + 64] if root(others[y][5]) != root(asker[5])]
+                if not some:
+                    continue
+                own, *sets = full([asker, *some])
+                lengths = np.array([len(s) for s in sets])
+                every = np.concatenate(sets)
+                place = np.minimum(np.searchsorted(own, every), len(own) - 1)
+                both = np.add.reduceat((own[place] == every).astype(np.int64), np.cumsum(lengths) - lengths)
+                for i in np.flatnonzero(100 * both >= per_cent * (len(own) + lengths - both)).tolist():
+                    low, high = sorted((root(asker[5]), root(some[i][5])))
+                    if low != high:
+                        group[high] = low
+                        a_labels.append(asker[5])
+                        b_labels.append(some[i][5])
+        if a_labels:
+            yield pa.RecordBatch.from_arrays([pa.array(a_labels, pa.int64()), pa.array(b_labels, pa.int64())], names=["a", "b"])
+
+    return map_arrow(_dealt(blocks), _by_block(out), "a long, b long")
 
 
 def _open(at: DataFrame, part: int) -> DataFrame:
@@ -297,11 +394,21 @@ def links_and_labels(texts: DataFrame, sketch: DataFrame, width: int, per_cent:
         near = stored(_nearest(_blocks(at, open_, sketch), most).distinct(), "minhash-pairs")
         if near.isEmpty():
             if part == 1:
-                break  # no bucket has near sets of different components
+                return labels  # no bucket has near sets of different components
             continue
         new = stored(confirmed(near, packed, width, per_cent), "minhash-links")
         if not new.isEmpty():
             labels = stored(merged(labels, new), "minhash-labels")
+    at = stored(_labelled(members, labels), "minhash-labelled")
+    open_ = stored(_open(at, 1), "minhash-open")
+    rows = stored(_near_rows(_blocks(at, open_, sketch)), "minhash-near")
+    if not rows.isEmpty():
+        near = rows.select("node").distinct()
+        banded = sketch.filter("bands IS NOT NULL").select("node", "bands").join(near, "node", "left_semi").dropDuplicates(["node"])
+        whole = rows.join(banded.join(packed, "node"), "node").select(*rows.columns, "bands", "packed")
+        new = stored(_linked(whole, width, per_cent).distinct(), "minhash-links")
+        if not new.isEmpty():
+            labels = stored(merged(labels, new), "minhash-labels")
     return labels
 
 

@@ -56,6 +56,28 @@ def test_chains_and_hubs_of_near_copies(spark):
     assert got == brute_components([(d, t) for d, t, _ in rows], 2, 80)
 
 
+def test_pairs_of_a_large_group_are_no_rows(spark, monkeypatch):
+    """Sets that are near each other but not linked are told apart in their blocks, not by a row for each pair."""
+    base, rows = prose(21, 200).split(), []
+    for i in range(160):
+        words = list(base)
+        for k in range(12):
+            words[(37 * i + 16 * k) % 200] = f"x{i}y{k}"
+        rows.append((i, " ".join(words), "s"))
+    rows += [(500 + i, t + " more", s) for i, t, s in rows[:20]]
+    tried, plain = [], minhash.confirmed
+
+    def counted(pairs, *rest):
+        tried.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(minhash, "confirmed", counted)
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in minhash.grouped(documents(spark, rows)).collect())
+    assert got == brute_components([(d, t) for d, t, _ in rows], 2, 80)
+    print("pairs tried as rows", tried)
+    assert sum(tried) < 5000
+
+
 def test_keep_one_keeps_rows_whole(awkward):
     kept = minhash.keep_one(awkward, 5, 80)
     assert kept.columns == awkward.columns
