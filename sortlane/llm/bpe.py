@@ -14,6 +14,7 @@ the texts and the ids through two shuffles.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -27,9 +28,11 @@ from pyspark.sql import functions as F
 from sortlane.llm import arrays as A
 from sortlane.llm.tables import map_arrow
 
-CUT_BITS = 5
+CUT_BITS = 6
 HASH_BYTES = 8
 MOST_KEPT = 150_000
+# So many times fewer chunks than words are kept: each is as long as some 60 of them.
+WORDS_A_CHUNK = 4
 # Pieces that go through the library in one call.
 PIECES = 1000
 
@@ -47,43 +50,45 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_str(json.dumps(settings))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # A word comes here once: what the library would keep of it is never asked for.
+        self.tokenizer.model._resize_cache(0)
         marks = [t for t in settings.get("added_tokens", []) if not t.get("normalized") and not t.get("single_word")]
         self.mark = marks[-1]["content"].encode() if marks else b""
         self.mark_id = marks[-1]["id"] if marks else -1
         self.names: dict[int, str] = {}
         self.most_kept = most_kept
         # Two generations: what the younger one asks for again is taken from the older.
-        self.words: dict[bytes, tuple[bytes, str]] = {}
-        self.older: dict[bytes, tuple[bytes, str]] = {}
-        self.chunks: dict[bytes, tuple[bytes, str, bytes, bytes]] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.chunks: dict[bytes, tuple[bytes, str | None, bytes, bytes]] = {}
         self.joins: set[tuple[bytes, bytes]] = set()
 
-    def _ids(self, texts: list[bytes]) -> list[tuple[bytes, str]]:
-        """Ids and decoded text of each piece.
+    def _ids(self, texts: list[bytes]) -> list[tuple[bytes, str | None]]:
+        """Ids of each piece, and its decoded text if that is not the tokens' strings joined.
 
         Many pieces go through the library at once, with a special token between them: such a
         token ends what stands before it. Pieces that hold one themselves go alone.
         """
-        out: list[tuple[bytes, str]] = []
+        out: list[tuple[bytes, str | None]] = []
         for start in range(0, len(texts), PIECES):
             some = texts[start : start + PIECES]
             together = self._encoded(self.mark.join(some)) if self.mark else np.zeros(0, np.int32)
             ends = np.flatnonzero(together == self.mark_id)
             if self.mark and len(ends) == len(some) - 1:
-                bounds = [0, *(ends + 1).tolist(), len(together) + 1]
-                each = [together[i : j - 1] for i, j in zip(bounds, bounds[1:])]
+                raw, bounds = together.tobytes(), [0, *(4 * (ends + 1)).tolist(), 4 * (len(together) + 1)]
+                each = [raw[i : j - 4] for i, j in zip(bounds, bounds[1:])]
             else:
-                each = [self._encoded(t) for t in some]
-            out += [(ids.tobytes(), self._decoded(ids.tolist())) for ids in each]
+                each = [self._encoded(t).tobytes() for t in some]
+            out += [(ids, None) for ids in each]
         return out
 
     def _encoded(self, text: bytes) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast([text.decode("utf-8")], add_special_tokens=False)
         return np.array(found[0].ids, dtype=np.int32)
 
-    def _decoded(self, ids: list[int]) -> str:
+    def _decoded(self, raw: bytes) -> str:
         """The tokens' strings, each with a blank after it: what decoding joins."""
-        names = self.names
+        names, ids = self.names, np.frombuffer(raw, np.int32).tolist()
         try:
             return "".join([names[i] for i in ids])
         except KeyError:
@@ -95,12 +100,12 @@ class ChunkEncoder:
         fresh, older = words.difference(self.words), self.older
         self.words.update({w: older[w] for w in fresh if w in older})
         new = [w for w in fresh if w not in older]
-        self.words.update(zip(new, self._ids(new)))
+        self.words.update(zip(new, [ids for ids, _ in self._ids(new)]))
 
     def learn(self, chunks: set[bytes]) -> None:
         """Encode the chunks that this worker has not met."""
         new = [c for c in chunks if c not in self.chunks]
-        if len(self.chunks) + len(new) > self.most_kept:
+        if len(self.chunks) + len(new) > self.most_kept // WORDS_A_CHUNK:
             self.chunks = {c: self.chunks[c] for c in chunks if c in self.chunks}
         split = [c.split() for c in new]
         needed = set().union(*split)
@@ -108,16 +113,15 @@ class ChunkEncoder:
             self.words, self.older = {}, self.words
         self._know(needed)
         for chunk, words in zip(new, split):
-            parts = [self.words[w] for w in words]
-            ids, text = b"".join([p[0] for p in parts]), "".join([p[1] for p in parts])
-            self.chunks[chunk] = (ids, text, words[0] if words else b"", words[-1] if words else b"")
+            ids = b"".join([self.words[w] for w in words])
+            self.chunks[chunk] = (ids, None, words[0] if words else b"", words[-1] if words else b"")
 
     def check(self, pairs: set[tuple[bytes, bytes]]) -> set[tuple[bytes, bytes]]:
         """The joins at which encoding both sides as one gives other ids."""
         new = list(pairs - self.joins)
         self._know({w for pair in new for w in pair})
         together, apart = self._ids([a + b" " + b for a, b in new]), self.words
-        bad = {(a, b) for (a, b), ids in zip(new, together) if ids[0] != apart[a][0] + apart[b][0]}
+        bad = {(a, b) for (a, b), ids in zip(new, together) if ids[0] != apart[a] + apart[b]}
         if len(self.joins) > 2 * self.most_kept:
             self.joins = set()
         self.joins.update(p for p in new if p not in bad)
@@ -134,10 +138,11 @@ class ChunkEncoder:
             if bad:
                 chunks = self._repaired(chunks, bad)
             parts = [self.chunks.get(c) or self._whole(c) for c in chunks]
-            out.append((b"".join([p[0] for p in parts]), "".join([p[1] for p in parts])[:-1]))
+            decoded = [self._decoded(p[0]) if p[1] is None else p[1] for p in parts]
+            out.append((b"".join([p[0] for p in parts]), "".join(decoded)[:-1]))
         return out
 
-    def _whole(self, chunk: bytes) -> tuple[bytes, str, bytes, bytes]:
+    def _whole(self, chunk: bytes) -> tuple[bytes, str | None, bytes, bytes]:
         words = chunk.split()
         return (*self._ids([chunk])[0], words[0] if words else b"", words[-1] if words else b"")
 
@@ -209,7 +214,12 @@ def encode(documents: DataFrame, path: str, most_kept: int = MOST_KEPT) -> DataF
             _kept[path, most_kept] = ChunkEncoder(path, most_kept)
         encoder = _kept[path, most_kept]
         for piece in A.slices(batches, "text"):
-            found = encoder.encode(cut(*A.flat(piece.column("text"))))
+            # What is kept holds no cycles; looking for some takes longer the more there is.
+            gc.disable()
+            try:
+                found = encoder.encode(cut(*A.flat(piece.column("text"))))
+            finally:
+                gc.enable()
             counts = np.array([len(ids) // 4 for ids, _ in found])
             bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             values = np.frombuffer(b"".join([ids for ids, _ in found]), np.int32)

@@ -109,6 +109,15 @@ def test_frequent_words_outlive_the_limit_of_kept_words():
     assert len(encoder.words) + len(encoder.older) <= 4 * 40
 
 
+def test_kept_words_hold_their_ids_alone():
+    """Texts are decoded from the ids of whole chunks, so a worker keeps none for each word."""
+    encoder = bpe.ChunkEncoder(tokenizer_path(), 400)
+    for i in range(300):
+        encoder.encode([[b"w%d" % i, b" x%d" % i]])
+    assert all(type(ids) is bytes for ids in encoder.words.values())
+    assert len(encoder.chunks) <= 400 // bpe.WORDS_A_CHUNK
+
+
 def test_chunks_join_to_the_text(awkward):
     from sortlane.llm import arrays as A
 
