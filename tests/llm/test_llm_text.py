@@ -118,6 +118,21 @@ def test_kept_words_hold_their_ids_alone():
     assert len(encoder.chunks) <= 400 // bpe.WORDS_A_CHUNK
 
 
+def test_unused_memory_is_returned():
+    from sortlane.llm import tables
+
+    def anonymous():
+        with open("/proc/self/smaps_rollup") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("Pss_Anon")) // 1024
+
+    held = [bytearray(16_000) for _ in range(10_000)]
+    pins = held[::1000]  # without them the end of the heap would shrink by itself
+    del held
+    before = anonymous()
+    tables._return_memory()
+    assert pins and before - anonymous() > 50
+
+
 def test_chunks_join_to_the_text(awkward):
     from sortlane.llm import arrays as A
 
