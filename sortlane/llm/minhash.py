@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from sortlane.llm import arrays as A
 from sortlane.llm.components import components, merged, smallest_ids
 from sortlane.llm.superkmers import ranges
-from sortlane.llm.tables import NULL_ID, doc_key, keyed, map_arrow, part_key, stored
+from sortlane.llm.tables import NULL_ID, doc_key, keyed, likely_among, map_arrow, part_key, stored
 
 BANDS = 48
 ROWS = 7
@@ -184,8 +184,22 @@ def confirmed(pairs: DataFrame, packed: DataFrame, width: int, per_cent: int) ->
     return map_arrow(sides, run, "a long, b long")
 
 
-def _packed(texts: DataFrame, sketch: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, packed): the compressed text of one document of each set that is in a bucket with another."""
+def _wanted(sketch: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, doc, part): one document of each set that is in a bucket with another."""
+    one = sketch.filter("bands IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc", "part")).alias("at"))
+    wanted = one.join(members.select("node").distinct(), "node", "left_semi")
+    return stored(wanted.select("node", F.col("at.doc").alias("doc"), F.col("at.part").alias("part")), "minhash-wanted")
+
+
+def _met(sketch: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, bands, short) of the sets in ``wanted``, each once."""
+    rows = likely_among(sketch.filter("bands IS NOT NULL").select("node", "bands", "short"), wanted, ["node"])
+    # Not a semi join, which would be pushed below the bitmap.
+    return stored(rows.join(wanted.select("node"), "node").dropDuplicates(["node"]), "minhash-met")
+
+
+def _packed(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, packed): the compressed texts of the documents in ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressor = zstandard.ZstdCompressor(level=3)
@@ -195,10 +209,8 @@ def _packed(texts: DataFrame, sketch: DataFrame, members: DataFrame) -> DataFram
             blobs = pa.array([compressor.compress(raw[a:b]) for a, b in zip(at, at[1:])], pa.binary())
             yield pa.RecordBatch.from_arrays([piece.column("doc"), piece.column("part"), blobs], names=["doc", "part", "packed"])
 
-    one = sketch.filter("bands IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc", "part")).alias("at"))
-    wanted = one.join(members.select("node").distinct(), "node", "left_semi")
-    wanted = stored(wanted.select("node", F.col("at.doc").alias("doc"), F.col("at.part").alias("part")), "minhash-wanted")
-    blobs = map_arrow(texts.select("doc", "part", "text"), run, "doc long, part long, packed binary")
+    likely = likely_among(texts.select("doc", "part", "text"), wanted, ["doc", "part"])
+    blobs = map_arrow(likely, run, "doc long, part long, packed binary")
     found = blobs.join(wanted, ["doc", "part"]).select("node", "packed")
     if texts.several:  # rows that are equal throughout
         found = found.dropDuplicates(["node"])
@@ -358,7 +370,7 @@ def _open(at: DataFrame, part: int) -> DataFrame:
     return sizes.select("key", F.col("top.label").alias("top"), blocks, asking)
 
 
-def _blocks(at: DataFrame, open_: DataFrame, sketch: DataFrame) -> DataFrame:
+def _blocks(at: DataFrame, open_: DataFrame, met: DataFrame) -> DataFrame:
     """The sets of open buckets in blocks, and those outside the largest component as questions to
     every block, with their short sketches."""
     found = at.join(open_, "key").withColumn("hash", F.xxhash64("node"))
@@ -371,8 +383,7 @@ def _blocks(at: DataFrame, open_: DataFrame, sketch: DataFrame) -> DataFrame:
         return rows.select("key", F.col(i).alias("i"), F.col(q).alias("q"), F.lit(asks).alias("asks"), "node", "label")
 
     both = dealt(found, False).unionByName(dealt(found.filter(F.col("label") != F.col("top")), True))
-    short = sketch.filter("short IS NOT NULL").select("node", "short")
-    rows = both.join(short, "node").dropDuplicates(["key", "i", "q", "asks", "node"])
+    rows = both.join(met.select("node", "short"), "node")
     return rows.select("key", "i", "q", "asks", "node", "label", "short")
 
 
@@ -381,7 +392,8 @@ def links_and_labels(texts: DataFrame, sketch: DataFrame, width: int, per_cent:
     rows = _exploded(sketch)
     shared = stored(rows.groupBy("key").count().filter("count > 1").select("key"), "minhash-keys")
     members = stored(rows.join(shared, "key").distinct(), "minhash-members")
-    packed = _packed(texts, sketch, members)
+    wanted = _wanted(sketch, members)
+    met, packed = _met(sketch, wanted), _packed(texts, wanted)
     least = stored(members.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z"), "minhash-least")
     pairs = members.join(least, "key").filter("node > a").groupBy("a", F.col("node").alias("b")).count()
     often = pairs.groupBy("b").agg(F.max(F.struct("count", -F.col("a"))).alias("best"))
@@ -391,7 +403,7 @@ def links_and_labels(texts: DataFrame, sketch: DataFrame, width: int, per_cent:
     for part, most in ROUNDS:
         at = stored(_labelled(members, labels), "minhash-labelled")
         open_ = stored(_open(at, part), "minhash-open")
-        near = stored(_nearest(_blocks(at, open_, sketch), most).distinct(), "minhash-pairs")
+        near = stored(_nearest(_blocks(at, open_, met), most).distinct(), "minhash-pairs")
         if near.isEmpty():
             if part == 1:
                 return labels  # no bucket has near sets of different components
@@ -401,10 +413,10 @@ def links_and_labels(texts: DataFrame, sketch: DataFrame, width: int, per_cent:
             labels = stored(merged(labels, new), "minhash-labels")
     at = stored(_labelled(members, labels), "minhash-labelled")
     open_ = stored(_open(at, 1), "minhash-open")
-    rows = stored(_near_rows(_blocks(at, open_, sketch)), "minhash-near")
+    rows = stored(_near_rows(_blocks(at, open_, met)), "minhash-near")
     if not rows.isEmpty():
         near = rows.select("node").distinct()
-        banded = sketch.filter("bands IS NOT NULL").select("node", "bands").join(near, "node", "left_semi").dropDuplicates(["node"])
+        banded = met.select("node", "bands").join(near, "node", "left_semi")
         whole = rows.join(banded.join(packed, "node"), "node").select(*rows.columns, "bands", "packed")
         new = stored(_linked(whole, width, per_cent).distinct(), "minhash-links")
         if not new.isEmpty():

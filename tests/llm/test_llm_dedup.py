@@ -191,3 +191,27 @@ def test_frequent_passages_are_found(spark):
 def test_no_documents(nothing):
     for out in (minhash.grouped(nothing), minhash.keep_one(nothing), substring.remove(nothing), substring.deduplicated(nothing), suffixes.remove(nothing)):
         assert out.count() == 0
+
+
+def test_texts_outside_buckets_are_not_packed(spark, monkeypatch):
+    """Wide rows pass a bitmap of the wanted keys before they are shuffled: all wanted ones, few others."""
+    from pyspark.sql import functions as F
+
+    from sortlane.llm import tables
+
+    rows = spark.range(20_000).select(F.col("id").alias("doc"), (F.col("id") % 3).alias("part"), F.lit("x").alias("text"))
+    wanted = rows.filter("doc % 100 = 7").select("doc", "part")
+    left = tables.likely_among(rows, wanted, ["doc", "part"])
+    assert left.columns == rows.columns
+    assert left.join(wanted, ["doc", "part"]).count() == 200 and left.count() < 400
+    assert tables.likely_among(rows, wanted.limit(0), ["doc", "part"]).count() == 0
+    # Too many keys for the bitmap cost rows that pass, never a wanted one.
+    monkeypatch.setattr(tables, "BITMAP_WORDS", 1)
+    assert tables.likely_among(rows, wanted, ["doc", "part"]).join(wanted, ["doc", "part"]).count() == 200
+    seen = []
+    monkeypatch.setattr(minhash, "map_arrow", lambda df, run, schema: seen.append(df) or tables.map_arrow(df, run, schema))
+    monkeypatch.setattr(tables, "BITMAP_WORDS", 1 << 18)
+    texts = rows.select("*")
+    texts.several = False
+    packed = minhash._packed(texts, wanted.withColumn("node", F.col("doc")))
+    assert packed.count() == 200 and seen[0].count() < 400
