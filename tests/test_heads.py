@@ -56,6 +56,16 @@ def test_pipeline_weights_equal_the_long_form(spark, rows):
     assert all(got[k] == pytest.approx(long[k]) for k in got)
 
 
+def test_long_form_makes_terms_once(spark):
+    """No filter before the shuffle looks at the terms, which would make them a second time."""
+    texts = spark.createDataFrame([(1, "red rose red"), (2, ""), (3, "a b"), (4, None)], "row_id long, text string").repartition(2)
+    vocab = spark.createDataFrame([("red", 1.0), ("rose", 2.0)], "term string, idf double")
+    long = tfidf.tfidf_long(with_terms(texts, "text"), vocab)
+    plan = long._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "size(" not in plan
+    assert {(r.row_id, r.term, r.tf) for r in long.collect()} == {(1, "red", 2), (1, "rose", 1)}
+
+
 def test_fold_vocabularies_equal_separate_fits(rows):
     folded = rows.withColumn("fold", (F.col("row_id") % 5).cast("int"))
     shared = tfidf.vocabularies_by_fold(folded, max_features=40).collect()
