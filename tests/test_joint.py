@@ -68,3 +68,27 @@ def test_no_final_fit_where_only_folds_are_asked_and_one_model_scores_all_splits
     assert len(head.members) == 1 and len(head.members[0].sigmoids) == 6
     scored = heads.score(df, head)
     assert scored.filter("top1 = label AND top2 <> top1 AND conf BETWEEN 0.5 AND 1").count() == 80
+
+
+def test_a_block_alone_goes_on_from_its_duals(monkeypatch):
+    """A task that ends at the limit of passes is called again, with what it left."""
+    monkeypatch.setattr(svm, "MOST_PASSES", 2)
+    rng = np.random.default_rng(4)
+    n, idx = 120, [np.unique(rng.integers(0, 30, 6)).tolist() for _ in range(120)]
+    facts = {"row_id": pa.array(range(n)), "fold": pa.array([0] * n, pa.int32()), "held_out": pa.array([False] * n)}
+    for name, values in (("y", rng.integers(0, 3, n)), ("split", np.arange(n) % 3)):
+        facts[name] = pa.array([[int(v)] for v in values], pa.list_(pa.int32()))
+    facts |= {"emb": pa.array([[]] * n, pa.list_(pa.float32())), "size": pa.array([len(i) for i in idx], pa.int32())}
+    flat = np.concatenate(idx).astype("<u2")
+    values = {"block": [0], "rows": [svm._bytes(pa.record_batch(facts))], "idx": [flat.tobytes()], "tf": [svm._levels(np.ones(len(flat), np.float32))], "party": [0]}
+    fit = svm.Fit(0, 0, "final", -1, 3)
+    task = svm.Problem([fit], [0], {0: (np.full((3, 3), 50.0), np.full((3, 3), 50.0))}, 0, 30, True, 1, 1e-4)
+    weights = svm._state_rows([(0, 0, "idf", 0, None, np.ones(30).tobytes())])
+    state, duals = weights, []
+    for _ in range(3):
+        out = task.solve(pa.table(values), state)
+        found = {k: np.frombuffer(p, "<f8") for k, p in zip(out["kind"].to_pylist(), out["payload"].to_pylist()) if k in ("sum", "norm")}
+        duals.append(found["sum"] - 0.5 * found["norm"])
+        kept = [k in ("w", "dual") for k in out["kind"].to_pylist()]
+        state = pa.concat_tables([weights, out.filter(pa.array(kept))])
+    assert (duals[1] > duals[0]).all() and (duals[2] > duals[1]).all()
